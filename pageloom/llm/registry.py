@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Module, query. Each module has a function of the query's name and may have ORACLE_SQL.
 _OPERATORS = [
+    ("quality", "op1_hashed_ngram_llr"),
+    ("chat", "op3_prefix_target_chat"),
     ("decontaminate", "op7_winnowing_decontamination"),
 ]
 
