@@ -12,6 +12,7 @@ _OPERATORS = [
     ("quality", "op1_hashed_ngram_llr"),
     ("chat", "op3_prefix_target_chat"),
     ("decontaminate", "op7_winnowing_decontamination"),
+    ("pii", "op10_pii_spans"),
 ]
 
 
