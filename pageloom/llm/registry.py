@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 _OPERATORS = [
     ("quality", "op1_hashed_ngram_llr"),
     ("chat", "op3_prefix_target_chat"),
+    ("wavelet", "op4_wavelet_matrix_shards"),
     ("decontaminate", "op7_winnowing_decontamination"),
+    ("mixing", "op9_systematic_mixing"),
     ("pii", "op10_pii_spans"),
 ]
 

@@ -109,12 +109,14 @@ class Words:
         return np.diff(self.first)
 
 
-def words(block: Block, table: np.ndarray) -> Words:
-    """Maximal runs of bytes of the table; runs never cross rows."""
+def words(block: Block, table: np.ndarray, cut: np.ndarray | None = None) -> Words:
+    """Maximal runs of bytes of the table; runs never cross rows, nor the positions that cut marks."""
     inside = table[block.data]
     n = len(inside)
     edge = np.zeros(n + 1, bool)
     edge[block.offsets] = True
+    if cut is not None:
+        edge[:n] |= cut
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | edge[1:n]
     ends = inside.copy()
