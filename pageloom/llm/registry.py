@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Module, query. Each module has a function of the query's name and may have ORACLE_SQL.
 _OPERATORS = [
     ("quality", "op1_hashed_ngram_llr"),
+    ("fst", "op2_transducer_token_counts"),
     ("chat", "op3_prefix_target_chat"),
+    ("langid", "op5_ecoc_language_id"),
     ("wavelet", "op4_wavelet_matrix_shards"),
     ("decontaminate", "op7_winnowing_decontamination"),
     ("mixing", "op9_systematic_mixing"),
