@@ -13,6 +13,7 @@ _OPERATORS = [
     ("fst", "op2_transducer_token_counts"),
     ("chat", "op3_prefix_target_chat"),
     ("langid", "op5_ecoc_language_id"),
+    ("neardup", "op6_fast_sketch_near_duplicates"),
     ("wavelet", "op4_wavelet_matrix_shards"),
     ("decontaminate", "op7_winnowing_decontamination"),
     ("mixing", "op9_systematic_mixing"),
