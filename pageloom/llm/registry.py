@@ -16,6 +16,7 @@ _OPERATORS = [
     ("neardup", "op6_fast_sketch_near_duplicates"),
     ("wavelet", "op4_wavelet_matrix_shards"),
     ("decontaminate", "op7_winnowing_decontamination"),
+    ("repeats", "op8_common_prefix_interval_repeats"),
     ("mixing", "op9_systematic_mixing"),
     ("pii", "op10_pii_spans"),
 ]
