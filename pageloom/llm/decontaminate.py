@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.text import ALNUM, blocks, covered, gram_hash, gram_inside, map_blocks, row_sums, word_hash, words
+from pageloom.llm.text import ALNUM, blocks, covered, filter_blocks, gram_hash, gram_inside, map_blocks, row_sums, word_hash, words
 
 #: Largest total of item bytes that is sent to every task; beyond it the grams are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -207,16 +207,37 @@ def _joined(docs: DataFrame, items: DataFrame, id_col: str, item_id: str, k: int
     return counted.join(hits, "_doc", "left").select(id_col, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", item_id: str = "item_id", window: int = 10, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Words of each document inside a window of any item: id, n_words, n_hit, item_ids (sorted strings)."""
+def _index(docs: DataFrame, items: DataFrame, item_id: str, window: int, k: int, limit: int):
+    """The items' index as a broadcast, or None if they are too large for one."""
     if not 0 < k <= window:
         raise ValueError("k must be between 1 and window")
     size = items.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
-    if size > broadcast_bytes:
-        return _joined(docs, items, id_col, item_id, k, window)
+    if size > limit:
+        return None
     held = items.select(item_id, "text").collect()
-    index = ItemIndex.build([r[0] for r in held], [r[1] for r in held], k, window)
-    return _scan(docs, docs.sparkSession.sparkContext.broadcast(index), id_col)
+    return docs.sparkSession.sparkContext.broadcast(ItemIndex.build([r[0] for r in held], [r[1] for r in held], k, window))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", item_id: str = "item_id", window: int = 10, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Words of each document inside a window of any item: id, n_words, n_hit, item_ids (sorted strings)."""
+    index = _index(docs, items, item_id, window, k, broadcast_bytes)
+    return _joined(docs, items, id_col, item_id, k, window) if index is None else _scan(docs, index, id_col)
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", item_id: str = "item_id", window: int = 10, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows that share no window with any item, with all their columns."""
+    index = _index(docs, items, item_id, window, k, broadcast_bytes)
+    if index is None:
+        hit = _joined(docs, items, id_col, item_id, k, window).filter("n_hit > 0").select(F.col(id_col).alias("_id")).distinct()
+        return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+
+    def clean(block):
+        found = words(block, ALNUM)
+        out = np.ones(len(block), bool)
+        out[[h[0] for h in index.value.match(word_hash(block, found, lower=True), found)]] = False
+        return out
+
+    return filter_blocks(docs, clean)
 
 
 def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

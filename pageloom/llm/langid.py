@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.text import blocks, map_blocks, mix, row_sums
+from pageloom.llm.text import blocks, filter_blocks, map_blocks, mix, row_sums
 
 BUCKETS = 1 << 15
 #: Bytes in an n-gram.
@@ -145,34 +145,44 @@ class Decoder:
         return share.argmax(1), order[:, -1], gap
 
 
+def _answer(model: Decoder, block, least_gap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and ambiguity of each row of a block."""
+    n = len(block)
+    pred, score, unsure = np.full(n, "und", object), np.zeros(n), np.ones(n, bool)
+    told = np.array([_LETTER.search(block.text(r).decode()) is not None for r in range(n)], bool)
+    if model.langs and told.any():
+        width = model.weights.shape[1]
+        sums, grams = np.zeros((n, width)), np.zeros(n)
+        for bucket, inside in _grams(block, len(model.weights)):
+            edge = np.minimum(block.offsets, len(bucket))
+            grams += row_sums(inside, edge)
+            for b in range(width):
+                sums[:, b] += row_sums((model.weights[:, b][bucket] * inside).astype(np.float64), edge)
+        best, share, gap = model.decode(sums / np.maximum(grams, 1)[:, None])
+        pred[told] = np.array(model.langs, object)[best[told]]
+        score[told] = share[told]
+        unsure[told] = gap[told] < least_gap
+    return pred, score, unsure
+
+
 def predict(docs: DataFrame, decoder: Decoder, *, id_col: str = "doc_id", least_gap: float = LEAST_GAP) -> DataFrame:
     """id, lang_pred, score (0 to 1), ambiguous; only the text is read besides the id."""
     held = docs.sparkSession.sparkContext.broadcast(decoder)
 
     def fn(block, rows):
-        model = held.value
-        n = len(block)
-        pred, score, unsure = np.full(n, "und", object), np.zeros(n), np.ones(n, bool)
-        told = np.array([_LETTER.search(block.text(r).decode()) is not None for r in range(n)], bool)
-        if model.langs and told.any():
-            width = model.weights.shape[1]
-            sums, grams = np.zeros((n, width)), np.zeros(n)
-            first = block.offsets
-            for bucket, inside in _grams(block, len(model.weights)):
-                edge = np.minimum(first, len(bucket))
-                grams += row_sums(inside, edge)
-                for b in range(width):
-                    sums[:, b] += row_sums((model.weights[:, b][bucket] * inside).astype(np.float64), edge)
-            best, share, gap = model.decode(sums / np.maximum(grams, 1)[:, None])
-            pred[told] = np.array(model.langs, object)[best[told]]
-            score[told] = share[told]
-            unsure[told] = gap[told] < least_gap
+        pred, score, unsure = _answer(held.value, block, least_gap)
         return pa.record_batch({id_col: rows.column(id_col), "lang_pred": pa.array(pred.tolist(), pa.string()), "score": score, "ambiguous": unsure})
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_blocks(docs, [id_col], fn, f"{id_col} {kind}, lang_pred string, score double, ambiguous boolean")
 
 
+def keep_told(docs: DataFrame, decoder: Decoder) -> DataFrame:
+    """The rows whose language can be told at all, with their columns; ambiguous ones stay."""
+    held = docs.sparkSession.sparkContext.broadcast(decoder)
+    return filter_blocks(docs, lambda block: _answer(held.value, block, LEAST_GAP)[0] != "und")
+
+
 def held_out(id_col: str = "doc_id"):
     """Documents that training leaves aside: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

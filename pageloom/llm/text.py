@@ -190,3 +190,15 @@ def map_blocks(frame, columns: list[str], fn, schema: str, text: str = "text"):
                     yield made
 
     return frame.select(*dict.fromkeys([*columns, text])).mapInArrow(run, schema)
+
+
+def filter_blocks(frame, fn, text: str = "text"):
+    """The rows of the frame for which ``fn(block)`` is true, with all their columns and without a shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            for block in blocks(batch.column(at)):
+                yield batch.slice(block.first, len(block)).filter(pa.array(fn(block)))
+
+    return frame.mapInArrow(run, frame.schema)

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from pageloom.llm.decontaminate import decontaminate
+from pageloom.llm.decontaminate import decontaminate, keep_clean
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -46,6 +46,8 @@ def test_against_brute_force_by_both_ways(spark):
     for limit in (1 << 20, 0):
         got = {r.doc_id: (r.n_words, r.n_hit, list(r.item_ids)) for r in decontaminate(d, it, broadcast_bytes=limit).collect()}
         assert got == want, limit
+        left = keep_clean(d, it, broadcast_bytes=limit)
+        assert left.columns == d.columns and {r.doc_id for r in left.collect()} == {i for i, x in want.items() if not x[1]}
 
 
 def test_empty_tables(spark):
