@@ -128,8 +128,9 @@ def leader_pairs(nodes: DataFrame) -> DataFrame:
 def check_leaders(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """leader, member, linked, n_leader, missing, added, diff: the exact comparison of each pair."""
     text = texts.select(F.col("node").alias("_node"), F.col("text").alias("_text"))
-    rows = pairs.join(text, F.col("member") == F.col("_node")).select("leader", "member", F.col("_text").alias("text"))
-    rows = rows.join(text, F.col("leader") == F.col("_node")).select("leader", "member", "text", F.col("_text").alias("leader_text"))
+    # texts meet ids by one plan at every size, which a broadcast of few ids would not be
+    rows = pairs.hint("merge").join(text, F.col("member") == F.col("_node")).select("leader", "member", F.col("_text").alias("text"))
+    rows = rows.hint("merge").join(text, F.col("leader") == F.col("_node")).select("leader", "member", "text", F.col("_text").alias("leader_text"))
 
     def fn(block, batch):
         leader = batch.column("leader").to_numpy()
@@ -276,7 +277,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", percent: int = 7
     pairs = saved(leader_pairs(nodes.filter("node is not null").select("node", "bands")))
     used = pairs.select(F.col("leader").alias("_u")).union(pairs.select("member")).distinct()
     # of a repeated id any text of the right set will do; ids stand for their set
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), "text").join(used, F.col("node") == F.col("_u"), "left_semi")
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), "text").join(used.hint("merge"), F.col("node") == F.col("_u"), "left_semi")
     checked = saved(check_leaders(pairs, texts, percent))
     links = checked.filter("linked").select(F.col("leader").alias("a"), F.col("member").alias("b")).union(check_members(checked, percent))
     found = components(links)
