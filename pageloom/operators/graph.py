@@ -37,16 +37,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def chain_ends(merges: DataFrame) -> DataFrame:
     """variant, canonical with each chain followed to its end. Of a cycle every member gets the least name in it."""
     now = settled(merges.select("variant", "canonical").filter("variant <> canonical"))
-    ends = now.select("variant", "canonical")
-    for _ in range(40):  # each round doubles the length that is followed
+    ends = now
+    for _ in range(now.count().bit_length() + 1):  # each round doubles the length that is followed
         on = ends.select(F.col("variant").alias("_v"), F.col("canonical").alias("_c"))
         step = settled(ends.join(on, F.col("canonical") == F.col("_v"), "left").select("variant", "canonical", F.coalesce("_c", "canonical").alias("_new")))
         ends = step.select("variant", F.col("_new").alias("canonical"))
         if step.filter("canonical <> _new").isEmpty():
-            return ends
-    stuck = ends.join(now.select(F.col("variant").alias("_v")), F.col("canonical") == F.col("_v"), "left_semi").select("variant")
-    rings = components(now.join(stuck, "variant"), "variant", "canonical")
-    return ends.join(rings, F.col("variant") == F.col("node"), "left").select("variant", F.coalesce("component", "canonical").alias("canonical"))
+            break
+    # what still ends at a variant ends in a cycle
+    ring = ends.join(now.select(F.col("variant").alias("_v")), F.col("canonical") == F.col("_v"), "left_semi").select(F.col("canonical").alias("_r")).distinct()
+    if ring.isEmpty():
+        return ends
+    rings = components(now.join(ring, F.col("variant") == F.col("_r"), "left_semi"), "variant", "canonical")
+    return ends.join(rings, F.col("canonical") == F.col("node"), "left").select("variant", F.coalesce("component", "canonical").alias("canonical"))
 
 
 def ancestors(spark: SparkSession, tree: DataFrame, name: str = "_tree") -> DataFrame:

@@ -20,12 +20,12 @@ def strip_markup(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(text.strip_markup(F.col("html"))).alias("clean"))
 
 
-@query(r"""WITH f AS (SELECT doc_id, replace(replace(replace(replace(lower(text[1:80]), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss') AS t, lower(trim(text[1:80], ' ')) AS g FROM documents)
-  SELECT doc_id, trim(regexp_replace(regexp_replace(replace(replace(t, 'st. ', 'sankt '), 'st.', 'sankt '), '[^\pL\pN_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS key,
-  trim(regexp_replace(replace(replace(replace(translate(g, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), '[^a-z0-9]+', ' ', 'g')) AS gazetteer FROM f""")
+@query(r"""WITH f AS (SELECT doc_id, replace(replace(replace(replace(lower(text), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss') AS t, lower(trim(text, ' ')) AS g FROM documents)
+  SELECT doc_id, md5(trim(regexp_replace(regexp_replace(replace(replace(t, 'st. ', 'sankt '), 'st.', 'sankt '), '[^\pL\pN_\s]', ' ', 'g'), '\s+', ' ', 'g'))) AS key,
+  md5(trim(regexp_replace(replace(replace(replace(translate(g, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), '[^a-z0-9]+', ' ', 'g'))) AS gazetteer FROM f""")
 def fold_keys(spark, sf_dir):
-    head = F.left("text", F.lit(80))
-    return table(spark, sf_dir, "documents").select("doc_id", text.fold(head).alias("key"), text.fold_gazetteer(head).alias("gazetteer"))
+    whole = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.fold(whole)).alias("key"), F.md5(text.fold_gazetteer(whole)).alias("gazetteer"))
 
 
 def _case(value: str, vocabulary, cues) -> str:
@@ -90,11 +90,11 @@ def great_circle(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", F.round(geo.km(F.lit(48.5), F.lit(9.0), lat, lon), 6).alias("km"))
 
 
-@query(r"""SELECT doc_id, regexp_replace(regexp_replace(lower(text[1:40]), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug, CASE WHEN length(text) > 120 THEN text[1:120] || '…' ELSE text END AS preview,
-  regexp_replace(coalesce(text[1:60], ''), '[\t\n\r]', ' ', 'g') AS cell, coalesce(regexp_extract_all(text, '\d+')[-1], '') AS last_number FROM documents""")
+@query(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) AS slug, CASE WHEN length(text) > 120 THEN text[1:120] || '…' ELSE text END AS preview,
+  md5(regexp_replace(coalesce(text, ''), '[\t\n\r]', ' ', 'g')) AS cell, coalesce(regexp_extract_all(text, '\d+')[-1], '') AS last_number FROM documents""")
 def text_cells(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.slug(F.left("text", F.lit(40))).alias("slug"), text.preview(F.col("text")).alias("preview"), text.one_line(F.left("text", F.lit(60))).alias("cell"), text.last_number(F.col("text")).alias("last_number"))
+    return d.select("doc_id", F.md5(text.slug(F.col("text"))).alias("slug"), text.preview(F.col("text")).alias("preview"), F.md5(text.one_line(F.col("text"))).alias("cell"), text.last_number(F.col("text")).alias("last_number"))
 
 
 @query("""WITH d AS (SELECT o_orderkey, strftime(o_orderdate, '%Y') AS a, (1990 + o_custkey % 20)::VARCHAR AS b FROM orders)

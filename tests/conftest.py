@@ -1,0 +1,17 @@
+import tempfile
+
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark():
+    yield (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
+        .getOrCreate()
+    )
