@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from pageloom.operators import graph, lookup, ordered, pairs
@@ -55,6 +57,34 @@ def test_pair_scores(spark):
     assert scored(spark, page("a", prose), page("b", f"{prose} {other} {other[::-1]}", 50)).relation == "containment"
 
 
+def test_sketch_pairs_have_no_bucket_cap(spark):
+    from pageloom.functions import similarity
+
+    rng = random.Random(4)
+    base = " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    texts = [base] * 25 + [f"{base} {i:03d}" for i in range(25)] + ["".join(rng.choice("klmnop") for _ in range(200)) for _ in range(3)] + ["", None]
+    d = spark.createDataFrame([(f"p{i:03d}", t) for i, t in enumerate(texts)], "uid string, t string")
+    got = [tuple(r) for r in pairs.sketch_pairs(d.select("uid", similarity.shingles(F.coalesce("t", F.lit(""))).alias("s")), "uid", "s").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(f"p{i:03d}", f"p{j:03d}") for j in range(50) for i in range(j)}
+
+
+def test_shingle_pairs_measure_every_pair(spark, tmp_path):
+    from pageloom.plans.documents import shingle_pairs
+
+    rng = random.Random(5)
+    base = [rng.choice("abcdefghijklmnop") for _ in range(300)]
+    texts = ["".join(base)] * 22 + ["".join(base[:150] + ["z"] * n + base[150:]) for n in range(1, 5)]
+    d = spark.createDataFrame([(i, t, "de", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    cut = lambda t: {t[i : i + 5] for i in range(len(t) - 4)}
+    got = {(r.a, r.b): r.jaccard for r in shingle_pairs(spark, str(tmp_path)).collect()}
+    assert len(got) == 26 * 25 // 2
+    for (a, b), j in got.items():
+        x, y = cut(texts[int(a[1:])]), cut(texts[int(b[1:])])
+        assert abs(j - len(x & y) / len(x | y)) < 1e-4
+
+
 def test_components_and_chains(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "a int, b int")
     assert {(r.node, r.component) for r in graph.components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)}
