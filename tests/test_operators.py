@@ -85,6 +85,22 @@ def test_shingle_pairs_measure_every_pair(spark, tmp_path):
         assert abs(j - len(x & y) / len(x | y)) < 1e-4
 
 
+def test_edited_copies_far_apart_are_clustered(spark, tmp_path):
+    from pageloom.plans.documents import clustered_pages, scored_page_pairs
+
+    rng = random.Random(6)
+    say = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(40))
+    base, other = say(), say()
+    # edited copies that share no volume, page number or id, and copies three scans apart
+    rows = [(1, base, "s"), (1034, base + " and one more", "t"), (3000, other, "u"), (3003, other + " edited", "v"), (5000, say(), "w")]
+    spark.createDataFrame([(i, t, "de", s) for i, t, s in rows], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.a, r.b): r for r in scored_page_pairs(spark, str(tmp_path)).collect()}
+    assert {("p1", "p1034"), ("p3000", "p3003")} <= set(got)
+    assert "same_entry_dates" in got["p1", "p1034"].signals.split(",") and got["p1", "p1034"].confidence > 0.8
+    clusters = {r.component: r for r in clustered_pages(spark, str(tmp_path)).collect()}
+    assert set(clusters) == {"p1", "p3000"} and clusters["p1"].n_pairs == 1 and clusters["p1"].signals == ",".join(sorted(got["p1", "p1034"].signals.split(",")))
+
+
 def test_components_and_chains(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "a int, b int")
     assert {(r.node, r.component) for r in graph.components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)}
