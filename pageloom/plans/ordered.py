@@ -53,13 +53,16 @@ def positional_interval(spark, sf_dir):
 
 def repaired(spark, sf_dir):
     e = entries(spark, sf_dir)
-    # volumes run over two years each; one entry in nine is dated a century early, one in eleven decades late
+    # volumes run over two years each, those of the order, so that every entry has one; one entry in nine is dated a century early, one in eleven decades late
+    first = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), (F.floor(F.year("o_orderdate") / 2) * 2).cast("int").alias("first"))
+    e = e.join(first, "ord").withColumn("volume", F.col("first") * 100 + F.col("volume"))
     year = F.substring("entry_date", 1, 4).cast("int")
     wrong = F.when(F.col("ord") % 9 == 0, year - 100).when(F.col("ord") % 11 == 0, year + 38).otherwise(year)
-    e = e.filter(year.between(1995 + F.col("volume") % 5, 1996 + F.col("volume") % 5) | F.col("entry_date").isNull()).withColumn("entry_date", F.concat(wrong.cast("string"), F.substring("entry_date", 5, 6)))
+    e = e.withColumn("entry_date", F.concat(wrong.cast("string"), F.substring("entry_date", 5, 6)))
     e = e.withColumn("at", F.row_number().over(Window.partitionBy("volume").orderBy(F.substring("entry_date", 6, 5), "ord"))).drop("ord").withColumnRenamed("at", "ord")
     e = e.withColumn("verbatim", F.col("entry_date")).withColumn("historic", F.col("volume") % 2 == 0)
-    spans = e.select("volume").distinct().select("volume", F.concat((1995 + F.col("volume") % 5).cast("string"), F.lit("-01")).alias("start"), F.concat((1996 + F.col("volume") % 5).cast("string"), F.lit("-12")).alias("end"))
+    spans = e.select("volume", "first").distinct().select("volume", F.concat(F.col("first").cast("string"), F.lit("-01")).alias("start"), F.concat((F.col("first") + 1).cast("string"), F.lit("-12")).alias("end"))
+    e = e.drop("first")
     return ordered.repair_years(e, spans)
 
 

@@ -21,6 +21,16 @@ def test_year_repair(spark):
     assert got[99, 0] == (None, "1900-01-01", None) and got[23, 0][0] is None
 
 
+def test_year_repair_takes_every_entry(spark):
+    from pageloom.plans.model import entries
+    from pageloom.plans.ordered import year_repair
+
+    sf = "/root/testdata/sf0.001"
+    rows = year_repair(spark, sf).collect()
+    assert sum(r.n for r in rows) == entries(spark, sf).count()
+    assert {None, "date_year_corrected"} <= {r.reason for r in rows}
+
+
 def test_travel(spark):
     rows = [("e", 0, None, "A", None), ("e", 1, "B", None, None), ("e", 2, "B", "C", None), ("e", 3, None, "D", None), ("f", 0, None, "X", "home")]
     legs = spark.createDataFrame(rows, "event string, pos int, departure string, arrival string, entry_place string")
