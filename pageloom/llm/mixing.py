@@ -73,7 +73,7 @@ def _offset(source: Column, seed: str) -> Column:
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = SEED) -> DataFrame:
-    """id, size, source_size, target, copies of every document; columns of the same names in docs are not read."""
+    """id, source, size, source_size, target, copies of every document; columns of the same names in docs are not read."""
     rows = saved(docs.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), n_words(F.col("text")).alias("size")))
     rows = rows.withColumn("_class", _size_class(F.col("size"))).withColumn("_block", F.floor(F.col(id_col) / F.lit(BLOCK_IDS)).cast("long"))
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, cap=cap)
@@ -90,7 +90,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     expected = F.when(F.col("t.source_size") == 0, 0.0).otherwise(F.col("t.target") / F.col("t.source_size"))
     at = F.col("r._at").cast("double")
     copies = F.floor(at * expected + _offset(F.col("r.source"), seed)) - F.floor((at - 1) * expected + _offset(F.col("r.source"), seed))
-    return placed.select(f"r.{id_col}", "r.size", "t.source_size", "t.target", copies.cast("long").alias("copies"))
+    return placed.select(f"r.{id_col}", "r.source", "r.size", "t.source_size", "t.target", copies.cast("long").alias("copies"))
 
 
 def op9_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

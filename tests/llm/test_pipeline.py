@@ -53,3 +53,13 @@ def test_stages_against_plain_python(spark, tmp_path):
     for r in sorted(rows, key=lambda r: r.start):
         assert r.start == at
         at += r.n_tokens
+
+
+def test_mix_takes_each_row_by_its_own_copies(spark):
+    docs = [(None if i % 3 else i // 6, " ".join(["w"] * (1 + i % 4)), "aa", "abc"[i % 3 if i % 2 else 0], i) for i in range(120)] + [(7, "x y", "aa", "a", 900), (7, "x z", "aa", "a", 901), (7, "x y", "aa", "c", 902)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = Counter((r.doc_id, r.source, len(r.text.split())) for r in corpus_pipeline.mixture(spark, d, "").collect())
+    want = Counter()
+    for r in mix(d).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    assert got == +want and {None, 7} <= {k[0] for k in got}
