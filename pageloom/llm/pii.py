@@ -88,7 +88,7 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
-_PLACED = "array<struct<h:string,g:string,start:bigint>>"
+_PLACED = "array<struct<h:string,near:string,start:bigint>>"
 #: Matches that are laid end to end at a time, so that a text with very many is not quadratic.
 _CHUNK = 256
 
@@ -101,21 +101,29 @@ def _pairs(pattern: str, hint: Column) -> Column:
 
 
 def _placed(pairs: str) -> Column:
-    """Chunks of matches, each as the length of its text and the matches with their starts in it."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast(_PLACED).alias("out"))
+    """Chunks of matches, each as the length of its text and the matches with their starts in it and the text before them."""
+    last = lambda text: F.substring(text, -NEAR, NEAR)
+
+    def zero(chunk: Column) -> Column:
+        """Nothing placed yet; what stands before the chunk lies in so many matches at most, as each has a character."""
+        before = F.slice(pairs, F.greatest(chunk * _CHUNK - NEAR + 1, F.lit(1)), F.least(chunk * _CHUNK, F.lit(NEAR)))
+        tail = last(F.array_join(F.transform(before, lambda x: F.concat(last(x["g"]), x["h"])), ""))
+        return F.struct(F.lit(0).cast("bigint").alias("end"), tail.alias("tail"), F.array().cast(_PLACED).alias("out"))
 
     def place(acc: Column, x: Column) -> Column:
         start = acc["end"] + F.length(x["g"])
-        return F.struct((start + F.length(x["h"])).alias("end"), F.concat(acc["out"], F.array(F.struct(x["h"].alias("h"), x["g"].alias("g"), start.alias("start")))).alias("out"))
+        near = last(F.concat(acc["tail"], last(x["g"])))
+        made = F.struct(x["h"].alias("h"), near.alias("near"), start.alias("start"))
+        return F.struct((start + F.length(x["h"])).alias("end"), last(F.concat(near, x["h"])).alias("tail"), F.concat(acc["out"], F.array(made)).alias("out"))
 
     chunks = F.filter(F.sequence(F.lit(0), F.floor(F.size(pairs) / _CHUNK).cast("int")), lambda c: c * _CHUNK < F.size(pairs))
-    return F.transform(chunks, lambda c: F.aggregate(F.slice(pairs, c * _CHUNK + 1, F.lit(_CHUNK)), zero, place))
+    return F.transform(chunks, lambda c: F.aggregate(F.slice(pairs, c * _CHUNK + 1, F.lit(_CHUNK)), zero(c), place))
 
 
 def _spans(kind: str, chunks: str) -> Column:
     """Array of (kind, start, end, score) of the confirmed matches."""
     prior, checked, context = KINDS[kind]
-    near = lambda x: F.right(x["g"], F.lit(NEAR)).rlike(rf"(?i)(?:^|[^a-z])(?:{context})")
+    near = lambda x: x["near"].rlike(rf"(?i)(?:^|[^a-z])(?:{context})")
 
     def span(x: Column, base: Column) -> Column:
         start = base + x["start"]

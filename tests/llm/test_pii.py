@@ -58,5 +58,18 @@ def test_long_runs_stay_quick(spark):
     assert time.time() - began < 60
 
 
+def test_several_ids_after_one_context_word(spark):
+    far = "SSN: 078-05-1120" + " " * 40 + "219-09-9999"
+    texts = ["SSN: 078-05-1120, 219-09-9999", "SSN: 078-05-1120, 219-09-9999, 457-55-5462, 987-65-4321", far, "iban 078-05-1120", "078-05-1120, ssn 219-09-9999"]
+    many = "078-05-1120 x " * 300 + "ssn 219-09-9999 219-09-9998 " + "078-05-1120 x " * 300
+    words = re.compile(r"(?i)(?:^|[^a-z])(?:ssn|social|security|id|insurance)")
+    texts += [many, "ssn " + "078-05-1120 " * 600, "ab " * 200 + "078-05-1120 id " * 600]
+    for r in find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        t = texts[r.doc_id]
+        want = [m.span() for m in re.finditer(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", t) if words.search(t[max(m.start() - 40, 0) : m.start()])]
+        assert [(x.start, x.end) for x in r.extra if x.kind == "id"] == want, t[:60]
+    assert len(texts) == 8
+
+
 def test_empty_table(spark):
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
