@@ -7,8 +7,10 @@ adds two kinds that need more than a pattern: ``iban`` (mod-97 must be 1) and
 ``THRESHOLD``. A span's score is its kind's prior, raised if a checksum held and
 if one of the kind's context words stands within ``NEAR`` characters before it.
 
-Null and empty texts have no spans. Offsets are code points, ends exclusive.
-Repeated rows are searched each. Patterns use possessive repeats and start only
+Null and empty texts have no spans, an empty table gives no rows. Offsets are
+code points, ends exclusive. Repeated rows are searched each, texts of any length
+whole. Of spans with one start the kinds come in the order of ``KINDS``. Columns
+besides id and text are not read. Patterns use possessive repeats and start only
 at the end of the previous match or at the edge of a run, so the time stays in
 proportion to the text however long a run of digits or letters is.
 
@@ -31,7 +33,14 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: A whole chain of digits with single separators, if it has twelve digits or more.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])(?=[0-9](?:[\x20-]?[0-9]){11})[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Length of an account number by country code.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: An account number ends at its country's length, whatever stands behind a space there.
+IBAN = r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:[\\x20]?[A-Z0-9]){{{n - 4}}}+" for n, codes in IBAN_LENGTHS.items()) + r")(?![A-Za-z0-9])"
 ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 #: Kind, prior score, what a checksum adds, context words.

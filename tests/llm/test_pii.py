@@ -73,3 +73,11 @@ def test_several_ids_after_one_context_word(spark):
 
 def test_empty_table(spark):
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_account_numbers_end_at_their_length(spark):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947"
+    cases = [(f"IBAN {de} AND MORE", [de]), (f"IBAN {de.replace(' ', '')} PLEASE PAY", [de.replace(" ", "")]), (f"{de} {gb} {no} X", [de, gb, no]), (f"{no.replace(' ', '')}A", []), (f"x{de}", []), ("DE89 3704 0044 0532 0130 01", [])]
+    found = {r.doc_id: r for r in find_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+    for i, (t, want) in enumerate(cases):
+        assert [t[x.start : x.end] for x in found[i].extra if x.kind == "iban"] == want, t
