@@ -8,12 +8,15 @@ whole number its stretch crosses. So a document is taken the expected times
 rounded down or up, and never more often than the cap.
 
 The row is ordered by size class, then id, so that large and small documents are
-spread evenly and a source's taken words stay near its target. Positions come
-from counts of blocks of ``BLOCK_IDS`` ids, so no source is sorted as a whole.
+spread evenly and a source's taken words stay near its target. The sort is over
+all partitions by ranges, so no source or size has to fit a task, and positions
+come from the counts of the partitions.
 
 Null texts have size 0. A null source is a source of its own, the last by code
 point. A source without words has target 0 and all its documents copies 0.
-Repeated rows are documents each. An empty table gives an empty result.
+Repeated rows are documents each; of rows with equal source, size and id any may
+come first. Texts of any length are counted whole. Columns besides id, source and
+text are carried, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,8 +27,6 @@ from pyspark.sql.window import Window
 
 from pageloom.llm.storage import saved
 
-#: Width of the id range of a block: what one task sorts at once.
-BLOCK_IDS = 1 << 16
 SEED = "mix-1"
 
 
@@ -72,25 +73,39 @@ def _offset(source: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = SEED) -> DataFrame:
-    """id, source, size, source_size, target, copies of every document; columns of the same names in docs are not read."""
-    rows = saved(docs.select(F.col(id_col).alias(id_col), F.col(source_col).alias("source"), n_words(F.col("text")).alias("size")))
-    rows = rows.withColumn("_class", _size_class(F.col("size"))).withColumn("_block", F.floor(F.col(id_col) / F.lit(BLOCK_IDS)).cast("long"))
-    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, cap=cap)
-    # documents before each block of a source
-    key = ["source", "_class", "_block"]
-    blocks = rows.groupBy(*key).agg(F.count("*").alias("_n"))
-    row = Window.partitionBy("source").orderBy("_class", F.col("_block").asc_nulls_first())
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = Window.partitionBy(*key).orderBy(F.col(id_col).asc_nulls_first(), "size")
-    placed = rows.withColumn("_at", F.row_number().over(within)).alias("r")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
-    placed = placed.join(blocks.alias("b"), same[0] & same[1] & same[2]).select(f"r.{id_col}", "r.source", "r.size", (F.col("b._before") + F.col("r._at")).alias("_at"))
+def place(docs: DataFrame, *, keep: list[str], id_col: str, source_col: str) -> DataFrame:
+    """Saved rows with source, size, their place ``at`` in their source (from 1) and a struct ``row`` of the columns to keep.
+
+    Rows are sorted by source, size class and id over all partitions, ranges of which split a hot source; a place is the rows of the source in partitions
+    before, and the ones before it in its own.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(source_col).alias("source"), F.col(id_col).alias("id"), n_words(F.col("text")).alias("size"))
+    order = [F.col("source").asc_nulls_last(), _size_class(F.col("size")).asc(), F.col("id").asc_nulls_first(), F.col("size").asc()]
+    number = F.monotonically_increasing_id()
+    rows = saved(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.shiftright(number, 33)).withColumn("seq", number.bitwiseAND((1 << 33) - 1)))
+    stretch = rows.groupBy("source", "part").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    stretch = stretch.select(F.col("source").alias("_source"), F.col("part").alias("_part"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("_shift"))
+    placed = rows.join(stretch, (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source")))
+    return placed.select("row", "source", "size", (F.col("seq") + F.col("_shift")).alias("at"))
+
+
+def mix_rows(docs: DataFrame, *, keep: list[str] | None = None, id_col: str = "doc_id", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = SEED) -> DataFrame:
+    """row (a struct of the columns to keep, all of docs if not told), source, size, source_size, target and copies of every document."""
+    placed = place(docs, keep=keep or docs.columns, id_col=id_col, source_col=source_col)
+    targets = source_targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, share=share, cap=cap)
     placed = placed.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
     expected = F.when(F.col("t.source_size") == 0, 0.0).otherwise(F.col("t.target") / F.col("t.source_size"))
-    at = F.col("r._at").cast("double")
-    copies = F.floor(at * expected + _offset(F.col("r.source"), seed)) - F.floor((at - 1) * expected + _offset(F.col("r.source"), seed))
-    return placed.select(f"r.{id_col}", "r.source", "r.size", "t.source_size", "t.target", copies.cast("long").alias("copies"))
+    at, offset = F.col("r.at").cast("double"), _offset(F.col("r.source"), seed)
+    copies = F.floor(at * expected + offset) - F.floor((at - 1) * expected + offset)
+    return placed.select("r.row", "r.source", "r.size", "t.source_size", "t.target", copies.cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
+    """id, source, size, source_size, target, copies of every document; columns of the same names in docs are not read."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), "text")
+    made = mix_rows(own, keep=["id"], id_col="id", source_col="source", **how)
+    return made.select(F.col("row.id").alias(id_col), "source", "size", "source_size", "target", "copies")
 
 
 def op9_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
