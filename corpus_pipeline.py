@@ -11,11 +11,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pageloom.llm.decontaminate import keep_clean
 from pageloom.llm.langid import keep_told, train
-from pageloom.llm.mixing import mix, n_words
+from pageloom.llm.mixing import mix_rows
 from pageloom.llm.neardup import near_duplicates
 from pageloom.llm.storage import shared_dir
 from pageloom.llm.wavelet import token_files
@@ -45,14 +44,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or drop each row by the copies that the mix takes of it.
 
-    Rows of one id, source and size are alike to the mix: their copies are dealt out among them, the most first, in an order that their hash gives.
+    Null texts have no words and are taken as often as others of their source; ties of source, size and id may change places.
     """
-    key = lambda size: F.to_json(F.struct("doc_id", "source", size.alias("size"))).alias("_key")
-    copies = mix(docs).select(key(F.col("size")), "copies").groupBy("_key").agg(F.sort_array(F.collect_list("copies"), False).alias("_copies")).filter("_copies[0] > 0")
-    rows = docs.select("*", key(n_words(F.col("text"))), F.xxhash64(*docs.columns).alias("_hash")).join(copies, "_key")
-    at = F.row_number().over(Window.partitionBy("_key").orderBy("_key", "_hash"))
-    rows = rows.withColumn("_n", F.element_at("_copies", at)).filter("_n > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).select(docs.columns)
+    rows = mix_rows(docs).filter("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
