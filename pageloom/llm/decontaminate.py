@@ -7,23 +7,32 @@ Each joined gram is extended word by word along its diagonal, and runs of at
 least ``window`` words count. Items shorter than a window count where they
 occur whole; their grams are all kept (a winnowing window of one).
 
-Null and empty texts have no words and hit nothing. Repeated document rows give
-repeated result rows. Repeated items count once per id.
+Grams and short items are found by hash and confirmed word by word. Null and
+empty texts have no words and hit nothing. Repeated document rows give repeated
+result rows. Repeated items count once per id. Texts of any length are read
+whole. Columns besides id and text are not read. Without documents there are no
+rows, without items no hits.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.text import ALNUM, blocks, covered, filter_blocks, gram_hash, gram_inside, map_blocks, row_sums, word_hash, words
+from pageloom.llm.storage import saved
+from pageloom.llm.text import ALNUM, Words, blocks, covered, filter_blocks, gram_hash, gram_inside, map_blocks, row_sums, word_hash, words
 
 #: Largest total of item bytes that is sent to every task; beyond it the grams are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: What an item counts besides its text.
+ITEM_BYTES = 64
+#: Items that are held against a text at a time where grams are joined by a shuffle.
+LOT = 64
 
 
 def winnow(hashes: np.ndarray, found, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,19 +54,24 @@ def winnow(hashes: np.ndarray, found, k: int, window: int) -> tuple[np.ndarray,
     return at, grams[at]
 
 
-def runs(a: np.ndarray, b: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Start and length of the runs of at least window equal neighbours."""
-    same = np.r_[False, a == b, False]
+def runs(same: np.ndarray, window: int) -> list[tuple[int, int]]:
+    """Start and length of the runs of at least window true neighbours."""
+    same = np.r_[False, same, False]
     edges = np.flatnonzero(same[1:] != same[:-1])
     return [(s, e - s) for s, e in zip(edges[::2], edges[1::2], strict=True) if e - s >= window]
 
 
+def word_bytes(block, found: Words, low: int, high: int) -> list[bytes]:
+    """The words from low to high, lower-cased in A-Z."""
+    return [block.data[a:b].tobytes().lower() for a, b in zip(found.start[low:high].tolist(), found.end[low:high].tolist(), strict=True)]
+
+
 @dataclass
 class ItemIndex:
-    """Kept grams of the items, sorted by hash, and the items' word hashes."""
+    """Kept grams of the items, sorted by hash, and the items' words."""
 
     ids: list
-    hashes: list[np.ndarray]
+    words: list[list[bytes]]
     gram: np.ndarray
     item: np.ndarray
     at: np.ndarray
@@ -67,27 +81,27 @@ class ItemIndex:
 
     @classmethod
     def build(cls, ids: list, texts: list[str | None], k: int, window: int) -> ItemIndex:
-        hashes: list[np.ndarray] = []
+        own: list[list[bytes]] = []
         grams, items, ats = [], [], []
         short: dict[int, list[tuple[int, int]]] = {}
         for block in blocks(pa.array(texts, pa.string())):
             found = words(block, ALNUM)
-            all_hashes = word_hash(block, found, lower=True)
-            at, gram = winnow(all_hashes, found, k, window)
+            hashes = word_hash(block, found, lower=True)
+            at, gram = winnow(hashes, found, k, window)
             row = found.row[at]
             grams.append(gram)
-            items.append(row + len(hashes))
+            items.append(row + len(own))
             ats.append(at - found.first[row])
             for r in range(len(block)):
-                own = all_hashes[found.first[r] : found.first[r + 1]]
-                if 0 < len(own) < window:
-                    short.setdefault(len(own), []).append((int(gram_hash(own, len(own))[0]), len(hashes)))
-                hashes.append(own)
+                low, high = int(found.first[r]), int(found.first[r + 1])
+                if 0 < high - low < window:
+                    short.setdefault(high - low, []).append((int(gram_hash(hashes[low:high], high - low)[0]), len(own)))
+                own.append(word_bytes(block, found, low, high))
         gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(gram, kind="stable")
         cut = lambda parts: np.concatenate(parts)[order] if parts else np.zeros(0, np.int64)
         tables = {n: (np.array([h for h, _ in sorted(x)], np.uint64), np.array([i for _, i in sorted(x)])) for n, x in short.items()}
-        return cls(ids, hashes, gram[order], cut(items), cut(ats), tables, k, window)
+        return cls(ids, own, gram[order], cut(items), cut(ats), tables, k, window)
 
     def lookup(self, table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (index into values, index into the sorted table) of equal hashes."""
@@ -96,9 +110,10 @@ class ItemIndex:
         at = np.repeat(np.arange(len(values)), n)
         return at, np.repeat(low, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
 
-    def match(self, hashes: np.ndarray, found) -> list[tuple[int, int, int, int]]:
-        """(row, item, first word, words) of every maximal match; words count from the block's first."""
+    def match(self, block, found: Words) -> list[tuple[int, int, int, int]]:
+        """(row, item, first word, words) of every maximal match; words count from the block's first. Hashes only propose, words are compared by their bytes."""
         out = []
+        hashes = word_hash(block, found, lower=True)
         at, gram = winnow(hashes, found, self.k, self.window)
         near = np.flatnonzero(self.gram[np.minimum(np.searchsorted(self.gram, gram), max(len(self.gram) - 1, 0))] == gram) if len(self.gram) else []
         if len(near):
@@ -106,14 +121,17 @@ class ItemIndex:
             p, q = self.lookup(self.gram, gram)
             spots = np.unique(np.stack([found.row[at[p]], self.item[q], at[p] - self.at[q]]), axis=1)
             for row, item, shift in spots.T.tolist():
-                own = self.hashes[item]
-                low, high = max(0, found.first[row] - shift), min(len(own), found.first[row + 1] - shift)
-                out += [(row, item, shift + low + s, n) for s, n in runs(own[low:high], hashes[shift + low : shift + high], self.window)]
+                own = self.words[item]
+                low, high = max(0, int(found.first[row]) - shift), min(len(own), int(found.first[row + 1]) - shift)
+                same = np.fromiter(map(eq, own[low:high], word_bytes(block, found, shift + low, shift + high)), bool, high - low)
+                out += [(row, item, shift + low + s, n) for s, n in runs(same, self.window)]
         for n, (table, items) in self.short.items():
             grams = gram_hash(hashes, n)
             inside = np.flatnonzero(gram_inside(found, n))
             p, q = self.lookup(table, grams[inside])
-            out += [(int(found.row[s]), int(items[j]), int(s), n) for s, j in zip(inside[p], q, strict=True)]
+            for s, item in zip(inside[p].tolist(), items[q].tolist(), strict=True):
+                if self.words[item] == word_bytes(block, found, s, s + n):
+                    out.append((int(found.row[s]), item, s, n))
         return out
 
 
@@ -125,8 +143,7 @@ def _scan(docs: DataFrame, index, id_col: str) -> DataFrame:
 
     def fn(block, rows):
         found = words(block, ALNUM)
-        hashes = word_hash(block, found, lower=True)
-        hits = index.value.match(hashes, found)
+        hits = index.value.match(block, found)
         hit = covered(np.array([h[2] for h in hits], np.int64), np.array([h[3] for h in hits], np.int64), len(found)) if hits else np.zeros(len(found), bool)
         ids: list[set] = [set() for _ in range(len(block))]
         for row, item, _, _ in hits:
@@ -140,16 +157,15 @@ def _scan(docs: DataFrame, index, id_col: str) -> DataFrame:
     return map_blocks(docs, [id_col], fn, _FOUND.format(id=id_col, kind=kind))
 
 
-def _grams(frame: DataFrame, key: str, k: int, window: int) -> DataFrame:
-    """Distinct (key, kept gram) of a frame of whole texts."""
+def _grams(frame: DataFrame, key: str, k: int, window: int, lengths: list[int]) -> DataFrame:
+    """Distinct (key, kept gram) of a frame of whole texts; of the given short lengths an item's whole text and all grams of a document."""
 
     def fn(block, rows):
         found = words(block, ALNUM)
         hashes = word_hash(block, found, lower=True)
         at, gram = winnow(hashes, found, k, window)
-        row = [found.row[at]]
-        gram = [gram]
-        for n in range(1, window):  # whole short texts; a document's grams of these lengths
+        row, gram = [found.row[at]], [gram]
+        for n in lengths:
             inside = np.flatnonzero(gram_inside(found, n))
             if key == "_item":
                 inside = inside[found.per_row[found.row[inside]] == n]
@@ -158,37 +174,43 @@ def _grams(frame: DataFrame, key: str, k: int, window: int) -> DataFrame:
         row, gram = np.concatenate(row), np.concatenate(gram)
         return pa.record_batch({key: rows.column(key).take(pa.array(row)), "_gram": gram.view(np.int64)})
 
-    return map_blocks(frame, [key], fn, f"{key} string, _gram long").distinct()
+    return map_blocks(frame, [key], fn, f"{key} long, _gram long").distinct()
 
 
 def _joined(docs: DataFrame, items: DataFrame, id_col: str, item_id: str, k: int, window: int) -> DataFrame:
-    """The same result with the grams joined by a shuffle, for items of any size."""
-    docs = docs.select(id_col, "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_doc"))
-    texts = docs.select("_doc", "text").dropDuplicates(["_doc"])
-    items = items.select(F.col(item_id).cast("string").alias("_item"), F.col("text").alias("_item_text"))
-    items = items.withColumn("_item", F.to_json(F.struct("_item", "_item_text")))
-    doc_grams = _grams(texts, "_doc", k, window)
-    item_grams = _grams(items.select("_item", F.col("_item_text").alias("text")), "_item", k, window)
-    pairs = doc_grams.join(item_grams, "_gram").select("_doc", "_item").distinct()
-    pairs = pairs.join(texts, "_doc")
+    """The same result with the grams joined by a shuffle, for items of any size.
+
+    Rows get numbers that are saved with them; a text meets its items in lots of about ``LOT``, so neither is held as a whole.
+    """
+    number = F.monotonically_increasing_id()
+    docs = saved(docs.select(number.alias("_doc"), id_col, "text"))
+    items = saved(items.select(number.alias("_item"), F.col(item_id).cast("string").alias("_id"), F.col("text").alias("_text")))
+
+    def size(block, rows):
+        return pa.record_batch({"n": words(block, ALNUM).per_row.astype(np.int64)})
+
+    own = items.select("_item", F.col("_text").alias("text"))
+    lengths = sorted(r.n for r in map_blocks(own, ["_item"], size, "n long").filter(f"n between 1 and {window - 1}").distinct().collect())
+    item_grams = _grams(own, "_item", k, window, lengths)
+    pairs = _grams(docs, "_doc", k, window, lengths).join(item_grams, "_gram").select("_doc", "_item").distinct()
+    lots = pairs.groupBy("_doc").agg(F.ceil(F.count("*") / LOT).alias("_lots"))
+    pairs = pairs.join(lots, "_doc").withColumn("_lot", F.pmod(F.xxhash64("_item"), "_lots")).join(items, "_item")
+    lots = pairs.groupBy("_doc", "_lot").agg(F.collect_list(F.struct("_id", "_text")).alias("_items"))
+    rows = lots.join(docs.select("_doc", "text"), "_doc")
 
     def verify(block, rows):
-        import json
-
         found = words(block, ALNUM)
-        hashes = word_hash(block, found, lower=True)
         out: dict[str, list] = {"_doc": [], "_id": [], "_start": [], "_n": []}
-        for row, (doc, item) in enumerate(zip(rows.column("_doc").to_pylist(), rows.column("_item").to_pylist(), strict=True)):
-            one = json.loads(item)
-            index = ItemIndex.build([one.get("_item")], [one.get("_item_text")], k, window)
+        for row, (doc, held) in enumerate(zip(rows.column("_doc").to_pylist(), rows.column("_items").to_pylist(), strict=True)):
+            index = ItemIndex.build([str(x["_id"]) for x in held], [x["_text"] for x in held], k, window)
             low, high = found.first[row], found.first[row + 1]
-            part = type(found)(found.start[low:high], found.end[low:high], np.zeros(high - low, np.int64), np.array([0, high - low]))
-            for _, _, start, n in index.match(hashes[low:high], part):
-                for name, value in zip(out, (doc, str(one.get("_item")), start, n), strict=True):
-                    out[name].append(int(value) if name in ("_start", "_n") else value)
-        return pa.record_batch({"_doc": pa.array(out["_doc"], pa.string()), "_id": pa.array(out["_id"], pa.string()), "_start": pa.array(out["_start"], pa.int64()), "_n": pa.array(out["_n"], pa.int64())})
+            part = Words(found.start[low:high], found.end[low:high], np.zeros(high - low, np.int64), np.array([0, high - low]))
+            for _, item, start, n in index.match(block, part):
+                for name, value in zip(out, (doc, index.ids[item], start, n), strict=True):
+                    out[name].append(value)
+        return pa.record_batch({"_doc": pa.array(out["_doc"], pa.int64()), "_id": pa.array(out["_id"], pa.string()), "_start": pa.array(out["_start"], pa.int64()), "_n": pa.array(out["_n"], pa.int64())})
 
-    hits = map_blocks(pairs, ["_doc", "_item"], verify, "_doc string, _id string, _start long, _n long")
+    hits = map_blocks(rows, ["_doc", "_items"], verify, "_doc long, _id string, _start long, _n long")
     # words of the union of the matches of a text: sorted by start, what each adds beyond the farthest end so far
     spans = F.array_sort(F.collect_set(F.struct("_start", (F.col("_start") + F.col("_n")).alias("_end"))))
     union = F.aggregate(
@@ -202,7 +224,7 @@ def _joined(docs: DataFrame, items: DataFrame, id_col: str, item_id: str, k: int
         return pa.record_batch({id_col: rows.column(id_col), "_doc": rows.column("_doc"), "n_words": words(block, ALNUM).per_row.astype(np.int64)})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    counted = map_blocks(docs, [id_col, "_doc"], count, f"{id_col} {kind}, _doc string, n_words long")
+    counted = map_blocks(docs, [id_col, "_doc"], count, f"{id_col} {kind}, _doc long, n_words long")
     none = F.array().cast("array<string>")
     return counted.join(hits, "_doc", "left").select(id_col, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
 
@@ -211,7 +233,7 @@ def _index(docs: DataFrame, items: DataFrame, item_id: str, window: int, k: int,
     """The items' index as a broadcast, or None if they are too large for one."""
     if not 0 < k <= window:
         raise ValueError("k must be between 1 and window")
-    size = items.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
+    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ITEM_BYTES))).first()[0] or 0
     if size > limit:
         return None
     held = items.select(item_id, "text").collect()
@@ -234,7 +256,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", ite
     def clean(block):
         found = words(block, ALNUM)
         out = np.ones(len(block), bool)
-        out[[h[0] for h in index.value.match(word_hash(block, found, lower=True), found)]] = False
+        out[[h[0] for h in index.value.match(block, found)]] = False
         return out
 
     return filter_blocks(docs, clean)

@@ -17,7 +17,8 @@ whose maps are sums; the scan over them is a running sum.
 
 The model must be of the sentencepiece kind with byte fallback, a dummy prefix
 and no normalisation; ``Transducer`` refuses others. Null and empty texts have
-no tokens. Repeated rows are counted each.
+no tokens. Repeated rows are counted each. Texts of any length are counted
+whole. Columns besides id and text are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.text import Block, map_blocks, row_sums, span_hash, span_sums, words
+from pageloom.llm.text import Block, WordMemo, map_blocks, row_sums, words
 
 MARK = "▁"
 _MARK_BYTES = MARK.encode()
 MAX_STATES = 200_000
 #: Texts above this size are cut into chunks of it, and their maps composed.
 CHUNK_BYTES = 1 << 20
-_RECENT = 1 << 20
 _NOT_SPACE = np.ones(256, bool)
 _NOT_SPACE[0x20] = False
 _NEVER = 1 << 60
@@ -240,28 +240,12 @@ def scan(maps: list[ChunkMap], machine: Transducer) -> list[ChunkMap]:
 
 
 class BlockCounter:
-    """Counts for blocks of texts; words met lately are remembered by hash."""
+    """Counts for blocks of texts; words met lately are remembered."""
 
     def __init__(self, model_file: str, chunk_bytes: int = CHUNK_BYTES):
         self.machine = Transducer(model_file)
         self.chunk = chunk_bytes
-        self.recent = np.zeros(_RECENT, np.uint64)
-        self.recent_count = np.zeros(_RECENT, np.int64)
-
-    def _words(self, block: Block, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        hashes = span_hash(span_sums(block, lower=False), start, end)
-        slot = (hashes & np.uint64(_RECENT - 1)).astype(np.int64)
-        count = self.recent_count[slot]
-        miss = np.flatnonzero(self.recent[slot] != hashes)
-        if len(miss):
-            unique, first, inverse = np.unique(hashes[miss], return_index=True, return_inverse=True)
-            data, at = block.data.tobytes(), miss[first]
-            run = self.machine.count
-            made = np.fromiter((run(data[s:e].decode()) for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True)), np.int64, len(unique))
-            count[miss] = made[inverse.reshape(-1)]
-            self.recent[slot[miss]] = hashes[miss]
-            self.recent_count[slot[miss]] = count[miss]
-        return count
+        self.memo = WordMemo(lambda texts: [self.machine.count(t.decode()) for t in texts])
 
     def _long(self, text: str) -> int:
         """A text by chunks: a map for each, composed by the scan."""
@@ -279,7 +263,7 @@ class BlockCounter:
         found = words(block, _NOT_SPACE)
         fast = ~slow[found.row]
         start, end, row = found.start[fast], found.end[fast], found.row[fast]
-        count = self._words(block, start, end)
+        count = self.memo.numbers(block.data, start, end)
         # spaces before each word (and the mark that every text begins with), and after the last
         opens = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, bool)
         marks = start - np.where(opens, block.offsets[row], np.r_[0, end[:-1]] if len(end) else end) + opens

@@ -13,21 +13,24 @@ training text (no sample), added up per language and bucket. For up to
 splits of a fixed seed.
 
 Null texts and texts without a letter are ``und`` with score 0. Null and empty
-lang values are not learned. Without training rows everything is ``und``.
-Repeated rows are counted and answered each.
+lang values are not learned. Without training rows everything is ``und``; an
+empty table gives no rows. Repeated rows are counted and answered each. Texts of
+any length are read whole. Of languages with equal losses the first by name is
+taken, and the text is ambiguous. Sums are of whole numbers, so a score does not
+depend on which rows share a task. Columns besides id, text and lang are not read.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.text import blocks, filter_blocks, map_blocks, mix, row_sums
+from pageloom.llm.text import LOWER, blocks, filter_blocks, map_blocks, mix, row_sums
 
 BUCKETS = 1 << 15
 #: Bytes in an n-gram.
@@ -40,14 +43,15 @@ PSEUDO = 0.5
 LEAST_GAP = 0.05
 SHARPNESS = 4.0
 
-_LETTER = re.compile(r"[^\W\d_]")
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
+#: Weights are whole numbers of this part, so that sums are the same however rows are put together.
+UNIT = 2.0**-20
+
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _grams(block, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each size: bucket of the n-gram at each byte, and whether it lies within its row."""
-    data = _LOWER[block.data].astype(np.uint64)
+    data = LOWER[block.data].astype(np.uint64)
     n = len(data)
     row = np.repeat(np.arange(len(block)), np.diff(block.offsets))
     out = []
@@ -104,7 +108,7 @@ def codewords(n: int) -> np.ndarray:
 class Decoder:
     langs: list[str]
     code: np.ndarray  # +1 and -1, a row for each language
-    weights: np.ndarray  # log odds, a row for each bucket and a column for each bit
+    weights: np.ndarray  # log odds in UNITs, a row for each bucket and a column for each bit
     trust: np.ndarray  # weight of the loss of each bit
 
     @classmethod
@@ -116,7 +120,7 @@ class Decoder:
         langs = sorted(table)
         bits = codewords(len(langs))
         if not langs:
-            return cls([], bits, np.zeros((buckets, 1), np.float32), np.ones(1))
+            return cls([], bits, np.zeros((buckets, 1), np.int32), np.ones(1))
         p = np.stack([table[x] + PSEUDO for x in langs])
         p /= p.sum(1, keepdims=True)  # each language counts alike
         columns, trust = [], []
@@ -131,7 +135,7 @@ class Decoder:
             # how far apart the two sides' expected log odds lie: the surer a bit, the more its loss counts
             trust.append(min(float((p[bit == 1] @ odds).min() - (p[bit == 0] @ odds).max()), 1.0))
         held = np.maximum(np.array(trust), 0.01)
-        return cls(langs, bits * 2.0 - 1, np.stack(columns, 1).astype(np.float32), held / held.sum())
+        return cls(langs, bits * 2.0 - 1, np.rint(np.stack(columns, 1) / UNIT).astype(np.int32), held / held.sum())
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its share and its gap to the second of each row of soft bits."""
@@ -152,13 +156,13 @@ def _answer(model: Decoder, block, least_gap: float) -> tuple[np.ndarray, np.nda
     told = np.array([_LETTER.search(block.text(r).decode()) is not None for r in range(n)], bool)
     if model.langs and told.any():
         width = model.weights.shape[1]
-        sums, grams = np.zeros((n, width)), np.zeros(n)
+        sums, grams = np.zeros((n, width), np.int64), np.zeros(n, np.int64)
         for bucket, inside in _grams(block, len(model.weights)):
             edge = np.minimum(block.offsets, len(bucket))
             grams += row_sums(inside, edge)
             for b in range(width):
-                sums[:, b] += row_sums((model.weights[:, b][bucket] * inside).astype(np.float64), edge)
-        best, share, gap = model.decode(sums / np.maximum(grams, 1)[:, None])
+                sums[:, b] += row_sums(model.weights[:, b][bucket] * inside, edge)
+        best, share, gap = model.decode(sums * UNIT / np.maximum(grams, 1)[:, None])
         pred[told] = np.array(model.langs, object)[best[told]]
         score[told] = share[told]
         unsure[told] = gap[told] < least_gap

@@ -12,15 +12,21 @@ Exact part. Documents of one shingle set are one node. In each band bucket the
 member that shares most buckets leads; each distinct (leader, member) pair is
 checked on the full sets, which also gives the member's difference from its
 leader. Members that are not linked to their leader may still be linked to one
-another: within a leader's members every pair of which one is not linked is
-checked from the differences alone, blocks of members against blocks, so no
-pairs become rows and no group has to fit a task. Since two documents of one
-bucket have its leader in common, no candidate pair goes unchecked. Links are
-joined to components by labels that spread and jump until they rest.
-
-Null and empty texts and texts without words have an empty set and no links.
-With fewer than five words the whole sequence is the one shingle. Repeated rows
-are of one component as their sets are equal. An empty table gives no rows.
+another: each of them is checked against all members of its leader from the
+differences alone, blocks of members against blocks, so no pairs become rows
+and no group has to fit a task. Since two documents of one bucket have its
+leader in common, no candidate pair goes unchecked. Links are joined to
+components by labels that spread and jump until they rest. Shingles are told
+apart by a 64-bit hash of their words' bytes, whole sets by 128 bits and their
+size.
+
+Ids are integers. Null and empty texts and texts without words have an empty set
+and no links; a component_id is then the row's own id. With fewer than five
+words the whole sequence is the one shingle. Long texts are read whole. Repeated
+rows are of one component as their sets are equal; an id with several texts has
+each row linked by its own text. Rows without an id are of the component of an
+equal set that has one, and are not compared beyond that. Columns besides id and
+text are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,8 +42,8 @@ from pageloom.llm.tokens import list_array
 
 COORDS, ROWS = 160, 4
 WORDS = 5
-#: Members of a leader that are held against as many others at a time.
-BLOCK_MEMBERS = 512
+#: Members of a leader that are held against as many others at a time, and that meet the leader in one lot.
+BLOCK_MEMBERS, LOT = 512, 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,6 +64,11 @@ def shingle_sets(block, k: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def _set_hash(items: np.ndarray) -> np.uint64:
+    """64-bit hash of a set of shingle hashes."""
+    return mix(items).sum(dtype=np.uint64)
+
+
 def sketch(sets: list[np.ndarray], coords: int = COORDS) -> np.ndarray:
     """A row of coordinates for each set; rows of empty sets stay zero."""
     n = len(sets)
@@ -68,7 +79,7 @@ def sketch(sets: list[np.ndarray], coords: int = COORDS) -> np.ndarray:
     for turn in range(2 * coords):
         if not len(item):
             break
-        value = mix(item ^ (np.uint64(turn + 1) * _ODD))
+        value = mix(item ^ (np.uint64((turn + 1) * int(_ODD) % (1 << 64))))
         if turn < coords:
             bin_ = ((value & np.uint64(0xFFFFFFFF)) * np.uint64(coords) >> np.uint64(32)).astype(np.int64)
         else:
@@ -104,7 +115,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         sets = shingle_sets(block)
         n = np.array([len(s) for s in sets])
         keys = band_keys(sketch(sets))
-        h1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
+        h1 = np.array([_set_hash(s) for s in sets], np.uint64)
         h2 = np.array([mix(s ^ _ODD).sum(dtype=np.uint64) for s in sets], np.uint64)
         bands = list_array(keys[n > 0].view(np.int64).reshape(-1), np.where(n > 0, keys.shape[1], 0))
         return pa.record_batch({id_col: rows.column(id_col), "n_shingles": n.astype(np.int64), "h1": h1.view(np.int64), "h2": h2.view(np.int64), "bands": bands})
@@ -125,35 +136,47 @@ def leader_pairs(nodes: DataFrame) -> DataFrame:
     return pairs.filter("leader <> member").distinct()
 
 
-def check_leaders(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """leader, member, linked, n_leader, missing, added, diff: the exact comparison of each pair."""
-    text = texts.select(F.col("node").alias("_node"), F.col("text").alias("_text"))
+def check_leaders(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """leader, member, linked, n_leader, missing, added, diff: the exact comparison of each pair.
+
+    A leader meets its members in lots of about ``LOT``, so no group has to fit a task; within a lot its set is made once and the members stream past it.
+    nodes: node, least (id), h1; docs: _id and text. Of a repeated id only texts of the node's set count.
+    """
+    lots = pairs.groupBy("leader").agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots"))
+    lot = F.pmod(F.xxhash64("member"), "lots").cast("int")
+    asked = pairs.join(lots, "leader").select("leader", lot.alias("lot"), F.lit(1).alias("role"), F.col("member").alias("node"))
+    leads = lots.select("leader", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("role"), F.col("leader").alias("node"))
+    asked = asked.union(leads).join(nodes.select("node", "least", "h1"), "node")
     # texts meet ids by one plan at every size, which a broadcast of few ids would not be
-    rows = pairs.hint("merge").join(text, F.col("member") == F.col("_node")).select("leader", "member", F.col("_text").alias("text"))
-    rows = rows.hint("merge").join(text, F.col("leader") == F.col("_node")).select("leader", "member", "text", F.col("_text").alias("leader_text"))
-
-    def fn(block, batch):
-        leader = batch.column("leader").to_numpy()
-        own, first = np.unique(leader, return_index=True)
-        held: dict[int, np.ndarray] = {}
-        for b in blocks(batch.column("leader_text").take(pa.array(first))):
-            held |= {int(own[b.first + i]): s for i, s in enumerate(shingle_sets(b))}
-        linked, missing, added, diffs = [], [], [], []
-        for member, lead in zip(shingle_sets(block), leader.tolist(), strict=True):
-            base = held[lead]
-            diff = np.setxor1d(base, member, assume_unique=True)
-            both = (len(base) + len(member) - len(diff)) // 2
-            linked.append(100 * both >= percent * (both + len(diff)))
-            missing.append(len(base) - both)
-            added.append(len(member) - both)
-            diffs.append(diff)
-        return pa.record_batch({
-            "leader": batch.column("leader"), "member": batch.column("member"), "linked": pa.array(linked, pa.bool_()),
-            "n_leader": pa.array([len(held[x]) for x in leader.tolist()], pa.int64()), "missing": pa.array(missing, pa.int64()), "added": pa.array(added, pa.int64()),
-            "diff": list_array(np.concatenate(diffs).view(np.int64), np.array([len(d) for d in diffs])),
-        })
-
-    return map_blocks(rows, ["leader", "member", "leader_text"], fn, "leader long, member long, linked boolean, n_leader long, missing long, added long, diff array<long>")
+    rows = asked.hint("merge").join(docs, F.col("least") == F.col("_id")).select("leader", "lot", "role", "node", "h1", "text")
+    rows = rows.repartition("leader", "lot").sortWithinPartitions("leader", "lot", "role", "node")
+
+    def run(batches):
+        own, base, last = None, None, None
+        for batch in batches:
+            col = {c: batch.column(c).to_pylist() for c in ("leader", "lot", "role", "node", "h1")}
+            for block in blocks(batch.column("text")):
+                out: dict[str, list] = {c: [] for c in ("leader", "member", "linked", "n_leader", "missing", "added")}
+                diffs = [np.zeros(0, np.uint64)]
+                for i, member in enumerate(shingle_sets(block), block.first):
+                    key, node = (col["leader"][i], col["lot"][i]), col["node"][i]
+                    if (key, node) == last or int(_set_hash(member).view(np.int64)) != col["h1"][i]:
+                        continue  # a repeated row, or another text of the id
+                    last = key, node
+                    if not col["role"][i]:
+                        own, base = key, member
+                        continue
+                    if own != key:
+                        raise ValueError(f"no text of leader {key[0]}")
+                    diff = np.setxor1d(base, member, assume_unique=True)
+                    both = (len(base) + len(member) - len(diff)) // 2
+                    linked = 100 * both >= percent * (both + len(diff))
+                    for name, value in zip(out, (key[0], node, linked, len(base), len(base) - both, len(member) - both), strict=True):
+                        out[name].append(value)
+                    diffs.append(diff)
+                yield pa.record_batch({c: pa.array(v, pa.bool_() if c == "linked" else pa.int64()) for c, v in out.items()} | {"diff": list_array(np.concatenate(diffs).view(np.int64), np.array([len(d) for d in diffs[1:]], np.int64))})
+
+    return rows.mapInArrow(run, "leader long, member long, linked boolean, n_leader long, missing long, added long, diff array<long>")
 
 
 def _pair_links(left, right, n_leader: int, percent: int) -> list[tuple[int, int]]:
@@ -206,36 +229,48 @@ def _pair_links(left, right, n_leader: int, percent: int) -> list[tuple[int, int
 
 
 def check_members(checked: DataFrame, percent: int, block_members: int | None = None) -> DataFrame:
-    """Links (a, b) between members of one leader, of which at least one is not linked to it."""
-    groups = checked.groupBy("leader").agg(F.count("*").alias("n"), F.max(F.when(F.col("linked"), 0).otherwise(1)).alias("open")).filter("n > 1 and open = 1")
-    rows = checked.join(groups.select("leader", F.ceil(F.col("n") / (block_members or BLOCK_MEMBERS)).cast("int").alias("parts")), "leader")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("member"), "parts").cast("int"))
-    # each member meets every block once: as the left block of the pair or as the right one
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = rows.withColumn("other", other).select(
-        "leader", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "member", "linked", "n_leader", "missing", "added", "diff"
-    )
-    rows = rows.repartition("leader", "p", "q").sortWithinPartitions("leader", "p", "q", "part", "member")
+    """Links (a, b) between members of one leader, of which at least one is not linked to it.
+
+    Open members (not linked to the leader) meet the open ones and the linked ones block by block; linked ones never meet each other.
+    """
+    size = block_members or BLOCK_MEMBERS
+    is_open = F.when(F.col("linked"), 0).otherwise(1)
+    groups = checked.groupBy("leader").agg(F.count("*").alias("n"), F.sum(is_open).alias("u")).filter("n > 1 and u > 0")
+    parts = groups.select("leader", F.ceil(F.col("u") / size).cast("int").alias("opens"), F.ceil((F.col("n") - F.col("u")) / size).cast("int").alias("rest"))
+    rows = checked.join(parts, "leader").withColumn("part", F.pmod(F.xxhash64("member"), F.when(F.col("linked"), F.col("rest")).otherwise(F.col("opens"))).cast("int"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def meet(kind: int, p, q, side):
+        return F.struct(F.lit(kind).alias("kind"), p.alias("p"), q.alias("q"), side.alias("side"))
+
+    part = F.col("part")
+    # kind 0: open blocks p <= q; kind 1: an open block p and a linked block q; side: which of the two this member is of
+    among = F.transform(upto(F.col("opens")), lambda x: meet(0, F.least(part, x), F.greatest(part, x), F.when(part <= x, 0).otherwise(1)))
+    across = F.transform(upto(F.col("rest")), lambda x: meet(1, part, x, F.lit(0)))
+    back = F.transform(upto(F.col("opens")), lambda x: meet(1, x, part, F.lit(1)))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("linked"), back).otherwise(F.concat(among, across))))
+    rows = rows.select("leader", "at.kind", "at.p", "at.q", "at.side", "member", "linked", "n_leader", "missing", "added", "diff")
+    rows = rows.repartition("leader", "kind", "p", "q").sortWithinPartitions("leader", "kind", "p", "q", "side", "member")
 
     def run(batches):
         held: list[pa.RecordBatch] = []
         now = None
 
-        def side(part):
+        def side(of):
             table = pa.Table.from_batches(held)
-            table = table.filter(pa.array(table.column("part").to_numpy() == part)).combine_chunks()
+            table = table.filter(pa.array(table.column("side").to_numpy() == of)).combine_chunks()
             diff = table.column("diff").combine_chunks()
             sizes = np.diff(diff.offsets.to_numpy())
             col = lambda name: table.column(name).to_numpy()
             return col("member"), col("linked").astype(bool), col("missing"), col("added"), diff.flatten().to_numpy(), sizes
 
         def flush():
-            left = side(now[1])
-            links = _pair_links(left, left if now[1] == now[2] else side(now[2]), held[0].column("n_leader")[0].as_py(), percent)
+            left = side(0)
+            links = _pair_links(left, left if now[1] == 0 and now[2] == now[3] else side(1), held[0].column("n_leader")[0].as_py(), percent)
             return pa.record_batch({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("leader", "p", "q")])
+            keys = np.stack([batch.column(c).to_numpy() for c in ("leader", "kind", "p", "q")])
             edges = np.r_[0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, batch.num_rows]
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 key = tuple(keys[:, low].tolist())
@@ -271,17 +306,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", percent: int = 75) -> DataFrame:
     """id, n_shingles, component_id of every row of docs; ids are integers."""
-    signed = saved(signatures(docs.select(F.col(id_col).cast("long").alias("_id"), "text"), "_id"))
-    nodes = signed.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("_id").alias("node"), F.first("bands").alias("bands"))
-    nodes = saved(nodes)
-    pairs = saved(leader_pairs(nodes.filter("node is not null").select("node", "bands")))
-    used = pairs.select(F.col("leader").alias("_u")).union(pairs.select("member")).distinct()
-    # of a repeated id any text of the right set will do; ids stand for their set
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), "text").join(used.hint("merge"), F.col("node") == F.col("_u"), "left_semi")
-    checked = saved(check_leaders(pairs, texts, percent))
+    docs = docs.select(F.col(id_col).cast("long").alias("_id"), "text")
+    signed = saved(signatures(docs, "_id"))
+    nodes = signed.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("_id").alias("least"), F.first("bands").alias("bands"))
+    nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()))
+    pairs = saved(leader_pairs(nodes.filter("least is not null").select("node", "bands")))
+    checked = saved(check_leaders(pairs, nodes, docs, percent))
     links = checked.filter("linked").select(F.col("leader").alias("a"), F.col("member").alias("b")).union(check_members(checked, percent))
     found = components(links)
-    sets = nodes.join(found, "node", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    named = found.join(nodes.select("node", "least"), "node")
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
+    sets = nodes.join(named, "node", "left").select("h1", "h2", "n_shingles", F.coalesce("component_id", "least").alias("component_id"))
     rows = signed.join(sets, ["h1", "h2", "n_shingles"], "left")
     return rows.select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("component_id", F.col("_id")).alias("component_id"))
 

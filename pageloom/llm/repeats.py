@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm.storage import saved
-from pageloom.llm.text import blocks, map_blocks, mix, span_hash, span_sums
+from pageloom.llm.text import blocks, map_blocks, mix, rolling_hash, rolling_sums, span_hash
 from pageloom.llm.tokens import list_array
 
 LENGTH, GRAM = 100, 24
@@ -50,9 +50,8 @@ def anchors(block, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray,
     none = np.zeros(0, np.int64)
     if n < length:
         return none.view(np.uint64), none.view(np.uint64), none, none, none, none
-    sums = span_sums(block, lower=False)
     at = np.arange(n - gram + 1)
-    grams = span_hash(sums, at, at + gram)
+    grams = rolling_hash(rolling_sums(block), at, at + gram)
     key = (grams & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - at.astype(np.uint64))
     width, have, low = length - gram + 1, 1, key
     while 2 * have <= width:
@@ -72,7 +71,7 @@ def anchors(block, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray,
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])])
     last = np.r_[new[1:], len(starts)] - 1
     first, final, place = starts[new], starts[last], anchor[new]
-    context = mix(span_hash(sums, first, final + length) ^ (place - first).astype(np.uint64))
+    context = mix(span_hash(block.data, first, final + length) ^ (place - first).astype(np.uint64))
     return grams[place], context, row[new], first - block.offsets[row[new]], place - first, final - first
 
 

@@ -12,8 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 BLOCK_BYTES = 1 << 21
+#: Spans above so many bytes are hashed one by one.
+LONG = 64
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -34,14 +37,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_codes(lower: bool) -> np.ndarray:
-    codes = mix(np.arange(1, 257, dtype=np.uint64) * _MULT) | np.uint64(1)
-    if lower:
-        codes[0x41:0x5B] = codes[0x61:0x7B]
-    return codes
-
-
-_CODES = {False: _byte_codes(False), True: _byte_codes(True)}
+_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _MULT) | np.uint64(1)
+#: A-Z as a-z, all other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+#: Keeps the first n of eight bytes.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -127,22 +128,87 @@ def words(block: Block, table: np.ndarray, cut: np.ndarray | None = None) -> Wor
     return Words(start, end, row, first)
 
 
-def span_sums(block: Block, lower: bool) -> np.ndarray:
-    """Prefix sums from which the hash of any byte span follows."""
+def rolling_sums(block: Block) -> np.ndarray:
+    """Prefix sums from which ``rolling_hash`` of any byte span follows."""
     sums = np.zeros(len(block.data) + 1, np.uint64)
-    np.cumsum(_CODES[lower][block.data] * _power("up", len(block.data)), out=sums[1:])
+    np.cumsum(_CODES[block.data] * _power("up", len(block.data)), out=sums[1:])
     return sums
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes from start to end; equal bytes hash alike everywhere."""
+def rolling_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash to choose by, of the bytes from start to end: equal bytes hash alike, but long unequal ones may be made to, so it never tells texts apart."""
     inverse = _power("down", len(sums))
     body = (sums[end] - sums[start]) * inverse[start]
     return mix(body + (end - start).astype(np.uint64) * _MULT)
 
 
+def _eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of the data on as a number; after the end come zeros."""
+    return np.ndarray(len(data), "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes from start to end; equal bytes hash alike everywhere.
+
+    Spans of up to ``LONG`` bytes are mixed eight bytes at a time, longer ones go to XXH3.
+    """
+    size = end - start
+    out = mix(size.astype(np.uint64) * _MULT)
+    short = np.flatnonzero((size <= LONG) & (size > 0))
+    wide, at = _eight(data), 0
+    while len(short):
+        left = size[short] - at
+        value = wide[start[short] + at] & _MASKS[np.minimum(left, 8)]
+        out[short] = mix(out[short] * _STEP ^ value)
+        at += 8
+        short = short[left > 8]
+    far = np.flatnonzero(size > LONG)
+    if len(far):
+        view = memoryview(np.ascontiguousarray(data))
+        out[far] = np.fromiter((xxh3_64_intdigest(view[a:b]) for a, b in zip(start[far].tolist(), end[far].tolist(), strict=True)), np.uint64, len(far))
+    return out
+
+
 def word_hash(block: Block, found: Words, lower: bool) -> np.ndarray:
-    return span_hash(span_sums(block, lower), found.start, found.end)
+    return span_hash(LOWER[block.data] if lower else block.data, found.start, found.end)
+
+
+class WordMemo:
+    """A number for each word, remembered by the bytes of the word and not by a hash of them.
+
+    ``make`` gets a list of distinct words (bytes) and gives their numbers. Words
+    of up to 16 bytes that were seen lately are found in a table of slots.
+    """
+
+    def __init__(self, make, slots: int = 1 << 20):
+        self.make = make
+        self.mask = np.uint64(slots - 1)
+        self.first, self.second = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.size, self.number = np.zeros(slots, np.uint8), np.zeros(slots, np.int64)
+
+    def clear(self) -> None:
+        self.size[:] = 0
+
+    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of each word from start to end (one byte at least)."""
+        if not len(start):
+            return np.zeros(0, np.int64)
+        size, wide = end - start, _eight(data)
+        first = wide[start] & _MASKS[np.minimum(size, 8)]
+        second = wide[np.minimum(start + 8, len(data) - 1)] & _MASKS[np.clip(size - 8, 0, 8)]
+        slot = (mix(first ^ mix(second + size.astype(np.uint64) * _MULT)) & self.mask).astype(np.int64)
+        out = self.number[slot]
+        miss = np.flatnonzero((self.first[slot] != first) | (self.second[slot] != second) | (self.size[slot] != size))
+        if len(miss):
+            held = data.tobytes()
+            texts = [held[a:b] for a, b in zip(start[miss].tolist(), end[miss].tolist(), strict=True)]
+            own = list(dict.fromkeys(texts))
+            made = dict(zip(own, np.asarray(self.make(own)).tolist(), strict=True))
+            out[miss] = np.fromiter((made[t] for t in texts), np.int64, len(texts))
+            keep = miss[size[miss] <= 16]
+            at = slot[keep]
+            self.first[at], self.second[at], self.size[at], self.number[at] = first[keep], second[keep], size[keep], out[keep]
+        return out
 
 
 def gram_hash(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -150,7 +216,7 @@ def gram_hash(hashes: np.ndarray, k: int) -> np.ndarray:
     n = max(len(hashes) - k + 1, 0)
     out = np.zeros(n, np.uint64)
     for j in range(k):
-        out = out * _STEP + hashes[j : j + n]
+        out = (out ^ (out >> np.uint64(32))) * _STEP + hashes[j : j + n]
     return mix(out ^ np.uint64(k))
 
 
@@ -169,8 +235,8 @@ def covered(starts: np.ndarray, width: int | np.ndarray, n: int) -> np.ndarray:
 
 
 def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sum of values[first[i]:first[i+1]] for each row."""
-    sums = np.zeros(len(values) + 1, values.dtype if values.dtype.kind == "f" else np.int64)
+    """Sum of the whole numbers values[first[i]:first[i+1]] for each row."""
+    sums = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[first[1:]] - sums[first[:-1]]
 

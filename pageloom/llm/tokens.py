@@ -17,10 +17,11 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from pageloom.llm.text import Block, span_hash, span_sums, words
+from pageloom.llm.text import LOWER, Block, WordMemo, words
 
-#: Pieces that a worker remembers before it starts anew, at about 50 bytes each.
-CACHE_PIECES = 2_000_000
+#: Pieces that a worker remembers before it starts anew, at about 150 bytes each, and their bytes in all.
+CACHE_PIECES = 500_000
+CACHE_BYTES = 32 << 20
 #: Pieces are cut at these bytes only: space, tab, line feed, carriage return.
 _PIECE = np.ones(256, bool)
 _PIECE[[0x20, 0x09, 0x0A, 0x0D]] = False
@@ -32,8 +33,6 @@ _KIND[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B,
 
 #: A piece of Latin letters only, which the pre-tokenizer leaves whole and the normalizer but lower-cases.
 _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-#: Slots of the table of pieces seen last; two pieces of one slot only cost a slower lookup.
-_RECENT = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -68,16 +67,16 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = cache
-        self._reset()
         self.bytes = _byte_letters()
+        self.memo = WordMemo(self._look_up)
+        self._reset()
 
     def _reset(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # sorted hashes of pieces
-        self.place = np.zeros(0, np.int64)  # of each: its number
+        self.known: dict[bytes, int] = {}  # number of each piece
+        self.held = 0  # bytes of these pieces
         self.offsets = np.zeros(1, np.int64)  # of each number: where its ids begin
         self.ids = np.zeros(0, np.int32)
-        self.recent = np.zeros(_RECENT, np.uint64)  # hash of the piece last seen in each slot
-        self.recent_place = np.zeros(_RECENT, np.int64)
+        self.memo.clear()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,47 +90,26 @@ class PieceEncoder:
             out[i] = ids
         return out
 
-    def _numbers(self, block: Block, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The number of each piece in the store."""
-        if len(self.known) > self.cache:
-            self._reset()
-        hashes = span_hash(span_sums(block, lower=True), start, end)
-        slot = (hashes & np.uint64(_RECENT - 1)).astype(np.int64)
-        number = self.recent_place[slot]
-        miss = np.flatnonzero(self.recent[slot] != hashes)
-        if len(miss):
-            number[miss] = self._look_up(block, hashes[miss], start[miss], end[miss])
-            self.recent[slot[miss]] = hashes[miss]
-            self.recent_place[slot[miss]] = number[miss]
-        return number
-
-    def _look_up(self, block: Block, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The same from the sorted store; new pieces are encoded and added."""
-        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, unique)
-        new = np.ones(len(unique), bool)
-        if len(self.known):
-            new = self.known[np.minimum(at, len(self.known) - 1)] != unique
-        fresh = np.flatnonzero(new)
-        if len(fresh):
-            data = block.data.tobytes()
-            texts = [data[s:e].decode() for s, e in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)]
-            made = self._encode_pieces(texts)
+    def _look_up(self, pieces: list[bytes]) -> list[int]:
+        """The number of each piece in the store; new pieces are encoded and added."""
+        fresh = [p for p in pieces if p not in self.known]
+        if fresh:
+            made = self._encode_pieces([p.decode() for p in fresh])
             sizes = np.fromiter(map(len, made), np.int64, len(made))
-            numbers = np.arange(len(fresh)) + len(self.offsets) - 1
+            self.known.update(zip(fresh, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(fresh)), strict=True))
+            self.held += sum(map(len, fresh))
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
             self.ids = np.concatenate([self.ids, np.fromiter((i for x in made for i in x), np.int32, int(sizes.sum()))])
-            self.place = np.insert(self.place, at[fresh], numbers)
-            self.known = np.insert(self.known, at[fresh], unique[fresh])
-            at = np.searchsorted(self.known, unique)
-        return self.place[at][inverse.reshape(-1)]
+        return [self.known[p] for p in pieces]
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block's texts, and how many each text has."""
         found = words(block, _PIECE, _cuts(block.data))
         if not len(found):
             return np.zeros(0, np.int32), np.zeros(len(block), np.int64)
-        number = self._numbers(block, found.start, found.end)
+        if len(self.known) > self.cache or self.held > CACHE_BYTES:
+            self._reset()
+        number = self.memo.numbers(LOWER[block.data], found.start, found.end)
         sizes = self.offsets[number + 1] - self.offsets[number]
         total = int(sizes.sum())
         begin = np.cumsum(sizes) - sizes

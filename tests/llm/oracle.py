@@ -18,3 +18,8 @@ def same(frame, sql, tables):
     got = [tuple(r) for r in frame.select(*names).collect()]
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def binary_digits(n, letters):
+    """Thue-Morse string over two letters; a polynomial hash modulo a power of two can't tell it from its complement."""
+    return "".join(letters[i.bit_count() % 2] for i in range(n))

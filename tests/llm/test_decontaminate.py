@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
-from pageloom.llm.decontaminate import decontaminate, keep_clean
+from oracle import binary_digits
+
+from pageloom.llm.decontaminate import _index, decontaminate, keep_clean
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -56,3 +58,23 @@ def test_empty_tables(spark):
     assert decontaminate(d, it).first().n_hit == 0
     assert decontaminate(d.limit(0), it).count() == 0
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_hits_are_confirmed_by_their_bytes(spark):
+    docs = [(n, f"see {binary_digits(n, 'ab')} here") for n in (1024, 2048)]
+    items = [(n + k, binary_digits(n, two)) for n in (1024, 2048) for k, two in enumerate(("ba", "ab"))]
+    d, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for limit in (1 << 20, 0):
+        got = {r.doc_id: (r.n_hit, list(r.item_ids)) for r in decontaminate(d, it, broadcast_bytes=limit).collect()}
+        assert got == {1024: (1, ["1025"]), 2048: (1, ["2049"])}
+
+
+def test_many_items_of_one_text_by_the_shuffle(spark):
+    """More items than meet a text at a time, one word of all documents among them."""
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choice("the cat ran far".split()) for _ in range(60))) for i in range(12)]
+    items = [(i, " ".join(docs[i % 12][1].split()[i % 40 : i % 40 + rng.randrange(1, 14)])) for i in range(300)] + [(900, "the"), (901, "cat")]
+    want = brute(docs, items)
+    found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), broadcast_bytes=0)
+    assert {r.doc_id: (r.n_words, r.n_hit, list(r.item_ids)) for r in found.collect()} == want
+    assert _index(found, spark.createDataFrame([(i, None) for i in range(1000)], "item_id long, text string"), "item_id", 10, 5, 1000) is None

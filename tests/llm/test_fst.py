@@ -3,6 +3,7 @@ import random
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+from oracle import binary_digits
 
 from pageloom.llm.fst import MARK, BlockCounter, ChunkMap, Transducer, count_tokens, scan
 from pageloom.llm.text import blocks
@@ -51,3 +52,12 @@ def test_table(spark):
     n = len(SP.encode("Hello  world"))
     assert got == [(1, 0, 0), (2, 0, 0), (3, 12, n), (3, 12, n)]
     assert count_tokens(d.limit(0), model_file=PATH).count() == 0
+
+
+def test_words_are_told_apart_by_their_bytes():
+    own = [binary_digits(n, two) for n in (1024, 2048) for letters in ("in", "xy", "th") for two in (letters, letters[::-1])]
+    own += ["a\x00", "a", "a\x00\x00", "abcdefgh", "abcdefgh\x00", "abcdefghijklmnop", "abcdefghijklmnopq"]
+    counter, got = BlockCounter(PATH), []
+    for block in blocks(pa.array(own * 2)):
+        got += counter.count(block).tolist()
+    assert got == [len(SP.encode(t)) for t in own * 2]

@@ -6,6 +6,8 @@ import numpy as np
 from pageloom.llm import neardup
 from pageloom.llm.neardup import components, near_duplicates, sketch
 
+from oracle import binary_digits
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -79,3 +81,26 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n) if i != 150] + [(1000, 1000)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert all(got[i] == (0 if i <= 150 else 151) for i in range(n + 1))
+
+
+def test_open_members_meet_blocks_of_all_kinds(spark, monkeypatch):
+    """Few members to a block and a lot, and most of them not linked to their leader."""
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 7)
+    monkeypatch.setattr(neardup, "LOT", 5)
+    rng = random.Random(4)
+    docs = group(rng, 90, 24, 150) + group(rng, 40, 18, 110, 200)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute(docs)
+
+
+def test_hash_does_not_decide_for_unequal_texts(spark):
+    docs = [(1, binary_digits(1024, "ab")), (2, binary_digits(1024, "ba")), (3, binary_digits(2048, "ab")), (4, binary_digits(2048, "ba"))]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_an_id_with_two_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    docs = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, a), (None, "q"), (9, a)]
+    rows = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(2)).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in rows) == sorted([(1, 36, 1), (1, 36, 1), (2, 37, 1), (3, 37, 1), (0, 36, 1), (0, 1, 0), (9, 36, 1)])
