@@ -9,7 +9,10 @@ other tokens. Files are Parquet with zstd (a row of a file is one matrix), as
 every store that Spark can reach takes them.
 
 Null and empty texts have only the end id. Repeated rows (same id and text) are
-kept each. Null ids come first. An empty table writes no rows.
+kept each; rows of one id are ordered by a hash of their text. Null ids come
+first. Texts of any length are encoded whole, in one matrix. An id that does not
+fit ``BITS`` bits is an error. Columns besides id and text are not read. An
+empty table writes no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +39,15 @@ BLOCK = 512
 #: Text of a shard, in bytes, and the ids after which a partition begins another matrix.
 SHARD_BYTES = 16 << 20
 SHARD_IDS = 8 << 20
+#: Partitions at most, so that what is known of each can go to every task; larger tables get more shards in each.
+MAX_PARTS = 16_384
+
+
+def check_ids(ids: np.ndarray) -> np.ndarray:
+    """The ids, if they fit the planes."""
+    if len(ids) and (int(ids.max()) >> BITS or int(ids.min()) < 0):
+        raise ValueError(f"ids need more than {BITS} bits")
+    return ids
 
 
 class WaveletMatrix:
@@ -46,8 +58,7 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        if len(ids) and int(ids.max()) >> BITS:
-            raise ValueError(f"ids need more than {BITS} bits")
+        check_ids(ids)
         now, n = ids.astype(np.uint16), len(ids)
         width = -(-n // BLOCK) * BLOCK // 8
         planes, zeros, counts = np.zeros((BITS, width), np.uint8), np.zeros(BITS, np.int64), np.zeros((BITS, width * 8 // BLOCK), np.uint32)
@@ -161,37 +172,37 @@ def _encoder(path: str) -> PieceEncoder:
 def write_shards(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, id_col: str = "doc_id", shard_bytes: int = SHARD_BYTES) -> None:
     """Encode whole texts and write them in ascending order of id.
 
-    Columns: part and seq (shards are ordered by them), n_tokens, doc_ids,
-    doc_tokens (with the end id) and matrix.
+    Columns: part and seq (shards are ordered by them), first (ids of the part
+    before the shard), n_tokens, doc_ids, doc_tokens (with the end id) and matrix.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(total / shard_bytes))
+    parts = min(max(1, math.ceil(total / shard_bytes)), MAX_PARTS)
     rows = docs.select(id_col, "text").repartitionByRange(parts, id_col).sortWithinPartitions(id_col, F.xxhash64("text"))
 
     def run(batches):
         held: list = []  # (doc ids, sizes, ids)
-        size, seq = 0, 0
+        size, seq, first = 0, 0, 0
         part = TaskContext.get().partitionId()
 
         def flush():
-            nonlocal held, size, seq
+            nonlocal held, size, seq, first
             ids = np.concatenate([h[2] for h in held])
             sizes = np.concatenate([h[1] for h in held])
             doc_ids = pa.concat_arrays([h[0] for h in held])
             made = pa.record_batch({
-                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_tokens": pa.array([len(ids)], pa.int64()),
+                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "first": pa.array([first], pa.int64()), "n_tokens": pa.array([len(ids)], pa.int64()),
                 "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids),
                 "doc_tokens": list_array(sizes.astype(np.int64), np.array([len(sizes)])),
                 "matrix": pa.array([WaveletMatrix.build(ids).to_bytes()], pa.binary()),
             })
-            held, size, seq = [], 0, seq + 1
+            held, size, seq, first = [], 0, seq + 1, first + len(ids)
             return made
 
         for batch in batches:
             for block in blocks(batch.column("text"), 4 << 20):
                 ids, sizes = _encoder(tokenizer).encode(block)
                 edge = np.cumsum(sizes)
-                ids = np.insert(ids, edge, end_id)
+                ids = check_ids(np.insert(ids.astype(np.int64), edge, end_id))
                 held.append((batch.column(id_col).slice(block.first, len(block)), sizes + 1, ids.astype(np.uint16)))
                 size += len(ids)
                 if size >= SHARD_IDS:
@@ -200,16 +211,16 @@ def write_shards(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, id_
             yield flush()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows.mapInArrow(run, f"part int, seq int, n_tokens long, doc_ids array<{kind}>, doc_tokens array<long>, matrix binary").write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(run, f"part int, seq int, first long, n_tokens long, doc_ids array<{kind}>, doc_tokens array<long>, matrix binary").write.option("compression", "zstd").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, *, id_col: str = "doc_id") -> DataFrame:
     """id, start, n_tokens and ids_crc32 of every document, from the files."""
     shards = spark.read.parquet(path)
     kind = shards.schema["doc_ids"].dataType.elementType
-    sizes = shards.select("part", "seq", "n_tokens")  # a row for each shard
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("first"))
+    sizes = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # MAX_PARTS rows at most
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("_before"))
 
     def run(batches):
         for batch in batches:
@@ -222,7 +233,8 @@ def read_shards(spark: SparkSession, path: str, *, id_col: str = "doc_id") -> Da
                 yield pa.record_batch({id_col: row.column("doc_ids").flatten(), "start": edge[:-1] + row.column("first")[0].as_py(), "n_tokens": sizes, "ids_crc32": pa.array(crc, pa.int64())})
 
     schema = T.StructType([T.StructField(id_col, kind)] + [T.StructField(n, T.LongType()) for n in ("start", "n_tokens", "ids_crc32")])
-    return shards.join(starts, ["part", "seq"]).select("first", "doc_ids", "doc_tokens", "matrix").mapInArrow(run, schema)
+    rows = shards.join(F.broadcast(starts), "part").withColumn("first", F.col("first") + F.col("_before"))
+    return rows.select("first", "doc_ids", "doc_tokens", "matrix").mapInArrow(run, schema)
 
 
 def token_files(docs: DataFrame, *, tokenizer: str, end_id: int, id_col: str = "doc_id") -> DataFrame:

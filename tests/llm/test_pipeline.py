@@ -63,3 +63,21 @@ def test_mix_takes_each_row_by_its_own_copies(spark):
     for r in mix(d).collect():
         want[r.doc_id, r.source, r.size] += r.copies
     assert got == +want and {None, 7} <= {k[0] for k in got}
+
+
+def test_stages_with_clashing_columns_and_on_an_empty_table(spark, tmp_path):
+    names = "_id long, row string, size long, copies long, at long, part long, _source string, text2 string"
+    docs = [(i, f"the of and {i} with this", "aa", f"s{i % 2}", i, i, "r", 1, 2, 3, 4, "z", "q") for i in range(30)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + names
+    spark.createDataFrame([(1, "zz " * 12)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows in (docs, []):
+        d = spark.createDataFrame(rows, schema)
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            got = stage(spark, d, str(tmp_path))
+            assert got.columns == d.columns
+            assert set(got.collect()) <= set(d.collect())
+        assert corpus_pipeline.tokens(spark, d, "").count() == len(rows)
+    empty = tmp_path / "none"
+    spark.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0

@@ -3,9 +3,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
-from pageloom.llm.wavelet import WaveletMatrix, token_files
+from pageloom.llm import wavelet
+from pageloom.llm.wavelet import WaveletMatrix, check_ids, token_files
 
 
 def test_matrix_against_plain_array():
@@ -41,3 +43,21 @@ def test_files_read_back(spark):
     ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
     assert token_files(d.limit(0), tokenizer=path, end_id=1).count() == 0
+
+
+def test_larger_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        WaveletMatrix.build(np.array([1, 1 << 16]))
+    with pytest.raises(ValueError):
+        check_ids(np.array([70_000]))
+
+
+def test_a_part_of_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(wavelet, "SHARD_IDS", 500)
+    monkeypatch.setattr(wavelet, "MAX_PARTS", 2)
+    docs = [(i, "the cat " * (i % 90)) for i in range(300)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    at = 0
+    for r in sorted(token_files(d, tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1).collect(), key=lambda r: r.doc_id):
+        assert (r.start, r.n_tokens) == (at, 2 * (r.doc_id % 90) + 1)
+        at += r.n_tokens
