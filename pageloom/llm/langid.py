@@ -5,7 +5,8 @@ hashed byte n-grams tells the languages with a one from those with a zero. A
 text's bits are read softly, as mean log odds per n-gram, and decoded with a
 loss for each bit, weighted by how well that bit was told apart in training; the
 codeword with the least loss names the language. Where the two best codewords
-lie close together the text is flagged as ambiguous.
+lie close together, or the bits speak for the best one by far less than is usual
+for its language (a text of no learned language), the text is ambiguous.
 
 The classifiers are naive Bayes, so training is one pass of counts over every
 training text (no sample), added up per language and bucket. For up to
@@ -37,10 +38,12 @@ BUCKETS = 1 << 15
 SIZES = (1, 2, 3)
 #: Up to so many languages the code has every split.
 EXHAUSTIVE = 7
-#: Occurrences added to each bucket of each language.
+#: Occurrences added to each bucket of a language of mean size, and to others in proportion.
 PSEUDO = 0.5
 #: Below this gap between the best and the second share of the decoded weights a text is ambiguous.
 LEAST_GAP = 0.05
+#: A text's margin must be so much of what is usual for its language.
+LEAST_FIT = 0.15
 SHARPNESS = 4.0
 
 #: Weights are whole numbers of this part, so that sums are the same however rows are put together.
@@ -110,6 +113,7 @@ class Decoder:
     code: np.ndarray  # +1 and -1, a row for each language
     weights: np.ndarray  # log odds in UNITs, a row for each bucket and a column for each bit
     trust: np.ndarray  # weight of the loss of each bit
+    usual: np.ndarray  # for each language the weighed margin of its codeword over its own n-grams
 
     @classmethod
     def fit(cls, counts: DataFrame, buckets: int = BUCKETS) -> Decoder:
@@ -120,9 +124,11 @@ class Decoder:
         langs = sorted(table)
         bits = codewords(len(langs))
         if not langs:
-            return cls([], bits, np.zeros((buckets, 1), np.int32), np.ones(1))
-        p = np.stack([table[x] + PSEUDO for x in langs])
-        p /= p.sum(1, keepdims=True)  # each language counts alike
+            return cls([], bits, np.zeros((buckets, 1), np.int32), np.ones(1), np.zeros(0))
+        count = np.stack([table[x] for x in langs])
+        total = np.maximum(count.sum(1, keepdims=True), 1)
+        p = count / total + PSEUDO / total.mean()  # each language counts alike, and a bucket that none has speaks for none
+        p /= p.sum(1, keepdims=True)
         columns, trust = [], []
         for bit in bits.T:
             if bit.min() == bit.max():
@@ -135,18 +141,23 @@ class Decoder:
             # how far apart the two sides' expected log odds lie: the surer a bit, the more its loss counts
             trust.append(min(float((p[bit == 1] @ odds).min() - (p[bit == 0] @ odds).max()), 1.0))
         held = np.maximum(np.array(trust), 0.01)
-        return cls(langs, bits * 2.0 - 1, np.rint(np.stack(columns, 1) / UNIT).astype(np.int32), held / held.sum())
+        code, trust = bits * 2.0 - 1, held / held.sum()
+        usual = (code * (p @ np.stack(columns, 1)) * trust).sum(1)
+        return cls(langs, code, np.rint(np.stack(columns, 1) / UNIT).astype(np.int32), trust, usual)
 
-    def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Best language, its share and its gap to the second of each row of soft bits."""
+    def decode(self, margins: np.ndarray, least_gap: float = LEAST_GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best language, its share and whether it is unsure, of each row of soft bits."""
         # loss of bit b for language l: log(1 + exp(-sharpness * code * margin)) times the bit's trust
         agree = SHARPNESS * margins[:, None, :] * self.code[None]
         loss = (np.logaddexp(0, -agree) * self.trust).sum(2)
         share = np.exp(-SHARPNESS * (loss - loss.min(1, keepdims=True)))
         share /= share.sum(1, keepdims=True)
         order = np.sort(share, axis=1)
-        gap = order[:, -1] - order[:, -2] if share.shape[1] > 1 else order[:, -1]
-        return share.argmax(1), order[:, -1], gap
+        if share.shape[1] == 1:  # nothing to tell apart
+            return share.argmax(1), order[:, -1], np.zeros(len(share), bool)
+        best = share.argmax(1)
+        fit = (self.code[best] * margins * self.trust).sum(1) / self.usual[best]
+        return best, order[:, -1], (order[:, -1] - order[:, -2] < least_gap) | (fit < LEAST_FIT)
 
 
 def _answer(model: Decoder, block, least_gap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,10 +173,10 @@ def _answer(model: Decoder, block, least_gap: float) -> tuple[np.ndarray, np.nda
             grams += row_sums(inside, edge)
             for b in range(width):
                 sums[:, b] += row_sums(model.weights[:, b][bucket] * inside, edge)
-        best, share, gap = model.decode(sums * UNIT / np.maximum(grams, 1)[:, None])
+        best, share, doubt = model.decode(sums * UNIT / np.maximum(grams, 1)[:, None], least_gap)
         pred[told] = np.array(model.langs, object)[best[told]]
         score[told] = share[told]
-        unsure[told] = gap[told] < least_gap
+        unsure[told] = doubt[told]
     return pred, score, unsure
 
 
@@ -182,9 +193,9 @@ def predict(docs: DataFrame, decoder: Decoder, *, id_col: str = "doc_id", least_
 
 
 def keep_told(docs: DataFrame, decoder: Decoder) -> DataFrame:
-    """The rows whose language can be told at all, with their columns; ambiguous ones stay."""
+    """The rows whose language the decoder tells (neither ``und`` nor ambiguous), with their columns."""
     held = docs.sparkSession.sparkContext.broadcast(decoder)
-    return filter_blocks(docs, lambda block: _answer(held.value, block, LEAST_GAP)[0] != "und")
+    return filter_blocks(docs, lambda block: ~_answer(held.value, block, LEAST_GAP)[2])
 
 
 def held_out(id_col: str = "doc_id"):

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from pageloom.llm.langid import codewords, identify, op5_ecoc_language_id
+from pageloom.llm.langid import codewords, identify, keep_told, op5_ecoc_language_id, train
 from pageloom.llm.text import mix
 
 VOICES = {"aa": "the of and with this that from here", "bb": "der die und nicht für über ist ein", "cc": "le la et où çà que dans été", "dd": "el los ñu está por con una años", "ee": "zzx qqy wwk kkz xqy"}
@@ -62,7 +62,9 @@ def test_answers_against_plain_python(spark):
     for i, t, x in docs:
         if x and zlib.crc32(str(i).encode()) % 4 != 2:
             count[x].update(grams(t))
-    p = {x: [(c[b] + 0.5) / (sum(c.values()) + 0.5 * buckets) for b in range(buckets)] for x, c in count.items()}
+    total = {x: sum(c.values()) for x, c in count.items()}
+    more = 0.5 / (sum(total.values()) / 4)
+    p = {x: [(c[b] / total[x] + more) / (1 + more * buckets) for b in range(buckets)] for x, c in count.items()}
     code, weights, trust = codewords(4), [], []
     for bit in code.T.tolist():
         mean = lambda v, bit=bit: [sum(p[x][b] for x, k in zip(langs, bit, strict=True) if k == v) / bit.count(v) for b in range(buckets)]
@@ -87,3 +89,15 @@ def test_scores_do_not_depend_on_the_partitions(spark):
     docs = [(i, " ".join(rng.choice(VOICES[x].split()) for _ in range(rng.randrange(1, 60))), x) for i in range(200) for x in [rng.choice(list(VOICES))]]
     d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
     assert sorted(identify(d.repartition(1)).collect()) == sorted(identify(d.repartition(7)).collect())
+
+
+def test_the_decoder_rejects_what_it_cannot_tell(spark):
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(VOICES[x].split()) for _ in range(30)), x) for i in range(200) for x in [list(VOICES)[i % 3]]]
+    junk = [(1000 + i, t, None) for i, t in enumerate(["", "12 34", None, "ЖжЩщЖж", "中文字中文", "안녕하세요"])]
+    d = spark.createDataFrame(docs + junk, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in keep_told(d, train(d)).collect()}
+    assert kept == set(range(200))
+    one = spark.createDataFrame([r for r in docs if r[2] == "aa"] + junk, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in keep_told(one, train(one)).collect()} == {r[0] for r in docs if r[2] == "aa"} | {1003, 1004, 1005}
+    assert keep_told(d.limit(0), train(d.limit(0))).count() == 0 and keep_told(d, train(d.limit(0))).count() == 0
