@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as
 Parquet and read as the next one's docs. All but the last keep the columns of
-documents. No stage adds or alters text; the mix repeats rows.
+documents, whatever others stand beside them. No stage adds or alters text; the
+mix repeats rows. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -26,18 +27,24 @@ def _with(docs: DataFrame, verdict: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which no learned language can be told (null, or without a letter)."""
+    """Drop documents whose language the decoder rejects: null, without a letter, or ambiguous (two codewords as near, or none nearer than chance).
+
+    Repeated rows all stay or go. If nothing was learned all rows go; an empty table stays one. Long texts are judged whole.
+    """
     return keep_told(docs, train(docs))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component; of repeated rows all go or stay."""
+    """Keep the document with the smallest id of each component; of repeated rows all go or stay.
+
+    Texts without words are of no component and stay, rows without an id stay.
+    """
     found = near_duplicates(docs).filter("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     return _with(docs, found).select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that share a window of words with any benchmark item."""
+    """Drop documents that share a window of words with any benchmark item; null texts share none, and without items all stay."""
     return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -51,7 +58,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write token files and give what they hold: doc_id, start, n_tokens, ids_crc32."""
+    """Write token files and give what they hold: doc_id, start, n_tokens, ids_crc32; a null or empty text is the end id alone, no documents give no rows."""
     import public_tokenizers
 
     return token_files(docs, tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1)
