@@ -15,11 +15,14 @@ anchor, again by a scan, and those that share a left extension and are at least
 not just neighbours, and every one but the first is covered.
 
 Equal contexts are joined within a task before they are sent, so a passage that
-very many documents share costs each task one row. Null and empty texts have no
-bytes. Matches never cross documents. Documents are ordered by id, rows of one
-id by their place in the table, so of repeated rows all but the first go.
-Integer ids; null ids come first. The table must give the same rows in the same
-partitions each time it is read, as files do.
+very many documents share costs each task one row. An anchor with more than
+``MOST_CONTEXTS`` distinct contexts is not sorted in one task: its windows are
+shuffled by a 128-bit hash instead, and of equal ones all but the first are
+repeats. Null and empty texts have no bytes. Matches never cross documents. Texts
+of any length are read whole. Documents are ordered by id, rows of one id by the
+place at which they were read first, so of repeated rows all but one go. Integer
+ids; null ids come first. Columns besides id and text are not read. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from pageloom.llm.storage import saved
 from pageloom.llm.text import blocks, map_blocks, mix, rolling_hash, rolling_sums, span_hash
@@ -41,6 +45,10 @@ LENGTH, GRAM = 100, 24
 #: Text of a partition of anchors, in bytes; anchors that a task joins before sending them.
 PART_BYTES = 16 << 20
 SEGMENT = 1 << 20
+#: Partitions at most; beyond it they grow.
+MAX_PARTS = 65_536
+#: Distinct contexts of an anchor that one task sorts; those of anchors with more meet by their windows.
+MOST_CONTEXTS = 4096
 _NULL_ID = -(1 << 63)
 
 
@@ -199,8 +207,9 @@ def _send_anchors(rows: DataFrame, parts: int, length: int, gram: int) -> DataFr
                 made.append(_pack(p, 1, ids[used], rids[used], at, anchor[own], context[own], lo[own], off[own], span[own]))
             return _packs(made)
 
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for block in blocks(batch.column("text")):
+            for block in blocks(pa.array([expand(z) if z else None for z in batch.column("z").to_pylist()], pa.large_binary())):
                 found = anchors(block, length, gram)
                 cut = slice(block.first, block.first + len(block))
                 held.append((batch.column("id").to_numpy()[cut], batch.column("rid").to_numpy()[cut], found))
@@ -222,7 +231,8 @@ def _unpack(batches, kinds: dict[int, list]) -> None:
 
 
 def _meet_anchors(packs: DataFrame, length: int) -> DataFrame:
-    """Ranges (kind 0) of all but the first of equal contexts; of anchors with several contexts the first of each (kind 2)."""
+    """Ranges (kind 0) of all but the first of equal contexts; of anchors with several contexts the first of each (kind 2, or 3 for more than MOST_CONTEXTS)."""
+    most = MOST_CONTEXTS
 
     def run(batches):
         kinds: dict[int, list] = {0: [], 1: []}
@@ -241,9 +251,12 @@ def _meet_anchors(packs: DataFrame, length: int) -> DataFrame:
         keep = order[first]
         same = anchor[keep][1:] == anchor[keep][:-1]
         keep = keep[np.r_[same, False] | np.r_[False, same]] if len(keep) > 1 else keep[:0]
-        if len(keep):
-            keep = keep[np.argsort(rids[keep], kind="stable")]
-            yield _found(2, rids[keep], ids[keep], lo[keep], lo[keep] + span[keep] + length, off[keep], anchor[keep].view(np.int64), rids[keep])
+        _, own, n = np.unique(anchor[keep], return_inverse=True, return_counts=True)
+        many = n[own.reshape(-1)] > most
+        for kind, keep in ((2, keep[~many]), (3, keep[many])):
+            if len(keep):
+                keep = keep[np.argsort(rids[keep], kind="stable")]
+                yield _found(kind, rids[keep], ids[keep], lo[keep], lo[keep] + span[keep] + length, off[keep], anchor[keep].view(np.int64), rids[keep])
 
     return packs.mapInArrow(run, _FOUND)
 
@@ -306,22 +319,54 @@ def _sort_contexts(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.mapInArrow(run, _FOUND)
 
 
-def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(texts, ranges): rid, id and zstd text z of every row; rid and arrays lo, end of repeated ranges."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(total / PART_BYTES))
+def _windows(asked: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """A row for each window of the contexts: its 128-bit hash (h1, h2), id, rid and place lo."""
+    rows = asked.join(texts.select("rid", "id", "z"), "rid")
+
+    def run(batches):
+        expand = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for r in batch.to_pylist():
+                text = expand(r["z"])
+                start, end = _merged(np.array(r["lo"]), np.array(r["end"]) - length + 1)
+                at = np.concatenate([np.arange(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+                hashes = np.frombuffer(b"".join(xxh3_128_digest(text[i : i + length]) for i in at.tolist()), np.int64).reshape(-1, 2)
+                yield pa.record_batch({"h1": hashes[:, 0], "h2": hashes[:, 1], "id": np.full(len(at), r["id"]), "rid": np.full(len(at), r["rid"]), "lo": at.astype(np.int32)})
+
+    return rows.select("rid", "id", "lo", "end", "z").mapInArrow(run, "h1 long, h2 long, id long, rid long, lo int")
+
+
+def shared_windows(windows: DataFrame, length: int) -> DataFrame:
+    """rid and arrays lo, end of all windows but the first of equal ones."""
+    windows = saved(windows)
+    place = F.struct("id", "rid", "lo")
+    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("h1", "h2", "first")
+    again = windows.join(first, ["h1", "h2"]).filter(place != F.col("first"))
+    return again.groupBy("rid").agg(F.collect_list("lo").alias("lo")).withColumn("end", F.transform("lo", lambda x: x + F.lit(length)))
+
+
+def numbered_texts(docs: DataFrame, id_col: str) -> DataFrame:
+    """rid (a number for each row), id and zstd text z (null if empty) of every row, saved: a lost task computes no other numbers."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), "text").withColumn("rid", F.monotonically_increasing_id())
 
     def press(block, batch):
         z = zstandard.ZstdCompressor(level=1)
         return pa.record_batch({"rid": batch.column("rid"), "id": batch.column("id"), "z": pa.array([z.compress(block.text(i)) if block.offsets[i + 1] > block.offsets[i] else None for i in range(len(block))], pa.binary())})
 
-    texts = map_blocks(rows, ["rid", "id"], press, "rid long, id long, z binary")
-    met = saved(_meet_anchors(_send_anchors(rows, parts, length, gram).repartition(parts, "p"), length))
+    return saved(map_blocks(rows, ["rid", "id"], press, "rid long, id long, z binary"))
+
+
+def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """(texts, ranges): rid, id and zstd text z of every row; rid and arrays lo, end of repeated ranges."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(max(1, math.ceil(total / PART_BYTES)), MAX_PARTS)
+    texts = numbered_texts(docs, id_col)
+    met = saved(_meet_anchors(_send_anchors(texts, parts, length, gram).repartition(parts, "p"), length))
     joined = [F.flatten(F.collect_list(c)).alias(c) for c in ("lo", "end", "off", "anchor")]
     asked = met.filter("kind = 2").groupBy("rid").agg(*joined)
     sorted_ = _sort_contexts(_contexts(asked, texts, parts).repartition(parts, "p"), length)
-    ranges = met.filter("kind = 0").unionByName(sorted_).groupBy("rid").agg(*joined[:2])
+    many = shared_windows(_windows(met.filter("kind = 3").groupBy("rid").agg(*joined), texts, length), length)
+    ranges = met.filter("kind = 0").select("rid", "lo", "end").unionByName(sorted_.select("rid", "lo", "end")).unionByName(many).groupBy("rid").agg(*joined[:2])
     return texts, ranges
 
 

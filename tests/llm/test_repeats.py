@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from pageloom.llm import repeats
 from pageloom.llm.repeats import lcp_intervals, maximal_repeats, remove_repeats
 
 
@@ -28,7 +31,10 @@ def test_intervals():
     assert found == {(2, 3, (0, 1)), (1, 2, (0, 1, 2))}
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("most", [4096, 3])
+def test_against_brute_force(spark, monkeypatch, most):
+    """Anchors with few contexts are sorted, ones with more meet by their windows."""
+    monkeypatch.setattr(repeats, "MOST_CONTEXTS", most)
     rng = random.Random(3)
     for length, gram, alphabet in ((12, 4, "ab"), (12, 5, "abcdé"), (20, 6, "a")):
         shared = ["".join(rng.choice("abcdefé") for _ in range(rng.randrange(5, 60))) for _ in range(6)]
