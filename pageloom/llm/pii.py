@@ -2,9 +2,9 @@
 
 Base kinds (email, ip, card, phone) are leftmost, non-overlapping matches of
 their patterns that pass their validator; they are always reported. The method
-adds two kinds that need more than a pattern: ``iban`` (mod-97 must be 1) and
-``id`` (three-two-four digit groups), which are reported if their score reaches
-``THRESHOLD``. A span's score is its kind's prior, raised if a checksum held and
+adds three kinds that need more than a pattern: ``iban`` (mod-97 must be 1),
+``id`` (three-two-four digit groups) and ``secret`` (long runs of letters and
+digits), which are reported if their score reaches ``THRESHOLD``. A span's score is its kind's prior, raised if a checksum held and
 if one of the kind's context words stands within ``NEAR`` characters before it.
 
 Null and empty texts have no spans, an empty table gives no rows. Offsets are
@@ -42,6 +42,7 @@ IBAN_LENGTHS = {
 #: An account number ends at its country's length, whatever stands behind a space there.
 IBAN = r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:[\\x20]?[A-Z0-9]){{{n - 4}}}+" for n, codes in IBAN_LENGTHS.items()) + r")(?![A-Za-z0-9])"
 ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+SECRET = r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+"
 
 #: Kind, prior score, what a checksum adds, context words.
 KINDS = {
@@ -51,6 +52,7 @@ KINDS = {
     "phone": (0.6, 0.0, "phone|tel|call|fax|mobile|telefon"),
     "iban": (0.3, 0.5, "iban|account|konto|bank|compte|cuenta"),
     "id": (0.5, 0.0, "ssn|social|security|id|insurance"),
+    "secret": (0.5, 0.0, "token|secret|password|passwd|api.?key|access.?key|bearer"),
 }
 
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -94,6 +96,8 @@ def _valid(kind: str, span: Column) -> Column:
         return F.length(_digits(span)).between(9, 15)
     if kind == "iban":
         return mod97(F.replace(span, F.lit(" "), F.lit("")))
+    if kind == "secret":
+        return span.rlike("[0-9]") & span.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -170,11 +174,13 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", threshold: float = THRE
         _pairs(PHONE, text.contains("+")).alias("phone"),
         _pairs(IBAN, text.rlike(r"[A-Z]{2}[0-9]{2}[\x20]?[A-Z0-9]")).alias("iban"),
         _pairs(ID, text.rlike(r"[0-9]-[0-9]{2}-[0-9]")).alias("id"),
+        # without one of its words near a secret's score stays below the default threshold
+        _pairs(SECRET, text.rlike(rf"(?i){KINDS['secret'][2]}") if threshold > KINDS["secret"][0] else F.lit(True)).alias("secret"),
     )
     placed = proposed.select(id_col, *[_placed(kind).alias(kind) for kind in KINDS])
     found = placed.select(id_col, *[_spans(kind, kind).alias(kind) for kind in KINDS])
     base = F.array_sort(F.concat("email", "ip", "card", "phone"), _order("email", "ip", "card", "phone"))
-    extra = F.array_sort(F.filter(F.concat("iban", "id"), lambda x: x["score"] >= threshold), _order("iban", "id"))
+    extra = F.array_sort(F.filter(F.concat("iban", "id", "secret"), lambda x: x["score"] >= threshold), _order("iban", "id", "secret"))
     return found.select(id_col, base.alias("base"), extra.alias("extra"))
 
 

@@ -81,3 +81,11 @@ def test_account_numbers_end_at_their_length(spark):
     found = {r.doc_id: r for r in find_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
     for i, (t, want) in enumerate(cases):
         assert [t[x.start : x.end] for x in found[i].extra if x.kind == "iban"] == want, t
+
+
+def test_secrets_need_a_word_before_them(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    cases = [(f'token = "{key}" x', [key]), (f"see {key}", []), (f"TOKEN = '{key.upper()}'", [key.upper()]), ("token abcdefghijklmnopqrstuvw", []), (f"token {'x' * 50} {key}", []), ("token " + "a1" * 100_000, ["a1" * 100_000])]
+    found = {r.doc_id: r for r in find_pii(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+    for i, (t, want) in enumerate(cases):
+        assert [t[x.start : x.end] for x in found[i].extra if x.kind == "secret"] == want, t[:60]
