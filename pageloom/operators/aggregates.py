@@ -14,10 +14,14 @@ def mode_first(rows: DataFrame, group: str, value: str, order: str) -> DataFrame
 
 
 def rank_values(rows: DataFrame, group: str, value: str, ranks: dict[str, Column]) -> DataFrame:
-    """Values at ranks from 0 of each group's sorted values; a rank is a function of the count ``n``."""
+    """Values at ranks from 0 of each group's sorted values; a rank is a function of the count ``n``.
+
+    Equal values are counted first, so the window runs over the distinct ones only.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_c"))
     w = Window.partitionBy(group)
-    placed = rows.filter(F.col(value).isNotNull()).select(group, value, (F.row_number().over(w.orderBy(value)) - 1).alias("_at"), F.count("*").over(w).alias("n"))
-    return placed.groupBy(group).agg(*[F.max(F.when(F.col("_at") == at, F.col(value))).alias(name) for name, at in ranks.items()])
+    upto = counts.select(group, value, F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"), F.sum("_c").over(w).alias("n"))
+    return upto.groupBy(group).agg(*[F.min(F.when(F.col("_upto") > at, F.col(value))).alias(name) for name, at in ranks.items()])
 
 
 def upper_median(rows: DataFrame, group: str, value: str) -> DataFrame:

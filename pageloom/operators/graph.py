@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 def settled(frame: DataFrame) -> DataFrame:
     """The frame as a table in the folder that spark.checkpoint.dir names, its lineage cut."""
     spark = frame.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.gettempdir()
     path = f"{folder}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -85,3 +85,10 @@ def carry_decisions(new: DataFrame, old: DataFrame, key: str, order: str) -> Dat
     """New review rows with the first non-empty decision that the old ones had for their key."""
     kept = old.filter(F.trim("decision") != "").groupBy(key).agg(F.min_by("decision", F.col(order)).alias("_old"))
     return new.drop("decision").join(kept, key, "left").withColumn("decision", F.coalesce("_old", F.lit(""))).drop("_old")
+
+
+def context_anchors(rows: DataFrame, entry: str, name: str) -> DataFrame:
+    """name, n_entries, n_anchors: entries in which a name stands beside another one, and those others. Each entry's names are told apart first."""
+    named = rows.select(F.col(entry).alias("_e"), F.col(name).alias("name")).distinct()
+    other = named.select("_e", F.col("name").alias("_a"))
+    return named.join(other, "_e").filter("name <> _a").groupBy("name").agg(F.count_distinct("_e").alias("n_entries"), F.count_distinct("_a").alias("n_anchors"))

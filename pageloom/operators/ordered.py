@@ -13,8 +13,10 @@ def _before(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _after(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(1, Window.unboundedFollowing)
+def _sides(group: str, order: str) -> tuple[WindowSpec, WindowSpec]:
+    """The rows before and the rows after a row, either from the far end on: a running value is kept, where a frame that shrinks would be read anew for each row."""
+    w = Window.partitionBy(group)
+    return _before(w.orderBy(F.asc(order))), _before(w.orderBy(F.desc(order)))
 
 
 def running_offset(length: Column, w: WindowSpec, gap: int = 2) -> Column:
@@ -42,23 +44,23 @@ def with_valid_neighbours(rows: DataFrame, value: str, group: str, order: str, n
     the nearest one's (k-1)-th, so each step is one more window over the same
     order and nothing is collected.
     """
-    w = Window.partitionBy(group).orderBy(order)
     names = []
-    for side, pick, frame in (("p", F.last, _before(w)), ("n", F.first, _after(w))):
+    for side, frame in zip("pn", _sides(group, order), strict=True):
         passed = F.col(value)
         for k in range(n):
             # wrapped, so that a valid row without a further neighbour still counts as the nearest one
-            nearest = pick(F.when(F.col(value).isNotNull(), F.struct(passed.alias("v"))), ignorenulls=True).over(frame)
+            nearest = F.last(F.when(F.col(value).isNotNull(), F.struct(passed.alias("v"))), ignorenulls=True).over(frame)
             rows = rows.withColumn(f"_{side}{k}", nearest["v"])
             names.append(f"_{side}{k}")
             passed = F.col(f"_{side}{k}")
     return rows.withColumn(to, F.filter(F.array(*names), lambda x: x.isNotNull())).drop(*names)
 
 
-def positional_interval(value: str, start: Column, end: Column, w: WindowSpec) -> Column:
+def positional_interval(value: str, start: Column, end: Column, group: str, order: str) -> Column:
     """(start, end): nearest valid values before and after, the span's edges where there are none, in order."""
-    a = F.coalesce(F.last(value, ignorenulls=True).over(_before(w)), start)
-    b = F.coalesce(F.first(value, ignorenulls=True).over(_after(w)), end)
+    before, after = _sides(group, order)
+    a = F.coalesce(F.last(value, ignorenulls=True).over(before), start)
+    b = F.coalesce(F.last(value, ignorenulls=True).over(after), end)
     return F.struct(F.least(a, b).alias("start"), F.greatest(a, b).alias("end"))
 
 
@@ -71,7 +73,8 @@ def repair_years(rows: DataFrame, spans: DataFrame, tolerance: int = 1, max_digi
     they stand: a repair changes nobody's neighbours.
     """
     edges = spans.agg(F.min("start").alias("_first"), F.max("end").alias("_last"))
-    rows = rows.join(F.broadcast(spans), "volume", "left").crossJoin(F.broadcast(edges))  # a row for each volume; one row
+    edge = edges.first()  # one row
+    rows = rows.join(spans, "volume", "left").withColumns({"_first": F.lit(edge["_first"]).cast("string"), "_last": F.lit(edge["_last"]).cast("string")})
     ym = F.substring("entry_date", 1, 7)
     known = F.col("start").isNotNull() & F.col("entry_date").isNotNull()
     inside = known & dates.in_span(ym, F.col("start"), F.col("end"), tolerance)
@@ -92,8 +95,7 @@ def repair_years(rows: DataFrame, spans: DataFrame, tolerance: int = 1, max_digi
     fits = F.try_to_date(new, "yyyy-MM-dd").isNotNull() & dates.in_span(F.substring(new, 1, 7), F.col("start"), F.col("end"), tolerance)
     near = F.forall("_near", lambda d: dates.months_between(new, d) <= 3)
     fixed = F.col("kind").isin(*kinds) & ~record & (F.size("_near") > 0) & (F.col("_votes") >= F.least(F.lit(2), F.size("_near"))) & digits & fits & near
-    w = Window.partitionBy("volume").orderBy("ord")
-    place = positional_interval("_inside", F.concat("start", F.lit("-01")), F.date_format(F.last_day(F.try_to_date(F.concat("end", F.lit("-01")), "yyyy-MM-dd")), "yyyy-MM-dd"), w)
+    place = positional_interval("_inside", F.concat("start", F.lit("-01")), F.date_format(F.last_day(F.try_to_date(F.concat("end", F.lit("-01")), "yyyy-MM-dd")), "yyyy-MM-dd"), "volume", "ord")
     rows = rows.withColumn("_place", place)
     reason = (
         F.when(~known | inside, F.lit(None).cast("string"))

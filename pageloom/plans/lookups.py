@@ -150,9 +150,8 @@ def name_ids(spark, sf_dir):
 
 
 @query("""WITH ev AS (SELECT l_orderkey % 500 AS entry, p_brand AS name FROM lineitem JOIN part ON l_partkey = p_partkey), l AS (SELECT DISTINCT entry, name FROM ev),
-  a AS (SELECT l.name, l.entry, o.name AS anchor FROM l JOIN l o ON l.entry = o.entry AND l.name <> o.name WHERE o.name < 'Brand#12')
+  a AS (SELECT l.name, l.entry, o.name AS anchor FROM l JOIN l o ON l.entry = o.entry AND l.name <> o.name)
   SELECT name, count(DISTINCT entry) AS n_entries, count(DISTINCT anchor) AS n_anchors FROM a GROUP BY name""")
 def context_anchors(spark, sf_dir):
-    ev = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select((F.col("l_orderkey") % 500).alias("entry"), F.col("p_brand").alias("name")).distinct()
-    other = ev.filter("name < 'Brand#12'").select("entry", F.col("name").alias("anchor"))
-    return ev.join(other, "entry").filter("name <> anchor").groupBy("name").agg(F.count_distinct("entry").alias("n_entries"), F.count_distinct("anchor").alias("n_anchors"))
+    ev = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select((F.col("l_orderkey") % 500).alias("entry"), F.col("p_brand").alias("name"))
+    return lookup.context_anchors(ev, "entry", "name")

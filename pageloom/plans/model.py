@@ -29,17 +29,18 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, p, s, n = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier", "nation"))
+    # every column follows from these, so equal rows go before the joins and the id is made only where it is asked for
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("l_quantity"), "l_returnflag", "l_linestatus").distinct()
     joined = li.join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     uid = content_id("e", F.col("l_orderkey"))
     key = F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").cast("string"), "l_returnflag", "l_linestatus")
-    rows = joined.select(
+    return joined.select(
         observation_id(uid, F.lit(None).cast("string"), F.col("p_brand"), key).alias("obs_uid"), uid.alias("entry_uid"), F.col("l_linenumber").alias("pos"), F.col("p_brand").alias("taxon"),
         F.when(F.col("p_size") % 5 != 0, F.lower("p_type")).alias("family"), F.col("l_quantity").cast("int").alias("count"),
         F.when(F.col("l_returnflag") == "R", "absent").otherwise("present").alias("status"), F.when(F.col("l_linestatus") == "O", "auditory").otherwise("visual").alias("evidence"),
         F.when(F.col("l_partkey") % 3 == 0, "song").alias("call"), F.when(F.col("l_suppkey") % 2 == 0, F.col("n_name")).alias("locality"), F.col("s_name").alias("observer"),
         F.element_at(F.split("p_name", " "), 2).alias("habitat"),
     )
-    return rows.distinct()
 
 
 ENTRIES = """entries AS (

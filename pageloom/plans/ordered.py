@@ -47,8 +47,7 @@ def nearest_valid_neighbours(spark, sf_dir):
   SELECT user_id, event_id, least(a, b) AS start, greatest(a, b) AS "end" FROM w""")
 def positional_interval(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd")).alias("d"))
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    return e.select("user_id", "event_id", ordered.positional_interval("d", F.lit("2024-01-01"), F.lit("2024-01-31"), w).alias("i")).select("user_id", "event_id", "i.start", "i.end")
+    return e.select("user_id", "event_id", ordered.positional_interval("d", F.lit("2024-01-01"), F.lit("2024-01-31"), "user_id", "event_id").alias("i")).select("user_id", "event_id", "i.start", "i.end")
 
 
 def repaired(spark, sf_dir):
@@ -60,13 +59,32 @@ def repaired(spark, sf_dir):
     wrong = F.when(F.col("ord") % 9 == 0, year - 100).when(F.col("ord") % 11 == 0, year + 38).otherwise(year)
     e = e.withColumn("entry_date", F.concat(wrong.cast("string"), F.substring("entry_date", 5, 6)))
     e = e.withColumn("at", F.row_number().over(Window.partitionBy("volume").orderBy(F.substring("entry_date", 6, 5), "ord"))).drop("ord").withColumnRenamed("at", "ord")
-    e = e.withColumn("verbatim", F.col("entry_date")).withColumn("historic", F.col("volume") % 2 == 0)
+    e = e.withColumn("verbatim", F.concat(F.substring("entry_date", 9, 2), F.lit(". "), F.substring("entry_date", 6, 2), F.lit(". "), F.substring("entry_date", 1, 4))).withColumn("historic", F.col("volume") % 2 == 0)
     spans = e.select("volume", "first").distinct().select("volume", F.concat(F.col("first").cast("string"), F.lit("-01")).alias("start"), F.concat((F.col("first") + 1).cast("string"), F.lit("-12")).alias("end"))
     e = e.drop("first")
     return ordered.repair_years(e, spans)
 
 
-@query()
+#: The nearest valid dates on both sides, a vote of their years, and the routes of what lies outside its volume's span.
+_REPAIR = f"""WITH {ENTRIES}, f AS (SELECT e.* EXCLUDE (volume), year(o_orderdate) // 2 * 2 AS first, year(o_orderdate) // 2 * 200 + e.volume AS volume FROM entries e JOIN orders ON o_orderkey = ord),
+  d AS (SELECT volume, first, kind, ord, entry_date[5:] AS md, CASE WHEN ord % 9 = 0 THEN entry_date[1:4]::INT - 100 WHEN ord % 11 = 0 THEN entry_date[1:4]::INT + 38 ELSE entry_date[1:4]::INT END AS y FROM f),
+  r AS (SELECT volume, first, kind, y::VARCHAR || md AS dt, volume % 2 = 0 AS historic, row_number() OVER (PARTITION BY volume ORDER BY substr(y::VARCHAR || md, 6, 5) NULLS FIRST, ord) AS ord FROM d),
+  m AS (SELECT *, dt[1:4]::INT * 12 + dt[6:7]::INT AS mi, first * 12 + 1 AS lo, (first + 1) * 12 + 12 AS hi, first || '-01-01' AS d0, (first + 1) || '-12-31' AS d1, min(first) OVER () || '-01' AS all0, (max(first) OVER () + 1) * 12 + 12 AS all1 FROM r),
+  i AS (SELECT *, coalesce(mi BETWEEN lo - 1 AND hi + 1, false) AS inside FROM m), v AS (SELECT volume, ord, dt, row_number() OVER (PARTITION BY volume ORDER BY ord) AS k FROM i WHERE inside),
+  b AS (SELECT *, sum(inside::INT) OVER (PARTITION BY volume ORDER BY ord ROWS UNBOUNDED PRECEDING) AS upto FROM i), n AS (SELECT b.*, p1.dt AS p1, p2.dt AS p2, n1.dt AS n1, n2.dt AS n2 FROM b
+    LEFT JOIN v p1 ON p1.volume = b.volume AND p1.k = upto - inside::INT LEFT JOIN v p2 ON p2.volume = b.volume AND p2.k = upto - inside::INT - 1 LEFT JOIN v n1 ON n1.volume = b.volume AND n1.k = upto + 1 LEFT JOIN v n2 ON n2.volume = b.volume AND n2.k = upto + 2),
+  w AS (SELECT *, list_filter([p1, p2, n1, n2], lambda x: x IS NOT NULL) AS near FROM n), y AS (SELECT *, list_transform(near, lambda x: x[1:4]) AS ys FROM w),
+  t AS (SELECT *, list_max(list_transform(ys, lambda a: len(list_filter(ys, lambda c: c = a)))) AS votes FROM y), u AS (SELECT *, list_filter(ys, lambda a: len(list_filter(ys, lambda c: c = a)) = votes)[1] AS year FROM t),
+  z AS (SELECT *, year || dt[5:] AS fix, dt[1:7] < all0 AS early FROM u),
+  q AS (SELECT *, early OR mi > all1 + 1 AS outside, len(near) > 0 AND votes >= least(2, len(near)) AND NOT (early AND kind IN ('species-digest', 'retrospective') AND historic)
+      AND (dt[1:1] <> year[1:1])::INT + (dt[2:2] <> year[2:2])::INT + (dt[3:3] <> year[3:3])::INT + (dt[4:4] <> year[4:4])::INT <= 2 AND try_cast(fix AS DATE) IS NOT NULL AND fix[1:4]::INT * 12 + fix[6:7]::INT BETWEEN lo - 1 AND hi + 1
+      AND len(list_filter(near, lambda x: abs(fix[1:4]::INT * 12 + fix[6:7]::INT - x[1:4]::INT * 12 - x[6:7]::INT) > 3)) = 0 AS fixed FROM z),
+  s AS (SELECT *, CASE WHEN dt IS NULL OR inside THEN NULL WHEN coalesce(fixed, false) THEN 'date_year_corrected' WHEN outside AND kind = 'other' THEN 'date_out_of_span' WHEN outside THEN 'date_from_position' ELSE 'date_out_of_coverage' END AS reason FROM q),
+  o AS (SELECT *, CASE reason WHEN 'date_year_corrected' THEN fix WHEN 'date_from_position' THEN least(coalesce(p1, d0), coalesce(n1, d1)) ELSE dt END AS new_date FROM s)
+  SELECT volume, reason, count(*) AS n, min(new_date) AS first, max(new_date) AS last FROM o GROUP BY ALL"""
+
+
+@query(_REPAIR)
 def year_repair(spark, sf_dir):
     return repaired(spark, sf_dir).groupBy("volume", "reason").agg(F.count("*").alias("n"), F.min("new_date").alias("first"), F.max("new_date").alias("last"))
 

@@ -9,7 +9,7 @@ def values(spark, rows, column, schema="x string"):
 
 
 def test_ids(spark):
-    assert values(spark, ["Alfred Laubmann"], ids.name_id("person", F.col("x"))) == ["person_c6b2ff6250e5"]
+    assert values(spark, ["Anton Beispiel"], ids.name_id("person", F.col("x"))) == ["person_0741ca344ca3"]
     assert len(values(spark, ["a"], ids.content_id("p", F.col("x")))[0]) == 14
     keys = values(spark, [("m", 'say "hi"\n')], ids.json_string(F.col("y")), "x string, y string")
     assert keys == ['"say \\"hi\\"\\n"']
