@@ -42,6 +42,14 @@ SKY_CUES = (
     ("partly-cloudy", ("wolkig", "bewölkt", "bewoelkt")),
     ("clear", ("klar", "heiter", "sonnig", "wolkenlos", "schön", "schoen")),
 )
+AUDITORY_CUES = (
+    "ruft", "rufen", "ruf ", "gesang", "singt", "singen", "sang", "schlägt", "schlagen", "schrei", "schreien", "schwirrt", "schnarren", "trommelt", "trommeln", "gehört", "hört",
+    "locken", "lockt", "pfeift", "pfiff",
+)
+NEST_CUES = ("nest", "brut", "gelege", "eier", "horst", "junge")
+SPECIMEN_CUES = ("erlegt", "geschossen", "gesammelt", "eingesandt", "präpar", "balg", "sammlung")
+SONG_CUES = ("gesang", "singt", "singen", "sang", "schlägt", "schlagen", "schwirrt")
+DRUMMING_CUES = ("trommelt", "trommeln")
 PLURAL_CUES = ("einige", "mehrere", "viele", "zahlreiche", "etliche", "manche", "einzelne", "verschiedene", "diverse", "wenige", "einigen", "vielen")
 APPROX_CUES = ("etwa", "ungefähr", "ca.", "circa", "gegen", "an die", "rund")
 NUMBER_WORDS = {
