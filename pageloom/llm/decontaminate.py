@@ -268,3 +268,19 @@ def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(10, len(w)) AS n, unnest(CASE WHEN len(w) > 10 THEN [array_to_string(w[i:i + 9], ' ') for i in range(1, len(w) - 8)] ELSE [array_to_string(w, ' ')] END) AS win FROM b WHERE len(w) > 0),
+spot AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw)),
+hit AS (SELECT a.rid, a.i, a.n, bw.item FROM spot a JOIN bw ON bw.n = a.n AND bw.win = array_to_string(a.w[a.i:a.i + a.n - 1], ' ')),
+pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""

@@ -324,3 +324,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", percent: int = 7
 def op6_fast_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+#: Every pair of documents with a shingle in common is counted: for small tables.
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS x, any_value(b.n) AS y FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * k >= 75 * (x + y - k)),
+links AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, links.b FROM r JOIN links ON links.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""

@@ -399,3 +399,16 @@ def op8_common_prefix_interval_repeats(spark: SparkSession, sf_dir: str) -> Data
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
+
+#: A row for each byte of each document: for small tables.
+ORACLE_SQL = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, md5(substr(h, 2 * i + 1, 200)) AS w, i FROM (SELECT rid, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d)),
+again AS (SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY w ORDER BY rid, i) AS k FROM w) WHERE k > 1),
+new AS (SELECT *, (i - lag(i, 1, -1000) OVER (PARTITION BY rid ORDER BY i) > 100)::INT AS new FROM again),
+span AS (SELECT rid, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM new) GROUP BY rid, s),
+cut AS (SELECT rid, a, b FROM span UNION ALL SELECT rid, length(h) // 2, length(h) // 2 FROM d),
+kept AS (SELECT rid, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a, b) AS k FROM (SELECT c.*, d.h, lag(b, 1, 0) OVER (PARTITION BY rid ORDER BY a, b) AS z FROM cut c JOIN d USING (rid)) GROUP BY rid),
+sums AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY rid)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256 FROM d JOIN kept USING (rid) LEFT JOIN sums USING (rid)
+"""
