@@ -15,6 +15,8 @@ TITLES = (
 ).split()
 GENDERED = ("frau", "frl", "fraeulein", "fräulein", "fr")
 STOP_ENDINGS = ("er",)
+# What stands for no observer.
+NOBODY = ("n/a", "na", "unbekannt", "unknown", "null", "none")
 
 
 def person_key(name: Column) -> Column:
@@ -41,6 +43,19 @@ def titled_persons(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
 
 
+def observer_name(raw: Column, diarist: tuple[str, ...] = ()) -> Column:
+    """The name in a JSON value: a string, an object's name, or the first of an array; null for placeholders, the diarist's own names (lower case) and what has no letter."""
+    value = F.try_parse_json(raw)
+    kind = lambda v: F.schema_of_variant(v)
+    text_of = lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    named = lambda v: text_of(F.try_variant_get(v, "$.name", "variant"))
+    first = F.try_element_at(F.filter(F.try_variant_get(value, "$", "array<variant>"), lambda v: ~F.is_variant_null(v)), F.lit(1))
+    inner = F.when(kind(first).startswith("OBJECT"), named(first)).otherwise(text_of(first))
+    found = F.when(kind(value).startswith("OBJECT"), named(value)).when(kind(value).startswith("ARRAY"), inner).otherwise(text_of(value))
+    name = F.trim(F.trim(F.trim(found), F.lit("()")))
+    return F.when(name.rlike(r"\p{L}") & ~F.rtrim(F.lower(name), F.lit(".")).isin(*NOBODY, *diarist), name)
+
+
 def place_head(verbatim: Column) -> Column:
     """The first locality of a header: no descriptions after dashes, commas or full stops, no elevation."""
     head = F.element_at(F.split(verbatim, r"[-–—/,;]"), 1)
