@@ -56,8 +56,10 @@ def entry_date(raw: Column, norm: Column) -> Column:
     return F.coalesce(iso_or_null(norm), german_date(raw))
 
 
-def clock_time(text: Column) -> Column:
-    hour, minute = (F.regexp_extract(F.trim(text), r"^(\d{1,2})[:.](\d{2})", i).try_cast("int") for i in (1, 2))
+def clock_time(text: Column, whole: bool = False) -> Column:
+    """The hours and minutes that a text begins with, as ``07:05``. whole: nothing may follow, and ``7h05`` counts."""
+    pattern = r"^(\d{1,2})[:.h](\d{2})$" if whole else r"^(\d{1,2})[:.](\d{2})"
+    hour, minute = (F.regexp_extract(F.trim(text), pattern, i).try_cast("int") for i in (1, 2))
     return F.when(hour.between(0, 23) & minute.between(0, 59), F.format_string("%02d:%02d", hour, minute))
 
 

@@ -44,8 +44,12 @@ def titled_persons(text: Column) -> Column:
 
 
 def observer_name(raw: Column, diarist: tuple[str, ...] = ()) -> Column:
+    """The name in a JSON text, as observer_name_of finds it."""
+    return observer_name_of(F.try_parse_json(raw), diarist)
+
+
+def observer_name_of(value: Column, diarist: tuple[str, ...] = ()) -> Column:
     """The name in a JSON value: a string, an object's name, or the first of an array; null for placeholders, the diarist's own names (lower case) and what has no letter."""
-    value = F.try_parse_json(raw)
     kind = lambda v: F.schema_of_variant(v)
     text_of = lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
     named = lambda v: text_of(F.try_variant_get(v, "$.name", "variant"))

@@ -17,6 +17,18 @@ TRANSPORT_CUES = (
     ("carriage", ("kutsche", "droschke", "fuhrwerk", "chaise", "wagen")),
     ("foot", ("fuß", "fuss", "gegangen", "gelaufen", "marsch", "wander", "spazier")),
 )
+CALL_TYPES = ("song", "call", "alarm", "drumming", "unknown")
+COUNT_QUALIFIERS = ("exact", "minimum", "approximate", "plural-unspecified")
+EVIDENCE_KINDS = ("visual", "auditory", "nest", "specimen")
+OCCURRENCE_STATUS = ("present", "absent")
+SEXES = ("male", "female", "mixed")
+LIFE_STAGES = ("adult", "juvenile", "pullus", "immature", "egg", "mixed")
+BREEDING_EVIDENCE = ("confirmed", "probable", "possible")
+VITALITY = ("alive", "dead")
+MOVEMENT_KINDS = ("migrating", "passing-over", "arriving", "departing", "resting", "roosting")
+TAXON_RANKS = ("species", "subspecies", "genus", "family", "group", "unknown")
+PLACE_KINDS = ("settlement", "locality", "region", "route", "unknown")
+ENTRY_KINDS = ("field-day", "species-digest", "retrospective", "correspondence", "other")
 RECORD_TYPES = ("field-observation", "third-party-report", "literature-record")
 RECORD_TYPE_CUES = (
     ("literature-record", ("liter", "zitat", "publik", "citation", "karte", "digest")),
@@ -141,7 +153,8 @@ def as_bool(raw: Column) -> Column:
 
 
 def as_share(raw: Column) -> Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw.try_cast("double")))
+    number = raw.try_cast("double")
+    return F.when(number.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), number)))
 
 
 def count_before(sentence: Column, position: Column, reach: int = 40) -> Column:
