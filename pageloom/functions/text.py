@@ -103,5 +103,5 @@ def sentence_at(text: Column, position: Column) -> Column:
 
 def json_body(text: Column) -> Column:
     """The JSON object or array inside a model's answer: from the first bracket to the last of its kind; null if it doesn't parse."""
-    body = F.regexp_extract(text, r"(?s)(\{.*\}|\[.*\])", 1)
-    return F.when(F.try_parse_json(body).isNotNull() & (body != ""), body)
+    body = F.nullif(F.regexp_extract(text, r"(?s)(\{.*\}|\[.*\])", 1), F.lit(""))
+    return F.when(F.try_parse_json(body).isNotNull(), body)

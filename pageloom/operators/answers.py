@@ -9,6 +9,8 @@ that holds no JSON gives no rows but the entry's, with what was known of it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +34,18 @@ def parsed(rows: DataFrame, raw: str) -> DataFrame:
     return rows.withColumn("_v", F.try_parse_json(json_body(F.col(raw))))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often it is read."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _is(v: Column, kind: str) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
 
 
 def _field(v: Column, name: str) -> Column:
     """A value of an object; null where it is missing or null."""
-    x = F.try_variant_get(v, f"$.{name}", "variant")
-    return F.when(~F.is_variant_null(x), x)
+    return _let(F.try_variant_get(v, f"$.{name}", "variant"), lambda x: F.when(~F.is_variant_null(x), x))
 
 
 def _array(v: Column) -> Column:
@@ -48,64 +54,76 @@ def _array(v: Column) -> Column:
 
 def _list(v: Column) -> Column:
     """An array without its nulls; another value is an array of itself, null an empty one."""
-    return F.coalesce(F.filter(_array(v), lambda x: ~F.is_variant_null(x)), F.when(v.isNotNull(), F.array(v)), F.array().cast("array<variant>"))
+    none = F.array().cast("array<variant>")
+    return _let(v, lambda x: F.coalesce(F.filter(_array(x), lambda y: ~F.is_variant_null(y)), F.when(x.isNotNull(), F.array(x)), none))
 
 
 def _text(v: Column) -> Column:
     """A string that is not blank; numbers, arrays and objects are no text."""
-    return vocab.as_text(F.when(_is(v, "STRING"), F.try_variant_get(v, "$", "string")))
+    return _let(_let(v, lambda x: F.when(_is(x, "STRING"), F.trim(F.try_variant_get(x, "$", "string")))), lambda t: F.when(t != "", t))
 
 
 def _int(v: Column) -> Column:
-    return vocab.as_int(F.when(_is(v, "BIGINT") | _is(v, "STRING"), F.try_variant_get(v, "$", "string")))
+    return _let(_let(v, lambda x: F.when(_is(x, "BIGINT") | _is(x, "STRING"), F.try_variant_get(x, "$", "string"))), vocab.as_int)
 
 
 def _bool(v: Column) -> Column:
-    return F.when(_is(v, "BOOLEAN"), F.try_variant_get(v, "$", "boolean")).otherwise(vocab.as_bool(_text(v)))
+    return _let(v, lambda x: F.when(_is(x, "BOOLEAN"), F.try_variant_get(x, "$", "boolean")).otherwise(_let(_text(x), vocab.as_bool)))
 
 
 def _number(v: Column) -> Column:
-    return F.when(~_is(v, "BOOLEAN"), F.try_variant_get(v, "$", "string"))
+    return _let(v, lambda x: F.when(~_is(x, "BOOLEAN"), F.try_variant_get(x, "$", "string")))
 
 
 def _of(v: Column, name: str, vocabulary: tuple[str, ...]) -> Column:
-    return vocab.enum(_text(_field(v, name)), vocabulary)
+    return _let(_text(_field(v, name)), lambda t: vocab.enum(t, vocabulary))
+
+
+def _date(text: Column) -> Column:
+    return _let(text, iso_or_null)
+
+
+def _clock(text: Column) -> Column:
+    return _let(text, lambda t: clock_time(t, whole=True))
 
 
 def _place(v: Column, default_kind: str, verbatim: Column | None = None) -> Column:
     """(name, verbatim, kind) of an object or a bare name; null without a name."""
-    name = F.coalesce(_text(v), _text(_field(v, "name")))
-    written = F.coalesce(_text(_field(v, "verbatim")), *([] if verbatim is None else [verbatim]), name)
-    kind = F.coalesce(_of(v, "kind", vocab.PLACE_KINDS), F.lit(default_kind))
-    return F.when(name.isNotNull(), F.struct(name.alias("name"), written.alias("verbatim"), kind.alias("kind")))
+    def of(x: Column, name: Column) -> Column:
+        written = F.coalesce(_text(_field(x, "verbatim")), *([] if verbatim is None else [verbatim]), name)
+        kind = F.coalesce(_of(x, "kind", vocab.PLACE_KINDS), F.lit(default_kind))
+        return F.when(name.isNotNull(), F.struct(name.alias("name"), written.alias("verbatim"), kind.alias("kind")))
+
+    return _let(v, lambda x: _let(F.coalesce(_text(x), _text(_field(x, "name"))), lambda name: of(x, name)))
 
 
 def _weather(v: Column) -> Column:
     """(verbatim, value, unit, precipitation, wind, sky); null without words of its own. A unit without a value means nothing."""
     words = F.coalesce(_text(v), vocab.as_text(_number(_field(v, "verbatim"))))
-    unit = vocab.temperature_unit(_text(_field(v, "temperature_unit")))
-    value = vocab.temperature(_number(_field(v, "temperature_value")), unit)
-    return F.when(words.isNotNull(), F.struct(
-        words.alias("verbatim"), value.alias("value"), F.when(value.isNotNull(), unit).alias("unit"), vocab.precipitation(_text(_field(v, "precipitation"))).alias("precipitation"),
-        _text(_field(v, "wind")).alias("wind"), vocab.sky(_text(_field(v, "sky"))).alias("sky"),
-    ))
+    unit = _let(_text(_field(v, "temperature_unit")), vocab.temperature_unit)
+    measured = _let(unit, lambda u: F.struct(_let(_number(_field(v, "temperature_value")), lambda n: vocab.temperature(n, u)).alias("value"), u.alias("unit")))
+    return _let(words, lambda said: F.when(said.isNotNull(), _let(measured, lambda m: F.struct(
+        said.alias("verbatim"), m["value"].alias("value"), F.when(m["value"].isNotNull(), m["unit"]).alias("unit"), _let(_text(_field(v, "precipitation")), vocab.precipitation).alias("precipitation"),
+        _text(_field(v, "wind")).alias("wind"), _let(_text(_field(v, "sky")), vocab.sky).alias("sky"),
+    ))))
 
 
 def _entry_place() -> Column:
     """The answer's place, none where it says there is none; the known one where it says nothing."""
-    told = F.try_variant_get("_v", "$.entry_place", "variant")
-    read = _place(told, "settlement", vocab.as_text(F.col("location_raw")))
     known = F.when(F.col("place").isNotNull(), F.struct(F.col("place").alias("name"), F.col("place").alias("verbatim"), F.lit(None).cast("string").alias("kind")))
-    return F.when(told.isNull(), known).otherwise(F.when(read["kind"] != "unknown", read))
+    read = lambda told: _let(_place(told, "settlement", vocab.as_text(F.col("location_raw"))), lambda p: F.when(p["kind"] != "unknown", p))
+    return _let(F.try_variant_get("_v", "$.entry_place", "variant"), lambda told: F.when(told.isNull(), known).otherwise(read(told)))
 
 
-def _entry_date() -> Column:
-    return F.coalesce(iso_or_null(_date_text("iso")), F.col("entry_date"))
+def _told_date() -> Column:
+    """(iso, end, note, plausible) of the answer's date; a bare text is the date."""
+    return _let(_field(F.col("_v"), "entry_date"), lambda v: F.struct(
+        _date(F.coalesce(_text(v), _text(_field(v, "iso")))).alias("iso"), _date(_text(_field(v, "end_iso"))).alias("end"), _text(_field(v, "note")).alias("note"), _bool(_field(v, "plausible")).alias("plausible"),
+    ))
 
 
-def _date_text(name: str) -> Column:
-    v = _field(F.col("_v"), "entry_date")
-    return F.coalesce(_text(v), _text(_field(v, name))) if name == "iso" else _text(_field(v, name))
+def _entry_date() -> Column:
+    return F.coalesce(_told_date()["iso"], F.col("entry_date"))
 
 
 def entry_fields(rows: DataFrame) -> DataFrame:
@@ -114,63 +132,68 @@ def entry_fields(rows: DataFrame) -> DataFrame:
     rows: parsed, with entry, entry_date, location_raw, place. A date that the
     model corrects without saying so is noted.
     """
-    told, header = iso_or_null(_date_text("iso")), F.col("entry_date")
-    end = iso_or_null(_date_text("end_iso"))
-    note = F.coalesce(_date_text("note"), F.when((told != header), F.concat(F.lit(CORRECTED), header, F.lit(")"))))
-    w = _field(F.col("_v"), "weather")
-    reports = F.filter(F.transform(F.coalesce(_array(w), F.array(w)), _weather), lambda r: r.isNotNull())
-    return rows.select(
-        "entry", header.alias("header_date"), _entry_date().alias("entry_date"), F.when(end >= _entry_date(), end).alias("entry_date_end"), _bool(_field(_field(F.col("_v"), "entry_date"), "plausible")).alias("plausible"),
-        note.alias("note"), _entry_place().alias("place"), _of(F.col("_v"), "entry_kind", vocab.ENTRY_KINDS).alias("kind"), F.try_element_at(reports, F.lit(1)).alias("weather"),
+    header, told = F.col("entry_date"), lambda name: F.col(f"_told.{name}")
+    note = F.coalesce(told("note"), F.when(told("iso") != header, F.concat(F.lit(CORRECTED), header, F.lit(")"))))
+    reports = _let(_field(F.col("_v"), "weather"), lambda w: F.filter(F.transform(F.coalesce(_array(w), F.array(w)), _weather), lambda r: r.isNotNull()))
+    dated = rows.withColumn("_told", _told_date()).withColumn("_d", F.coalesce(told("iso"), header))
+    return dated.select(
+        "entry", header.alias("header_date"), F.col("_d").alias("entry_date"), F.when(told("end") >= F.col("_d"), told("end")).alias("entry_date_end"), told("plausible").alias("plausible"), note.alias("note"),
+        _entry_place().alias("place"), _of(F.col("_v"), "entry_kind", vocab.ENTRY_KINDS).alias("kind"), F.get(reports, F.lit(0)).alias("weather"),
     )
 
 
 def _persons() -> Column:
     """array of (name, role): the first of each name, upper and lower case alike."""
-    named = F.transform(_list(_field(F.col("_v"), "persons")), lambda p: F.struct(F.coalesce(_text(p), _text(_field(p, "name"))).alias("name"), _text(_field(p, "role")).alias("role")))
-    named = F.filter(named, lambda p: p["name"].isNotNull())
-    keys = F.transform(named, lambda p: F.lower(p["name"]))
-    first = F.filter(named, lambda p, i: F.array_position(keys, F.lower(p["name"])) == i + 1)
+    def one(p: Column) -> Column:
+        return _let(F.coalesce(_text(p), _text(_field(p, "name"))), lambda n: F.struct(n.alias("name"), F.lower(n).alias("key"), _text(_field(p, "role")).alias("role")))
+
+    named = F.filter(F.transform(_list(_field(F.col("_v"), "persons")), one), lambda p: p["name"].isNotNull())
+    first = _let(named, lambda all_: F.filter(all_, lambda p, i: F.array_position(all_["key"], p["key"]) == i + 1))
     return F.transform(first, lambda p: F.struct(p["name"].alias("name"), F.when(p["role"].isin(*ROLES), p["role"]).alias("role")))
 
 
 def _items() -> Column:
-    told = _field(F.col("_v"), "observations")
-    items = F.coalesce(_array(F.col("_v")), _array(told), F.when(told.isNotNull(), F.array(told)), F.array().cast("array<variant>"))
-    return items
+    """The observations of an answer, with what is none, as their places count."""
+    told = lambda x: F.coalesce(_array(F.col("_v")), _array(x), F.when(x.isNotNull(), F.array(x)), F.array().cast("array<variant>"))
+    return _let(_field(F.col("_v"), "observations"), told)
 
 
 def _surname(name: Column) -> Column:
     return F.rtrim(F.element_at(F.split(F.lower(name), r"\s+"), -1), F.lit("."))
 
 
-def _with_observers(diarist: tuple[str, ...]) -> Column:
-    """(persons, who): the persons with the observers that are not among them, and each observation's observer as the persons spell it.
+def _with_observers(rows: DataFrame, diarist: tuple[str, ...]) -> DataFrame:
+    """rows with ``_items`` and ``_o``, a struct (persons, who): the persons with the observers that are not among them, and each item's observer as the persons spell it.
 
     An observer is the person of that name, else the only one of that surname, else a new person.
     """
-    names = F.transform(_items(), lambda i: F.when(_text(_field(i, "vernacular_de")).isNotNull(), observer_name_of(_field(i, "observer"), diarist)))
+    names = F.transform("_items", lambda i: F.when(_text(_field(i, "vernacular_de")).isNotNull(), _let(_field(i, "observer"), lambda v: observer_name_of(v, diarist))))
 
     def step(acc: Column, name: Column) -> Column:
         same = F.filter(acc["persons"], lambda p: F.lower(p["name"]) == F.lower(name))
-        kin = F.filter(acc["persons"], lambda p: _surname(p["name"]) == _surname(name))
-        known = F.coalesce(F.try_element_at(same, F.lit(1)), F.when(F.size(kin) == 1, F.try_element_at(kin, F.lit(1))))
+        kin = lambda k: F.when(F.size(k) == 1, F.get(k, F.lit(0)))
+        known = F.coalesce(F.get(same, F.lit(0)), _let(F.filter(acc["persons"], lambda p: _surname(p["name"]) == _surname(name)), kin))
         new = F.struct(name.alias("name"), F.lit("source").alias("role"))
-        persons = F.when(name.isNotNull() & known.isNull(), F.array_append(acc["persons"], new)).otherwise(acc["persons"])
-        return F.struct(persons.alias("persons"), F.array_append(acc["who"], F.when(name.isNotNull(), F.coalesce(known["name"], name))).alias("who"))
+        take = lambda k: F.struct(
+            F.when(k.isNull(), F.array_append(acc["persons"], new)).otherwise(acc["persons"]).alias("persons"), F.array_append(acc["who"], F.coalesce(k["name"], name)).alias("who"),
+        )
+        nobody = F.struct(acc["persons"].alias("persons"), F.array_append(acc["who"], F.lit(None).cast("string")).alias("who"))
+        return F.when(name.isNull(), nobody).otherwise(_let(known, take))
 
-    return F.aggregate(names, F.struct(_persons().alias("persons"), _no_strings().alias("who")), step)
+    return rows.withColumn("_items", _items()).withColumn("_o", F.aggregate(names, F.struct(_persons().alias("persons"), _no_strings().alias("who")), step))
 
 
 def persons(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
     """entry, pos, name, role: whom an entry names, then observers that it does not. rows: parsed, with entry."""
-    return rows.select("entry", F.posexplode(_with_observers(diarist)["persons"]).alias("pos", "_p")).select("entry", "pos", "_p.name", "_p.role")
+    return _with_observers(rows, diarist).select("entry", F.posexplode("_o.persons").alias("pos", "_p")).select("entry", "pos", "_p.name", "_p.role")
 
 
 def _evidence(v: Column) -> Column:
     """array of (kind, label, call_type, transcription) that the answer states; a bare word is a kind."""
     def one(e: Column) -> Column:
-        kind = vocab.enum(F.coalesce(_text(e), _text(_field(e, "kind"))), vocab.EVIDENCE_KINDS)
+        return _let(_let(F.coalesce(_text(e), _text(_field(e, "kind"))), lambda t: vocab.enum(t, vocab.EVIDENCE_KINDS)), lambda kind: told(e, kind))
+
+    def told(e: Column, kind: Column) -> Column:
         label = F.coalesce(*[F.when(kind == k, F.lit(text)) for k, text in EVIDENCE_LABELS.items()])
         heard = kind == "auditory"
         call = F.when(heard, F.coalesce(_of(e, "call_type", vocab.CALL_TYPES), F.lit("unknown")))
@@ -186,34 +209,36 @@ def observations(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
     is not told follows from a citation or an observer; a zero counts only where
     the thing was absent; a range's lower end is the count that is not told.
     """
-    who = _with_observers(diarist)["who"]
-    each = rows.withColumn("_d", _entry_date()).withColumn("_at", _entry_place()).select("entry", "text", "_d", "_at", F.posexplode(F.arrays_zip(_items().alias("i"), who.alias("who"))).alias("index", "_z"))
-    each = each.select("entry", "text", "_d", "_at", "index", F.col("_z.i").alias("_i"), F.col("_z.who").alias("observer"))
+    each = _with_observers(rows, diarist).withColumn("_d", _entry_date()).withColumn("_at", _entry_place())
+    each = each.select("entry", "text", "_d", "_at", F.posexplode(F.arrays_zip(F.col("_items").alias("i"), F.col("_o.who").alias("who"))).alias("index", "_z"))
     i = F.col("_i")
-    each = each.withColumn("vernacular", F.when(_is(i, "OBJECT"), _text(_field(i, "vernacular_de")))).filter("vernacular is not null")
     text = lambda name: _text(_field(i, name))
     of = lambda name, vocabulary: _of(i, name, vocabulary)
-    scientific, citation, told = text("scientific_name"), text("literature_citation"), vocab.record_type(text("record_type"))
-    second_hand = F.col("observer").isNotNull() | citation.isNotNull()
-    kind = F.coalesce(told, F.when(citation.isNotNull(), "literature-record").when(F.col("observer").isNotNull(), "third-party-report").otherwise("field-observation"))
-    status = F.coalesce(of("occurrence_status", vocab.OCCURRENCE_STATUS), F.lit("present"))
-    count, low, high = (_int(_field(i, n)) for n in ("individual_count", "count_min", "count_max"))
-    swapped = F.coalesce(high < low, F.lit(False))
-    low, high = F.when(swapped, high).otherwise(low), F.when(swapped, low).otherwise(high)
-    counted = F.when((count != 0) | (status == "absent"), count)
+    each = each.select("entry", "text", "_d", "_at", "index", F.col("_z.i").alias("_i"), F.col("_z.who").alias("observer")).withColumn("vernacular", text("vernacular_de")).filter("vernacular is not null")
+    # what is read more than once stands in columns of its own
+    each = each.withColumns({
+        "scientific": text("scientific_name"), "citation": text("literature_citation"), "_told": _let(text("record_type"), vocab.record_type), "locality": _place(_field(i, "locality"), "locality"),
+        "status": F.coalesce(of("occurrence_status", vocab.OCCURRENCE_STATUS), F.lit("present")), "_n": _int(_field(i, "individual_count")), "_a": _int(_field(i, "count_min")), "_b": _int(_field(i, "count_max")),
+        "own_date": _date(text("event_date")),
+    })
+    second_hand = F.col("observer").isNotNull() | F.col("citation").isNotNull()
+    kind = F.coalesce("_told", F.when(F.col("citation").isNotNull(), "literature-record").when(F.col("observer").isNotNull(), "third-party-report").otherwise("field-observation"))
+    swapped = F.coalesce(F.col("_b") < F.col("_a"), F.lit(False))
+    low, high = F.when(swapped, F.col("_b")).otherwise(F.col("_a")), F.when(swapped, F.col("_a")).otherwise(F.col("_b"))
+    counted = F.when((F.col("_n") != 0) | (F.col("status") == "absent"), F.col("_n"))
     rank = F.coalesce(of("taxon_rank", vocab.TAXON_RANKS), F.when(_field(i, "taxon_rank").isNotNull(), "unknown"))
-    locality = _place(_field(i, "locality"), "locality")
     behaviour = F.filter(F.transform(_list(_field(i, "behaviour")), lambda b: F.trim(F.try_variant_get(b, "$", "string"))), lambda b: b != "")
+    named = F.col("scientific").isNotNull()
     return each.select(
-        "entry", "index", "vernacular", scientific.alias("scientific"), F.when(scientific.isNotNull(), "llm").alias("method"), F.when(scientific.isNull(), UNNAMED).alias("taxon_note"),
-        vocab.as_share(_number(_field(i, "confidence"))).alias("confidence"), rank.alias("rank"), _bool(_field(i, "is_bird")).alias("is_bird"),
-        F.coalesce(text("verbatim_notes"), F.nullif(F.col("text"), F.lit("")), F.col("vernacular")).alias("notes"), locality.alias("locality"), F.coalesce(locality, F.col("_at")).alias("place"),
-        F.coalesce(counted, low).alias("count"), low.alias("count_min"), high.alias("count_max"), of("count_qualifier", vocab.COUNT_QUALIFIERS).alias("qualifier"), status.alias("status"),
-        _evidence(_field(i, "evidence")).alias("evidence"), behaviour.alias("behaviour"), text("habitat").alias("habitat"), kind.alias("record_type"), "observer", citation.alias("citation"),
+        "entry", "index", "vernacular", "scientific", F.when(named, "llm").alias("method"), F.when(~named, UNNAMED).alias("taxon_note"),
+        _let(_number(_field(i, "confidence")), vocab.as_share).alias("confidence"), rank.alias("rank"), _bool(_field(i, "is_bird")).alias("is_bird"),
+        F.coalesce(text("verbatim_notes"), F.nullif(F.col("text"), F.lit("")), F.col("vernacular")).alias("notes"), "locality", F.coalesce("locality", "_at").alias("place"),
+        F.coalesce(counted, low).alias("count"), low.alias("count_min"), high.alias("count_max"), of("count_qualifier", vocab.COUNT_QUALIFIERS).alias("qualifier"), "status",
+        _evidence(_field(i, "evidence")).alias("evidence"), behaviour.alias("behaviour"), text("habitat").alias("habitat"), kind.alias("record_type"), "observer", "citation",
         of("sex", vocab.SEXES).alias("sex"), of("life_stage", vocab.LIFE_STAGES).alias("life_stage"), of("breeding_evidence", vocab.BREEDING_EVIDENCE).alias("breeding"),
         of("vitality", vocab.VITALITY).alias("vitality"), of("movement_kind", vocab.MOVEMENT_KINDS).alias("movement"), text("flight_direction").alias("direction"),
-        text("identification_qualifier").alias("hedge"), iso_or_null(text("event_date")).alias("own_date"), F.coalesce(iso_or_null(text("event_date")), F.col("_d")).alias("event_date"), clock_time(text("event_time"), whole=True).alias("event_time"),
-        F.when((told == "field-observation") & second_hand, F.array(F.lit("record_type_conflict"))).otherwise(_no_strings()).alias("flags"),
+        text("identification_qualifier").alias("hedge"), "own_date", F.coalesce("own_date", "_d").alias("event_date"), _clock(text("event_time")).alias("event_time"),
+        F.when((F.col("_told") == "field-observation") & second_hand, F.array(F.lit("record_type_conflict"))).otherwise(_no_strings()).alias("flags"),
     )
 
 
@@ -230,15 +255,14 @@ def travel(rows: DataFrame) -> DataFrame:
         name = lambda n: _text(_field(leg, n))
         via = F.filter(F.transform(_list(_field(leg, "via_places")), _text), lambda p: p.isNotNull())
         return F.struct(
-            name("departure_place").alias("departure"), name("arrival_place").alias("arrival"), via.alias("via"), vocab.transport_mode(name("transport_mode")).alias("mode"),
-            clock_time(name("departure_time"), whole=True).alias("leaves"), clock_time(name("arrival_time"), whole=True).alias("comes"), name("verbatim").alias("verbatim"),
+            name("departure_place").alias("departure"), name("arrival_place").alias("arrival"), via.alias("via"), _let(name("transport_mode"), vocab.transport_mode).alias("mode"),
+            _clock(name("departure_time")).alias("leaves"), _clock(name("arrival_time")).alias("comes"), name("verbatim").alias("verbatim"),
         )
 
     events = rows.withColumn("_at", _entry_place()["name"]).withColumn("_d", _entry_date()).select("entry", "_at", "_d", F.posexplode(_list(_field(F.col("_v"), "travel_events"))).alias("event", "_e"))
     events = events.filter(_is(F.col("_e"), "OBJECT"))
-    told = _list(_field(F.col("_e"), "legs"))
-    legs = F.filter(F.transform(F.when(F.size(told) > 0, told).otherwise(F.array("_e")), read), lambda x: x["arrival"].isNotNull())
-    events = events.select("entry", "_at", "_d", "event", legs.alias("_l"))
+    told = _let(_list(_field(F.col("_e"), "legs")), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array("_e")))
+    events = events.select("entry", "_at", "_d", "event", F.filter(F.transform(told, read), lambda x: x["arrival"].isNotNull()).alias("_l"))
     # once a leg has a start all behind it have one, as they leave from where it arrived
     started = F.filter("_l", lambda x, n: F.col("_at").isNotNull() | F.exists(F.slice("_l", F.lit(1), n + 1), lambda y: y["departure"].isNotNull()))
     each = events.withColumn("_l", started).select("entry", "_at", "_d", "event", "_l", F.posexplode("_l").alias("leg", "_x"))
