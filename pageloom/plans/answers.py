@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import fill
-from pageloom.operators import answers
+from pageloom.operators import answers, nodes
 from pageloom.plans.registry import query, table
 
 #: Items by l_linenumber % 6; the third and fourth name nothing.
@@ -102,3 +102,79 @@ def answer_travel(spark, sf_dir):
     """Legs of the answers' journeys."""
     t = answers.travel(_parsed(spark, sf_dir))
     return t.select("entry", "event", "leg", "departure", "arrival", F.array_join("via", ",").alias("via"), "mode", "departure_time", "arrival_time")
+
+
+def _name(prefix: str, name: str) -> str:
+    return f"'{prefix}_' || substr(sha1(lower({name})), 1, 12)"
+
+
+def _stated(prefix: str, rows: str, subject: str, statements: list[tuple[str, str, str]]) -> str:
+    """SQL of the statements about each row."""
+    cols = ", ".join(f"unnest([{', '.join(x)}]) AS {n}" for x, n in zip(zip(*[(f"'{p}'", f"({o})::VARCHAR", f"'{k}'") for p, o, k in statements]), ("p", "o", "kind")))
+    return f"{prefix} AS (SELECT {subject} AS s, {cols} FROM {rows})"
+
+
+_ENTRY = "'entry_' || entry"
+_LINKS = [("dcterms:isPartOf", _ENTRY, "iri"), ("prov:wasDerivedFrom", _ENTRY, "iri")]
+_OBS = [
+    ("rdf:type", "'Observation'", "iri"), ("rdfs:label", "'Beobachtung ' || v", "@de"), ("observedTaxon", _name("taxon", "v"), "iri"), *_LINKS, ("verbatimNotes", "'Text'", "@de"),
+    ("observedAt", _name("place", "CASE WHEN m = 5 THEN o ELSE place END"), "iri"), ("hasLocality", f"CASE WHEN m = 5 THEN {_name('place', 'o')} END", "iri"), ("dwc:verbatimLocality", "CASE WHEN m = 5 THEN o END", "string"),
+    ("dwc:eventDate", "CASE WHEN m = 4 AND c BETWEEN 10 AND 28 THEN '1995-02-' || c ELSE strftime(dt, '%Y-%m-%d') END", "date"), ("dwc:eventTime", "CASE WHEN m = 4 AND c < 24 THEN lpad(c::VARCHAR, 2, '0') || ':15' END", "string"),
+    ("dwc:occurrenceStatus", "CASE WHEN m = 1 THEN 'absent' ELSE 'present' END", "string"), ("dwc:individualCount", "CASE m WHEN 0 THEN c WHEN 1 THEN least(c, 3) END", "integer"), ("individualCountMin", "CASE WHEN m = 1 THEN least(c, 3) END", "integer"),
+    ("individualCountMax", "CASE WHEN m = 1 THEN greatest(c, 3) END", "integer"), ("countQualifier", "CASE WHEN m = 1 THEN 'plural-unspecified' END", "string"),
+    ("recordType", "CASE m WHEN 0 THEN 'third-party-report' WHEN 4 THEN 'literature-record' WHEN 5 THEN 'third-party-report' ELSE 'field-observation' END", "string"),
+    ("dwc:basisOfRecord", "CASE WHEN m = 4 THEN 'MaterialCitation' ELSE 'HumanObservation' END", "string"), ("dwciri:recordedBy", _name("person", "CASE WHEN m = 1 THEN 'Schreiber' ELSE observer END"), "iri"),
+    ("dwc:associatedReferences", "CASE WHEN m = 4 THEN 'Orn. ' || c END", "@de"), ("evidenceKind", "CASE WHEN m = 0 THEN 'evidence_auditory' END", "iri"), ("evidenceKind", "CASE WHEN m = 0 THEN 'evidence_nest' END", "iri"),
+    ("hasVocalisation", "CASE WHEN m = 0 THEN 'vocalisation_' || uid || '_0' END", "iri"),
+]
+_CALL = [("rdf:type", "'Vocalisation'", "iri"), ("dcterms:isPartOf", "uid", "iri"), ("callType", "'unknown'", "string")]
+
+
+@query(f"""WITH {_ORDERS}, {_SEEN}, u AS (SELECT *, 'obs_' || substr(sha1(entry || '|' || v || '|' || index), 1, 12) AS uid FROM s), {_stated('t', 'u', 'uid', _OBS)}, {_stated('k', '(FROM u WHERE m = 0)', "'vocalisation_' || uid || '_0'", _CALL)}
+  SELECT DISTINCT * FROM (FROM t UNION ALL FROM k UNION ALL SELECT {_ENTRY}, 'containsObservation', uid, 'iri' FROM u) WHERE o IS NOT NULL""")
+def observation_triples(spark, sf_dir):
+    """What the graph states of the answers' observations."""
+    return nodes.observations(answers.observations(_parsed(spark, sf_dir)), "Schreiber")
+
+
+_EVENT = "'travel_' || entry || '_' || event"
+_LEG = [
+    ("rdf:type", "'TravelLeg'", "iri"), ("dcterms:isPartOf", _EVENT, "iri"), ("departurePlace", _name("place", "a"), "iri"), ("arrivalPlace", _name("place", "b"), "iri"), ("transportMode", "mode", "string"),
+    ("departureTime", "CASE WHEN mode = 'train' AND entry % 30 < 24 THEN strftime(d, '%Y-%m-%dT') || lpad((entry % 30)::VARCHAR, 2, '0') || ':15:00' END", "dateTime"),
+    ("arrivalTime", "CASE WHEN mode = 'train' AND entry % 30 NOT BETWEEN 10 AND 23 THEN strftime(d, '%Y-%m-%dT09:30:00') END", "dateTime"),
+    ("viaPlace", "CASE WHEN mode = 'train' THEN 'place_' || substr(sha1('v'), 1, 12) END", "iri"), ("viaPlace", f"CASE WHEN mode = 'train' THEN {_name('place', 'person')} END", "iri"),
+]
+
+
+@query(f"""WITH {_ORDERS}, l AS (SELECT *, 0 AS event, 0 AS leg, 'S' AS a, pl AS b, 'unknown' AS mode FROM x WHERE k = 0 UNION ALL SELECT *, 0, 1, pl, 'Z', 'boat' FROM x WHERE k = 0 UNION ALL SELECT *, 0, 0, pl, 'Y', 'train' FROM x WHERE k = 1
+    UNION ALL SELECT *, 0, 0, 'A', 'B', 'unknown' FROM x WHERE k = 2 UNION ALL SELECT *, 2, 0, 'daheim', pl, 'unknown' FROM x WHERE k = 2),
+  {_stated('t', 'l', f"'leg_' || {_EVENT} || '_' || leg", _LEG)}, e AS (SELECT entry, event, count(*) AS n FROM l GROUP BY ALL),
+  {_stated('v', 'e', _EVENT, [("rdf:type", "'TravelEvent'", "iri"), ("rdfs:label", "'Reise · ' || n || ' Etappe(n)'", "@de"), *_LINKS])}
+  SELECT DISTINCT * FROM (FROM t UNION ALL FROM v UNION ALL SELECT {_ENTRY}, 'containsTravelEvent', {_EVENT}, 'iri' FROM e UNION ALL SELECT {_EVENT}, 'hasLeg', 'leg_' || {_EVENT} || '_' || leg, 'iri' FROM l) WHERE o IS NOT NULL""")
+def travel_triples(spark, sf_dir):
+    """What the graph states of the answers' journeys."""
+    return nodes.journeys(answers.travel(_parsed(spark, sf_dir)))
+
+
+_WEATHER = [
+    ("rdf:type", "'WeatherReport'", "iri"), ("rdfs:label", "'Wetter ' || strftime(dt, '%Y-%m-%d')", "@de"), ("weatherVerbatim", "CASE k WHEN 0 THEN 'Wetter' WHEN 1 THEN 'Nebel' END", "@de"),
+    ("temperatureValue", "CASE WHEN k = 0 AND entry % 200 - 100 BETWEEN -60 AND 60 THEN (entry % 200 - 100)::DOUBLE END", "decimal"), ("temperatureUnit", "CASE WHEN k = 0 AND entry % 200 - 100 BETWEEN -60 AND 60 THEN 'R' END", "string"),
+    ("precipitation", "CASE WHEN k = 0 THEN 'none' END", "string"), ("skyCondition", "CASE WHEN k = 0 THEN 'overcast' END", "string"), *_LINKS,
+]
+
+
+@query(f"WITH {_ORDERS}, {_stated('t', '(FROM x WHERE k < 2)', "'weather_' || entry", _WEATHER)} SELECT * FROM (FROM t UNION ALL SELECT {_ENTRY}, 'hasWeather', 'weather_' || entry, 'iri' FROM x WHERE k < 2) WHERE o IS NOT NULL")
+def weather_triples(spark, sf_dir):
+    """What the graph states of the answers' weather."""
+    return nodes.weather(answers.entry_fields(_parsed(spark, sf_dir)))
+
+
+_MENTIONS = "CASE role WHEN 'source' THEN 'mentionsSource' WHEN 'companion' THEN 'mentionsCompanion' END"
+
+
+@query(f"""WITH {_ORDERS}, {_SEEN}, p AS (SELECT entry, person AS name, NULL AS role FROM x WHERE k < 2 UNION ALL SELECT entry, 'Dr S2', 'companion' FROM x WHERE k = 0 UNION ALL SELECT DISTINCT entry, observer, 'source' FROM s WHERE observer IS NOT NULL AND observer <> 'Dr S2'),
+  n AS (SELECT *, {_name('person', 'name')} AS s FROM p)
+  SELECT DISTINCT s, 'rdf:type' AS p, 'Person' AS o, 'iri' AS kind FROM n UNION SELECT s, unnest(['rdfs:label', 'schema:name']), name, 'string' FROM n UNION SELECT {_ENTRY}, 'mentionsPerson', s, 'iri' FROM n UNION SELECT {_ENTRY}, {_MENTIONS}, s, 'iri' FROM n WHERE role IS NOT NULL""")
+def person_triples(spark, sf_dir):
+    """What the graph states of the persons in the answers, and which entries mention them how."""
+    return nodes.persons(answers.persons(_parsed(spark, sf_dir)))
