@@ -101,7 +101,12 @@ def sentence_at(text: Column, position: Column) -> Column:
     return F.trim(F.coalesce(picked, text))
 
 
+def json_value(text: Column) -> Column:
+    """The JSON object or array inside a model's answer, from the first bracket to the last of its kind, as a variant; null if it doesn't parse."""
+    return F.try_parse_json(F.regexp_extract(text, r"(?s)(\{.*\}|\[.*\])", 1))
+
+
 def json_body(text: Column) -> Column:
-    """The JSON object or array inside a model's answer: from the first bracket to the last of its kind; null if it doesn't parse."""
+    """The text of what json_value finds."""
     body = F.nullif(F.regexp_extract(text, r"(?s)(\{.*\}|\[.*\])", 1), F.lit(""))
     return F.when(F.try_parse_json(body).isNotNull(), body)

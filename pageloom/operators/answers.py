@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import vocab
 from pageloom.functions.dates import clock_time, iso_or_null
 from pageloom.functions.names import observer_name_of
-from pageloom.functions.text import json_body
+from pageloom.functions.text import json_value
 
 # Roles of persons, labels of evidence, notes.
 ROLES = ("companion", "source", "collector", "cited-author", "other")
@@ -31,7 +31,7 @@ def _no_strings() -> Column:
 
 def parsed(rows: DataFrame, raw: str) -> DataFrame:
     """rows with ``_v``: the JSON in an answer, null if there is none."""
-    return rows.withColumn("_v", F.try_parse_json(json_body(F.col(raw))))
+    return rows.withColumn("_v", json_value(F.col(raw)))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -243,7 +243,7 @@ def observations(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
 
 
 def travel(rows: DataFrame) -> DataFrame:
-    """entry, event, leg, departure, arrival, via, mode, departure_time, arrival_time, verbatim: legs that have both ends.
+    """entry, event, leg, n_legs, departure, arrival, via, mode, departure_time, arrival_time, verbatim: legs that have both ends.
 
     rows: parsed, with entry, entry_date, location_raw, place. A leg leaves from
     where it says, else from where the one before arrived, else from the entry's
@@ -270,6 +270,6 @@ def travel(rows: DataFrame) -> DataFrame:
     at = lambda clock: F.when(F.col("_d").isNotNull(), F.concat(F.col("_d"), F.lit("T"), clock, F.lit(":00")))
     leaves, comes = at(F.col("_x.leaves")), at(F.col("_x.comes"))
     return each.select(
-        "entry", "event", "leg", F.coalesce("_x.departure", before, "_at").alias("departure"), F.col("_x.arrival").alias("arrival"), F.col("_x.via").alias("via"), F.col("_x.mode").alias("mode"),
+        "entry", "event", "leg", F.size("_l").alias("n_legs"), F.coalesce("_x.departure", before, "_at").alias("departure"), F.col("_x.arrival").alias("arrival"), F.col("_x.via").alias("via"), F.col("_x.mode").alias("mode"),
         leaves.alias("departure_time"), F.when(leaves.isNull() | (comes > leaves), comes).alias("arrival_time"), F.col("_x.verbatim").alias("verbatim"),
     )

@@ -1,7 +1,9 @@
 """Triples (s, p, o, kind) of what the tables of answers hold: observations and their taxa, persons, places and habitats, journeys, weather.
 
-Each part is made row by row; ``triple_set`` joins parts and drops what several
-rows say alike. Nothing is stated of a value that is null.
+All that a row states is one array that is exploded once. Observations, journeys
+and weather belong to their entry alone, so theirs need no shuffle; what several
+rows say of one taxon, place, person or habitat is dropped but once. Nothing is
+stated of a value that is null.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from pageloom.functions import vocab
 from pageloom.functions.ids import name_id, observation_id
 from pageloom.operators.constraints import TYPE
 from pageloom.operators.curation import match_predicate
-from pageloom.operators.graph import triple_set, triples
 
 # How a person of a role is mentioned, what a habitat's match to a class is, ranks that a classification may name.
 MENTIONS = {"companion": "mentionsCompanion", "source": "mentionsSource", "collector": "mentionsCollector", "cited-author": "mentionsCitedAuthor", "other": "mentionsOther"}
@@ -27,6 +28,21 @@ def entry_node(entry: Column) -> Column:
     return F.concat(F.lit("entry_"), entry.cast("string"))
 
 
+def _one(s: Column, p: Column | str, o: Column, kind: str) -> Column:
+    p = F.lit(p) if isinstance(p, str) else p
+    return F.struct(s.alias("s"), p.alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("kind"))
+
+
+def _about(s: Column, statements: list) -> Column:
+    return F.array(*[_one(s, *x) for x in statements])
+
+
+def _stated(rows: DataFrame, *parts: Column) -> DataFrame:
+    """The triples of all parts (arrays) of each row, each once for a row."""
+    there = F.filter(F.concat(*parts), lambda t: t["o"].isNotNull())
+    return rows.select(F.explode(F.array_distinct(there)).alias("t")).select("t.*")
+
+
 def _record(entry: Column) -> list:
     return [("dcterms:isPartOf", entry, "iri"), ("prov:wasDerivedFrom", entry, "iri")]
 
@@ -40,42 +56,41 @@ def taxa(rows: DataFrame) -> DataFrame:
     """rows: vernacular, scientific, note, rank, is_bird, method, confidence, and of a link gbif_key, match_type, iri (null without one)."""
     t = rows.filter("vernacular is not null")
     node, concept = name_id("taxon", F.col("vernacular")), F.concat(F.lit(SPECIES), F.col("gbif_key").cast("string"))
-    out = triples(t, node, [
+    link = match_predicate(F.coalesce("match_type", F.lit("")), F.coalesce("method", F.lit("")))
+    return _stated(t, _about(node, [
         (TYPE, F.lit("Taxon"), "iri"), ("rdfs:label", F.col("vernacular"), "@de"), ("dwc:vernacularName", F.col("vernacular"), "@de"), ("dwc:scientificName", F.col("scientific"), "string"),
         ("skos:note", F.when(F.col("scientific").isNull(), F.coalesce("note", F.lit("wissenschaftlicher Name nicht aufgelöst"))), "@de"), ("dwc:taxonRank", F.col("rank"), "string"), ("isBird", F.col("is_bird"), "boolean"),
         ("matchMethod", F.col("method"), "string"), ("matchConfidence", F.col("confidence"), "decimal"), ("gbifMatchType", F.col("match_type"), "string"), ("owl:sameAs", F.col("iri"), "iri"),
-        ("dwc:taxonID", F.when(~F.coalesce(F.col("match_type") == "HIGHERRANK", F.lit(False)), concept), "string"),
-    ])
-    linked = t.filter("gbif_key is not null").select(node.alias("s"), match_predicate(F.coalesce("match_type", F.lit("")), F.coalesce("method", F.lit(""))).alias("p"), concept.alias("o"), F.lit("iri").alias("kind"))
-    return triple_set(out, linked)
+        ("dwc:taxonID", F.when(~F.coalesce(F.col("match_type") == "HIGHERRANK", F.lit(False)), concept), "string"), (link, concept, "iri"),
+    ])).dropDuplicates()
 
 
 def places(rows: DataFrame) -> DataFrame:
     """rows: name, verbatim, kind, lat, lon."""
     there = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     at = lambda c: F.when(there, F.col(c))
-    return triple_set(triples(rows.filter("name is not null"), name_id("place", F.col("name")), [
+    return _stated(rows.filter("name is not null"), _about(name_id("place", F.col("name")), [
         (TYPE, F.lit("Place"), "iri"), ("rdfs:label", F.col("name"), "@de"), ("dwc:verbatimLocality", F.col("verbatim"), "string"), ("placeKind", F.col("kind"), "string"), ("geo:lat", at("lat"), "decimal"), ("geo:long", at("lon"), "decimal"),
-        ("dwc:decimalLatitude", at("lat"), "decimal"), ("dwc:decimalLongitude", at("lon"), "decimal"), ("dwc:geodeticDatum", F.when(there, "WGS84"), "string"),
-    ]))
+        ("dwc:decimalLatitude", at("lat"), "decimal"), ("dwc:decimalLongitude", at("lon"), "decimal"), ("dwc:geodeticDatum", F.when(there, F.lit("WGS84")), "string"),
+    ])).dropDuplicates()
 
 
 def persons(rows: DataFrame) -> DataFrame:
     """Persons and how their entries mention them. rows: entry, name, role; the role belongs to the mention, not to the person."""
     named = rows.filter("name is not null")
     node, entry = name_id("person", F.col("name")), entry_node(F.col("entry"))
-    own = triples(named, node, [(TYPE, F.lit("Person"), "iri"), ("rdfs:label", F.col("name"), "string"), ("schema:name", F.col("name"), "string")])
+    own = [(TYPE, F.lit("Person"), "iri"), ("rdfs:label", F.col("name"), "string"), ("schema:name", F.col("name"), "string")]
     mentioned = [("mentionsPerson", node, "iri"), *[(p, F.when(F.col("role") == role, node), "iri") for role, p in MENTIONS.items()]]
-    return triple_set(own, triples(named, entry, mentioned))
+    return _stated(named, _about(node, own), _about(entry, mentioned)).dropDuplicates()
 
 
 def habitats(rows: DataFrame) -> DataFrame:
     """Shared concepts. rows: habitat, and of a link class_iri, match (null without one; a link of an unknown kind is close)."""
     node = name_id("habitat", F.col("habitat"))
     link = {p: F.when(F.coalesce("match", F.lit("close")) == m, F.col("class_iri")) for m, p in HABITAT_MATCH.items()}
-    return triple_set(triples(rows.filter("habitat is not null"), node, [
+    return _stated(rows.filter("habitat is not null"), _about(node, [
         (TYPE, F.lit("skos:Concept"), "iri"), ("rdfs:label", F.col("habitat"), "@de"), ("skos:prefLabel", F.col("habitat"), "@de"), ("skos:inScheme", F.lit(SCHEME), "iri"), *[(p, o, "iri") for p, o in link.items()],
-    ]))
+    ])).dropDuplicates()
 
 
 def observations(rows: DataFrame, diarist: str) -> DataFrame:
@@ -86,7 +101,7 @@ def observations(rows: DataFrame, diarist: str) -> DataFrame:
     specimen = F.exists("evidence", lambda e: e["kind"] == "specimen")
     rows = rows.withColumn("_s", uid)
     s, locality = F.col("_s"), F.col("locality.name")
-    said = triples(rows, s, [
+    said = _about(s, [
         (TYPE, F.lit("Observation"), "iri"), ("rdfs:label", F.concat(F.lit("Beobachtung "), F.col("vernacular")), "@de"), ("observedTaxon", name_id("taxon", F.col("vernacular")), "iri"), *_record(entry), text("notes", "verbatimNotes", "@de"),
         ("observedAt", _said(F.col("place.name"), name_id("place", F.col("place.name"))), "iri"), ("hasLocality", _said(locality, name_id("place", locality)), "iri"), ("dwc:verbatimLocality", F.col("locality.verbatim"), "string"),
         text("event_date", "dwc:eventDate", "date"), text("event_time", "dwc:eventTime"), text("status", "dwc:occurrenceStatus"), text("count", "dwc:individualCount", "integer"), text("count_min", "individualCountMin", "integer"),
@@ -95,33 +110,34 @@ def observations(rows: DataFrame, diarist: str) -> DataFrame:
         text("record_type", "recordType"), ("dwc:basisOfRecord", vocab.basis_of_record(F.col("record_type"), specimen), "string"), ("dwciri:recordedBy", _said(observer, name_id("person", observer)), "iri"),
         text("citation", "dwc:associatedReferences", "@de"), ("dwciri:habitat", _said(F.col("habitat"), name_id("habitat", F.col("habitat"))), "iri"), text("habitat", "dwc:habitat", "@de"),
     ])
-    held = rows.select(entry.alias("s"), F.lit("containsObservation").alias("p"), F.col("_s").alias("o"), F.lit("iri").alias("kind"))
-    kinds = rows.select("_s", F.explode("evidence").alias("_e")).select(F.col("_s").alias("s"), F.lit("evidenceKind").alias("p"), F.concat(F.lit("evidence_"), F.col("_e.kind")).alias("o"), F.lit("iri").alias("kind"))
-    does = rows.select(F.col("_s").alias("s"), F.lit("dwc:behavior").alias("p"), F.explode("behaviour").alias("o"), F.lit("@de").alias("kind"))
+    kinds = F.transform("evidence", lambda e: _one(s, "evidenceKind", F.concat(F.lit("evidence_"), e["kind"]), "iri"))
+    does = F.transform("behaviour", lambda b: _one(s, "dwc:behavior", b, "@de"))
+
+    def call(e: Column, n: Column) -> Column:
+        node = F.concat_ws("_", F.lit("vocalisation"), s, n.cast("string"))
+        own = [(TYPE, F.lit("Vocalisation"), "iri"), ("dcterms:isPartOf", s, "iri"), ("callType", e["call_type"], "string"), ("callTranscription", e["transcription"], "string")]
+        return F.concat(_about(node, own), F.array(_one(s, "hasVocalisation", node, "iri")))
+
     # calls are counted by themselves, so two of one observation stay apart
-    calls = rows.select("_s", F.posexplode(F.filter("evidence", lambda e: e["kind"] == "auditory")).alias("_n", "_e"))
-    call = F.concat_ws("_", F.lit("vocalisation"), "_s", F.col("_n").cast("string"))
-    heard = triples(calls, call, [(TYPE, F.lit("Vocalisation"), "iri"), ("dcterms:isPartOf", F.col("_s"), "iri"), ("callType", F.col("_e.call_type"), "string"), ("callTranscription", F.col("_e.transcription"), "string")])
-    linked = calls.select(F.col("_s").alias("s"), F.lit("hasVocalisation").alias("p"), call.alias("o"), F.lit("iri").alias("kind"))
-    return triple_set(said, held, kinds, does, heard, linked)
+    calls = F.flatten(F.transform(F.filter("evidence", lambda e: e["kind"] == "auditory"), call))
+    return _stated(rows, said, F.array(_one(entry, "containsObservation", s, "iri")), kinds, does, calls)
 
 
 def journeys(legs: DataFrame) -> DataFrame:
-    """legs: as answers.travel gives them. An event's label tells how many legs it has."""
+    """legs: as answers.travel gives them, each event's from 0 on. An event's label tells how many legs it has."""
     entry = entry_node(F.col("entry"))
     event = F.concat_ws("_", F.lit("travel"), F.col("entry").cast("string"), F.col("event").cast("string"))
     leg = F.concat_ws("_", F.lit("leg"), event, F.col("leg").cast("string"))
-    events = legs.groupBy("entry", "event").agg(F.count("*").alias("_n"))
-    place = lambda c: name_id("place", F.col(c))
-    of_events = triples(events, event, [(TYPE, F.lit("TravelEvent"), "iri"), ("rdfs:label", F.concat(F.lit("Reise · "), F.col("_n").cast("string"), F.lit(" Etappe(n)")), "@de"), *_record(entry)])
-    held = events.select(entry.alias("s"), F.lit("containsTravelEvent").alias("p"), event.alias("o"), F.lit("iri").alias("kind"))
-    of_legs = triples(legs, leg, [
-        (TYPE, F.lit("TravelLeg"), "iri"), ("dcterms:isPartOf", event, "iri"), ("departurePlace", place("departure"), "iri"), ("arrivalPlace", place("arrival"), "iri"), ("transportMode", F.col("mode"), "string"),
+    place = lambda c: name_id("place", c)
+    of_event = [(TYPE, F.lit("TravelEvent"), "iri"), ("rdfs:label", F.concat(F.lit("Reise · "), F.col("n_legs").cast("string"), F.lit(" Etappe(n)")), "@de"), *_record(entry)]
+    of_leg = _about(leg, [
+        (TYPE, F.lit("TravelLeg"), "iri"), ("dcterms:isPartOf", event, "iri"), ("departurePlace", place(F.col("departure")), "iri"), ("arrivalPlace", place(F.col("arrival")), "iri"), ("transportMode", F.col("mode"), "string"),
         ("departureTime", F.col("departure_time"), "dateTime"), ("arrivalTime", F.col("arrival_time"), "dateTime"), ("skos:note", F.col("verbatim"), "@de"),
     ])
-    has = legs.select(event.alias("s"), F.lit("hasLeg").alias("p"), leg.alias("o"), F.lit("iri").alias("kind"))
-    via = legs.select(leg.alias("s"), F.explode("via").alias("_v")).select("s", F.lit("viaPlace").alias("p"), place("_v").alias("o"), F.lit("iri").alias("kind"))
-    return triple_set(of_events, held, of_legs, has, via)
+    held = F.array(_one(entry, "containsTravelEvent", event, "iri"), _one(event, "hasLeg", leg, "iri"))
+    via = F.transform("via", lambda v: _one(leg, "viaPlace", place(v), "iri"))
+    first = F.filter(F.concat(_about(event, of_event), held), lambda t: (F.col("leg") == 0) | (t["p"] == "hasLeg"))
+    return _stated(legs, first, of_leg, via)
 
 
 def weather(fields: DataFrame) -> DataFrame:
@@ -129,8 +145,8 @@ def weather(fields: DataFrame) -> DataFrame:
     there = fields.filter("weather is not null and entry_date is not null")
     entry, node = entry_node(F.col("entry")), F.concat(F.lit("weather_"), F.col("entry").cast("string"))
     w = lambda c, p, kind="string": (p, F.col(f"weather.{c}"), kind)
-    said = triples(there, node, [
+    said = _about(node, [
         (TYPE, F.lit("WeatherReport"), "iri"), ("rdfs:label", F.concat(F.lit("Wetter "), F.col("entry_date")), "@de"), w("verbatim", "weatherVerbatim", "@de"), w("value", "temperatureValue", "decimal"), w("unit", "temperatureUnit"),
         w("precipitation", "precipitation"), w("wind", "wind", "@de"), w("sky", "skyCondition"), *_record(entry),
     ])
-    return triple_set(said, there.select(entry.alias("s"), F.lit("hasWeather").alias("p"), node.alias("o"), F.lit("iri").alias("kind")))
+    return _stated(there, said, F.array(_one(entry, "hasWeather", node, "iri")))
