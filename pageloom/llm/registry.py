@@ -19,6 +19,7 @@ _OPERATORS = [
     ("repeats", "op8_common_prefix_interval_repeats"),
     ("mixing", "op9_systematic_mixing"),
     ("pii", "op10_pii_spans"),
+    ("repair", "op11_conversation_viterbi_repair"),
 ]
 
 
