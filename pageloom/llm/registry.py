@@ -20,6 +20,8 @@ _OPERATORS = [
     ("mixing", "op9_systematic_mixing"),
     ("pii", "op10_pii_spans"),
     ("repair", "op11_conversation_viterbi_repair"),
+    ("periodic", "op12_suffix_automaton_runs"),
+    ("topk", "op13_norm_sorted_topk"),
 ]
 
 
