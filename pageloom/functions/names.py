@@ -9,11 +9,18 @@ from pageloom.functions.text import fold
 
 # Titles that are no part of a name, and forms of address that are.
 TITLES = (
-    "prof dr dipl ing med phil jur rer nat h\\.?c geheimrat oberst major pfarrer baron graf freiherr frhr forstmeister oberfoerster oberförster foerster förster "
-    "revierfoerster revierförster hofrat sanitaetsrat sanitätsrat studienrat oberstudienrat oberlehrer hauptlehrer lehrer rektor direktor inspektor oberinspektor "
-    "oberpostmeister postmeister apotheker kaplan dekan pater praeparator präparator kustos konservator assessor referendar herr hr cand stud"
-).split()
+    "prof", "dr", "dipl", "ing", "med", "phil", "jur", "rer", "nat", "h\\.?c", "geheimrat", "oberst", "major", "pfarrer", "baron", "graf",
+    "freiherr", "frhr", "forstmeister", "oberfoerster", "oberförster", "foerster", "förster", "revierfoerster", "revierförster",
+    "hofrat", "sanitaetsrat", "sanitätsrat", "studienrat", "oberstudienrat", "oberlehrer", "hauptlehrer", "lehrer", "rektor",
+    "direktor", "inspektor", "oberinspektor", "oberpostmeister", "postmeister", "apotheker", "kaplan", "dekan", "pater",
+    "praeparator", "präparator", "kustos", "konservator", "assessor", "referendar", "herr", "hr", "cand", "stud",
+)
 GENDERED = ("frau", "frl", "fraeulein", "fräulein", "fr")
+# Words of a description that is no person's name.
+DESCRIPTION = (
+    "mit", "aus", "und", "von", "der", "die", "des", "dem", "freund", "freunde", "freunden",
+    "gattin", "familie", "sohn", "tochter", "frau", "bruder", "schwester", "kollege",
+)
 STOP_ENDINGS = ("er",)
 # What stands for no observer.
 NOBODY = ("n/a", "na", "unbekannt", "unknown", "null", "none")
@@ -37,6 +44,22 @@ def person_parts(key: Column) -> Column:
     )
 
 
+def is_gendered(key: Column) -> Column:
+    """The key begins with a form of address that tells family members apart."""
+    return F.split_part(key, F.lit(" "), F.lit(1)).isin(*GENDERED)
+
+
+def completeness(name: Column, key: Column, uses: Column) -> Column:
+    """Sort key of the spellings of a person, the greatest is canonical: no form of address, no description, more and longer first names, uses, umlauts, spaced full stops, shortness."""
+    parts = person_parts(key)
+    letters = F.aggregate(parts["firsts"], F.lit(0), lambda n, w: n + F.length(w)) + F.size(parts["initials"])
+    marks = F.length(name) - F.length(F.regexp_replace(name, "[äöüÄÖÜß]", ""))
+    return F.struct(
+        (~is_gendered(key)).alias("plain"), (~F.arrays_overlap(F.split(key, " "), F.array(*map(F.lit, DESCRIPTION)))).alias("named"), F.size(parts["firsts"]).alias("firsts"), letters.alias("letters"),
+        uses.alias("uses"), marks.alias("marks"), (~name.rlike(r"\.[^\s.]")).alias("spaced"), (-F.length(name)).alias("shortness"),
+    )
+
+
 def titled_persons(text: Column) -> Column:
     """Distinct names after a title or an initial, in order of appearance."""
     pattern = r"(?<![\p{L}\p{N}_])(?:(?:Prof|Dr|Herr|Frau|Hr|Fr|Graf|Baron|P|St)\.?\s+|[A-ZÄÖÜ]\.\s+)([A-ZÄÖÜ][a-zäöüß]+(?:\s+[A-ZÄÖÜ][a-zäöüß]+)?)"

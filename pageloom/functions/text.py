@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,14 +40,20 @@ def fold(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
+def _without_marks() -> tuple[str, str]:
+    """Small Latin letters that decompose to one of a-z and marks, and those letters."""
+    plain = {chr(c): "".join(x for x in unicodedata.normalize("NFKD", chr(c)) if not unicodedata.combining(x)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+    plain = {c: p for c, p in plain.items() if len(p) == 1 and "a" <= p <= "z"}
+    return "".join(plain), "".join(plain.values())
+
+
 #: Letters with marks and what they are without; other letters outside a-z become spaces.
-_MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+_MARKED, _PLAIN = _without_marks()
 
 
 def fold_gazetteer(label: Column) -> Column:
     """Key of gazetteer names: marks dropped (not spelled out), everything but a-z and 0-9 a space."""
-    t = F.translate(F.lower(F.trim(F.coalesce(label, F.lit("")))), _MARKED, _PLAIN)
+    t = F.regexp_replace(F.translate(F.lower(F.trim(F.coalesce(label, F.lit("")))), _MARKED, _PLAIN), r"[\x{300}-\x{36F}]", "")
     for a, b in (("ß", "ss"), ("æ", "ae"), ("ø", "o")):
         t = F.replace(t, F.lit(a), F.lit(b))
     return F.trim(F.regexp_replace(t, r"[^a-z0-9]+", " "))

@@ -1,12 +1,11 @@
-"""Spellings that mean the same: merges by key and by the parts of person names."""
+"""Spellings that mean the same: merges by key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from pageloom.functions.names import canonical_rank, person_key, person_parts
+from pageloom.functions.names import canonical_rank
 
 
 def group_merges(names: DataFrame, key: str, rule: str) -> DataFrame:
@@ -21,36 +20,3 @@ def inherit(names: DataFrame, key: str, *columns: str) -> DataFrame:
     """For each key the first value that is not null of each column, the most used name first, then by name."""
     order = F.struct((-F.col("uses")).alias("u"), F.col("name").alias("n"))
     return names.groupBy(key).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns])
-
-
-def person_merges(names: DataFrame, least: int = 5, ratio: float = 5.0) -> DataFrame:
-    """variant, canonical, rule, status for names: name, uses.
-
-    First, names of one key are one person, under the best spelling. Then an
-    initial with a surname (or a surname alone) belongs to the only full name it
-    fits; of several it goes to the one that is used enough and so many times
-    the next, else each is a candidate for review. Uses are those of the keys, as
-    they stand before any merge of the second kind.
-    """
-    keyed = names.withColumn("key", person_key(F.col("name")))
-    same = group_merges(keyed, "key", "same-key")
-    best = keyed.groupBy("key").agg(F.max_by("name", canonical_rank(F.col("name"), F.col("uses"))).alias("name"), F.sum("uses").alias("uses"))
-    parts = person_parts(F.col("key"))
-    best = best.select("key", "name", "uses", parts["surname"].alias("surname"), F.array_join(parts["initials"], "").alias("initials"), F.try_element_at(parts["firsts"], F.lit(1)).alias("first"))
-    # forms of address keep their own key: such names are not taken for bare surnames
-    open_ = best.filter("first is null and key = concat_ws(' ', nullif(array_join(split(initials, ''), ' '), ''), surname)")
-    full = best.filter("first is not null").select("surname", F.left("first", F.lit(1)).alias("_i"), F.col("name").alias("full"), F.col("uses").alias("n_full"))
-    joined = open_.join(full, "surname").filter((F.col("initials") == "") | (F.left("initials", F.lit(1)) == F.col("_i")))
-    w = Window.partitionBy("name")
-    rank = w.orderBy(F.desc("n_full"), "full")
-    joined = joined.select("name", "full", "initials", "n_full", F.count("*").over(w).alias("n"), F.row_number().over(rank).alias("r"), F.lead("n_full", 1, 0).over(rank).alias("next"))
-    kind = F.when(F.col("initials") == "", "surname").otherwise("initial")
-    top = (F.col("r") == 1) & (F.col("n_full") >= least) & (F.col("n_full") >= ratio * F.greatest("next", F.lit(1)))
-    won = F.max(top.cast("int")).over(w) == 1
-    joined = joined.withColumn("_top", top).withColumn("_won", won).filter("n = 1 or not _won or _top")
-    found = joined.select(
-        F.col("name").alias("variant"), F.col("full").alias("canonical"),
-        F.concat_ws("-", kind, F.when(F.col("n") == 1, "unique").when(F.col("_won"), "dominant").otherwise("ambiguous")).alias("rule"),
-        F.when((F.col("n") == 1) | F.col("_won"), "auto").otherwise("candidate").alias("status"),
-    )
-    return same.select("variant", "canonical", "rule", "status").union(found)

@@ -22,7 +22,7 @@ def strip_markup(spark, sf_dir):
 
 @query(r"""WITH f AS (SELECT doc_id, replace(replace(replace(replace(lower(text), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss') AS t, lower(trim(text, ' ')) AS g FROM documents)
   SELECT doc_id, md5(trim(regexp_replace(regexp_replace(replace(replace(t, 'st. ', 'sankt '), 'st.', 'sankt '), '[^\pL\pN_\s]', ' ', 'g'), '\s+', ' ', 'g'))) AS key,
-  md5(trim(regexp_replace(replace(replace(replace(translate(g, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), '[^a-z0-9]+', ' ', 'g'))) AS gazetteer FROM f""")
+  md5(trim(regexp_replace(replace(replace(replace(strip_accents(g), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), '[^a-z0-9]+', ' ', 'g'))) AS gazetteer FROM f""")
 def fold_keys(spark, sf_dir):
     whole = F.col("text")
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.fold(whole)).alias("key"), F.md5(text.fold_gazetteer(whole)).alias("gazetteer"))

@@ -14,10 +14,10 @@ from pageloom.functions.text import one_line
 
 # The columns of each table, in order.
 EVENT = (
-    "eventID eventDate verbatimEventDate locality decimalLatitude decimalLongitude samplingProtocol fieldNumber fieldNotes verbatimLocality geodeticDatum "
-    "coordinateUncertaintyInMeters georeferenceSources georeferenceProtocol locationID eventRemarks dynamicProperties"
-).split()
-MEASUREMENT = "eventID occurrenceID measurementID measurementType measurementTypeID measurementValue measurementValueID measurementMethod".split()
+    "eventID", "eventDate", "verbatimEventDate", "locality", "decimalLatitude", "decimalLongitude", "samplingProtocol", "fieldNumber", "fieldNotes", "verbatimLocality", "geodeticDatum",
+    "coordinateUncertaintyInMeters", "georeferenceSources", "georeferenceProtocol", "locationID", "eventRemarks", "dynamicProperties",
+)
+MEASUREMENT = ("eventID", "occurrenceID", "measurementID", "measurementType", "measurementTypeID", "measurementValue", "measurementValueID", "measurementMethod")
 
 
 def event_date(start: Column, end: Column) -> Column:
