@@ -29,7 +29,7 @@ def _with(docs: DataFrame, verdict: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language the decoder rejects: null, without a letter, or ambiguous (two codewords as near, or none nearer than chance).
 
-    Repeated rows all stay or go. If nothing was learned all rows go; an empty table stays one. Long texts are judged whole.
+    Repeated rows all stay or go. If nothing was learned from a table with rows, that is an error; an empty table stays one. Long texts are judged whole.
     """
     return keep_told(docs, train(docs))
 
