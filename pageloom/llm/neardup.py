@@ -17,8 +17,9 @@ differences alone, blocks of members against blocks, so no pairs become rows
 and no group has to fit a task. Since two documents of one bucket have its
 leader in common, no candidate pair goes unchecked. Links are joined to
 components by labels that spread and jump until they rest. Shingles are told
-apart by a 64-bit hash of their words' bytes, whole sets by 128 bits and their
-size.
+apart by a 64-bit hash of their words' bytes under a key that follows from all
+texts, so that no one can build words that collide; whole sets by 128 bits and
+their size.
 
 Ids are integers. Null and empty texts and texts without words have an empty set
 and no links; a component_id is then the row's own id. With fewer than five
@@ -35,9 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from pageloom.llm.storage import saved
-from pageloom.llm.text import SPACED, blocks, gram_hash, gram_inside, map_blocks, mix, word_hash, words
+from pageloom.llm.text import SPACED, blocks, corpus_key, gram_hash, gram_inside, map_blocks, mix, word_hash, words
 from pageloom.llm.tokens import list_array
 
 COORDS, ROWS = 160, 4
@@ -47,10 +49,10 @@ BLOCK_MEMBERS, LOT = 512, 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(block, k: int = WORDS) -> list[np.ndarray]:
+def shingle_sets(block, k: int = WORDS, key: int = 0) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row's text."""
     found = words(block, SPACED)
-    hashes = word_hash(block, found, lower=True)
+    hashes = word_hash(block, found, lower=True, key=key)
     grams = gram_hash(hashes, k)
     out = []
     for r in range(len(block)):
@@ -108,11 +110,11 @@ def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", key: int = 0) -> DataFrame:
     """id, n_shingles, a 128-bit hash of the set (h1, h2) and the band keys."""
 
     def fn(block, rows):
-        sets = shingle_sets(block)
+        sets = shingle_sets(block, key=key)
         n = np.array([len(s) for s in sets])
         keys = band_keys(sketch(sets))
         h1 = np.array([_set_hash(s) for s in sets], np.uint64)
@@ -136,7 +138,7 @@ def leader_pairs(nodes: DataFrame) -> DataFrame:
     return pairs.filter("leader <> member").distinct()
 
 
-def check_leaders(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def check_leaders(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, key: int = 0) -> DataFrame:
     """leader, member, linked, n_leader, missing, added, diff: the exact comparison of each pair.
 
     A leader meets its members in lots of about ``LOT``, so no group has to fit a task; within a lot its set is made once and the members stream past it.
@@ -158,20 +160,20 @@ def check_leaders(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent:
             for block in blocks(batch.column("text")):
                 out: dict[str, list] = {c: [] for c in ("leader", "member", "linked", "n_leader", "missing", "added")}
                 diffs = [np.zeros(0, np.uint64)]
-                for i, member in enumerate(shingle_sets(block), block.first):
-                    key, node = (col["leader"][i], col["lot"][i]), col["node"][i]
-                    if (key, node) == last or int(_set_hash(member).view(np.int64)) != col["h1"][i]:
+                for i, member in enumerate(shingle_sets(block, key=key), block.first):
+                    lot_of, node = (col["leader"][i], col["lot"][i]), col["node"][i]
+                    if (lot_of, node) == last or int(_set_hash(member).view(np.int64)) != col["h1"][i]:
                         continue  # a repeated row, or another text of the id
-                    last = key, node
+                    last = lot_of, node
                     if not col["role"][i]:
-                        own, base = key, member
+                        own, base = lot_of, member
                         continue
-                    if own != key:
-                        raise ValueError(f"no text of leader {key[0]}")
+                    if own != lot_of:
+                        raise ValueError(f"no text of leader {lot_of[0]}")
                     diff = np.setxor1d(base, member, assume_unique=True)
                     both = (len(base) + len(member) - len(diff)) // 2
                     linked = 100 * both >= percent * (both + len(diff))
-                    for name, value in zip(out, (key[0], node, linked, len(base), len(base) - both, len(member) - both), strict=True):
+                    for name, value in zip(out, (lot_of[0], node, linked, len(base), len(base) - both, len(member) - both), strict=True):
                         out[name].append(value)
                     diffs.append(diff)
                 yield pa.record_batch({c: pa.array(v, pa.bool_() if c == "linked" else pa.int64()) for c, v in out.items()} | {"diff": list_array(np.concatenate(diffs).view(np.int64), np.array([len(d) for d in diffs[1:]], np.int64))})
@@ -305,13 +307,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", percent: int = 75) -> DataFrame:
-    """id, n_shingles, component_id of every row of docs; ids are integers."""
+    """id, n_shingles, component_id of every row of docs; ids are integers, others are an error before any work."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be of an integer type")
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), "text")
-    signed = saved(signatures(docs, "_id"))
+    key = corpus_key(docs)
+    signed = saved(signatures(docs, "_id", key))
     nodes = signed.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("_id").alias("least"), F.first("bands").alias("bands"))
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()))
     pairs = saved(leader_pairs(nodes.filter("least is not null").select("node", "bands")))
-    checked = saved(check_leaders(pairs, nodes, docs, percent))
+    checked = saved(check_leaders(pairs, nodes, docs, percent, key))
     links = checked.filter("linked").select(F.col("leader").alias("a"), F.col("member").alias("b")).union(check_members(checked, percent))
     found = components(links)
     named = found.join(nodes.select("node", "least"), "node")

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 BLOCK_BYTES = 1 << 21
@@ -147,13 +149,15 @@ def _eight(data: np.ndarray) -> np.ndarray:
     return np.ndarray(len(data), "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes from start to end; equal bytes hash alike everywhere.
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes from start to end; equal bytes hash alike wherever the key is the same.
 
-    Spans of up to ``LONG`` bytes are mixed eight bytes at a time, longer ones go to XXH3.
+    Spans of up to ``LONG`` bytes are mixed eight bytes at a time, longer ones go
+    to XXH3, or with a key to BLAKE2. Without a key words can be built that
+    collide, so what decides between texts gives one that the builder can't know.
     """
     size = end - start
-    out = mix(size.astype(np.uint64) * _MULT)
+    out = mix(size.astype(np.uint64) * _MULT ^ np.uint64(key))
     short = np.flatnonzero((size <= LONG) & (size > 0))
     wide, at = _eight(data), 0
     while len(short):
@@ -165,12 +169,21 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     far = np.flatnonzero(size > LONG)
     if len(far):
         view = memoryview(np.ascontiguousarray(data))
-        out[far] = np.fromiter((xxh3_64_intdigest(view[a:b]) for a, b in zip(start[far].tolist(), end[far].tolist(), strict=True)), np.uint64, len(far))
+        secret = key.to_bytes(8, "little")
+        one = (lambda x: int.from_bytes(blake2b(x, digest_size=8, key=secret).digest(), "little")) if key else xxh3_64_intdigest
+        out[far] = np.fromiter((one(view[a:b]) for a, b in zip(start[far].tolist(), end[far].tolist(), strict=True)), np.uint64, len(far))
     return out
 
 
-def word_hash(block: Block, found: Words, lower: bool) -> np.ndarray:
-    return span_hash(LOWER[block.data] if lower else block.data, found.start, found.end)
+def word_hash(block: Block, found: Words, lower: bool, key: int = 0) -> np.ndarray:
+    return span_hash(LOWER[block.data] if lower else block.data, found.start, found.end, key)
+
+
+def corpus_key(docs, text: str = "text") -> int:
+    """A key for hashes that follows from all texts: the same on each run, and to build words that collide under it one would have to build them after it."""
+    part = lambda at: F.conv(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), at, 12), 16, 10).cast("decimal(38,0)")
+    sums = docs.agg(*[F.sum(part(at)).alias(f"s{at}") for at in (1, 13, 25)]).first()
+    return int.from_bytes(blake2b(repr([int(s or 0) for s in sums]).encode(), digest_size=8).digest(), "little") | 1
 
 
 class WordMemo:

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from pageloom.llm import neardup
 from pageloom.llm.neardup import components, near_duplicates, sketch
@@ -99,6 +100,14 @@ def test_hash_does_not_decide_for_unequal_texts(spark):
     assert got == {1: 1, 2: 2, 3: 3, 4: 4}
 
 
+def test_words_built_to_collide_and_ids_that_are_no_numbers(spark):
+    docs = [(1, "rs18bf38il5pj3jo a b c d"), (2, "srlliwch$|ea;:~+ a b c d"), (3, "RS18bf38il5pj3jo a b c D")]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    with pytest.raises(TypeError, match="integer"):
+        near_duplicates(spark.createDataFrame([("x", "a")], "doc_id string, text string"))
+
+
 def test_an_id_with_two_texts(spark):
     a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     docs = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, a), (None, "q"), (9, a)]
