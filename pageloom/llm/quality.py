@@ -6,11 +6,10 @@ a second pass scores each document with the mean of log(p_trusted / p_raw) over
 its n-grams, so length does not matter; buckets of nearly equal shares count as
 equal. A quarter of the trusted documents, told by a hash of the id, counts as
 raw only; as any other clean document they did not shape the ratio in their
-favour, and the threshold is a low quantile of their scores. It decides every
-document (a score equal to it passes): no noise, the same verdict on each run.
-So few of them that the quantile would lie below the least one give a fixed
-number of standard deviations (at least a fixed margin) below the mean of all
-trusted documents instead.
+favour, and the threshold is a low quantile of their scores, however few they
+are: the greatest score below which no more than that share lies, which of under
+a hundred is the least one. It decides every document (a score equal to it
+passes): no noise, the same verdict on each run.
 
 Texts without words (null, empty, white space) have no score and are not kept.
 Texts of any length are read whole. Without trusted documents the ratio is zero
@@ -37,10 +36,6 @@ BUCKETS = 1 << 17
 QUANTILE = 0.01
 #: Scores are counted in steps of so many nats for the quantile.
 STEP = 1e-5
-#: With too few trusted documents for the quantile, how far below the mean score of trusted documents a kept document may lie.
-SIGMAS = 4.0
-#: The least distance of such a threshold from that mean, in nats per n-gram.
-LEAST_MARGIN = 0.05
 #: Occurrences added to both sides of each bucket's ratio: n-grams too rare to tell apart weigh nothing.
 PSEUDO = 32.0
 #: Buckets whose log ratio is nearer to zero weigh nothing: languages and topics differ by as much.
@@ -114,6 +109,7 @@ def _base(block, found, hashes) -> dict[str, np.ndarray]:
     width = 8
     inside = np.flatnonzero(gram_inside(found, width))
     again = inside[_twice(found.row[inside], gram_hash(hashes, width)[inside])]
+    again = again[_equal_windows(block, found, again, width)]
     repeat = covered(again, np.full(len(again), width), len(found))
     return {
         "word_chars": chars, "n_symbols": symbols, "n_dup_lines": np.bincount(row, weights=dup, minlength=n).astype(np.int64),
@@ -138,6 +134,19 @@ def _repeated_lines(block, row: np.ndarray, start: np.ndarray, end: np.ndarray)
     return out
 
 
+def _equal_windows(block, found, at: np.ndarray, width: int) -> np.ndarray:
+    """True where the words of the window at this place stand at another of the places of the same row: told by the words' bytes."""
+    if not len(at):
+        return np.zeros(0, bool)
+    used = np.flatnonzero(covered(at, np.full(len(at), width), len(found)))
+    data, number = block.data.tobytes(), {}
+    numbers = np.zeros(len(found), np.int32)
+    numbers[used] = [number.setdefault(data[a:b], len(number)) for a, b in zip(found.start[used].tolist(), found.end[used].tolist(), strict=True)]
+    wide = np.column_stack([found.row[at].astype(np.int32), numbers[at[:, None] + np.arange(width)]])
+    _, same, count = np.unique(np.ascontiguousarray(wide).view(f"V{wide.shape[1] * 4}").ravel(), return_inverse=True, return_counts=True)
+    return count[same] > 1
+
+
 def _twice(row: np.ndarray, value: np.ndarray) -> np.ndarray:
     """True where the value stands twice or more in the row."""
     order, new = _groups(row, value)
@@ -169,19 +178,17 @@ def trusted_ids(labels: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     return labels.filter("quality = 1 and toxic = 0").select(F.col(id_col).alias("_id")).distinct()
 
 
-def trusted_limit(scores: DataFrame, held: DataFrame, sigmas: float = SIGMAS, quantile: float = QUANTILE) -> float | None:
-    """The threshold: at most the share ``quantile`` of the held scores lies below. scores: of all trusted documents. A row for each step of scores comes to the driver."""
+def trusted_limit(held: DataFrame, quantile: float = QUANTILE) -> float | None:
+    """The threshold: at most the share ``quantile`` of the held scores lies below; without any, none. A row for each step of scores comes to the driver."""
     steps = held.filter("score is not null").groupBy(F.floor(F.col("score") / F.lit(STEP)).alias("step")).agg(F.count("*").alias("n")).orderBy("step").collect()
     below, total = 0, sum(r.n for r in steps)
-    if total * quantile < 1:
-        return scores.agg(F.round(F.avg("score") - F.greatest(sigmas * F.stddev_pop("score"), F.lit(LEAST_MARGIN)), 6)).first()[0]
     for r in steps:
         below += r.n
         if below > total * quantile:
             return r.step * STEP
 
 
-def quality_filter(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", buckets: int = BUCKETS, sigmas: float = SIGMAS) -> DataFrame:
+def quality_filter(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
     """Base counts, base_failed, score, threshold and verdict for every document.
 
     The texts are shuffled once, to meet the labels for the counts; scores are
@@ -191,8 +198,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     # without a hint small tables would broadcast the ids and larger ones not
     marked = docs.select(id_col, "text").join(trusted.filter(~held_out("_id")).hint("merge"), F.col(id_col) == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("_trusted"))
     scored = checkpoint(score_documents(docs, log_ratio(bucket_counts(marked, buckets), buckets), id_col=id_col))
-    score_of = lambda ids: scored.join(ids, F.col(id_col) == F.col("_id"), "left_semi").select("score")
-    limit = trusted_limit(score_of(trusted), score_of(trusted.filter(held_out("_id"))), sigmas)
+    limit = trusted_limit(scored.join(trusted.filter(held_out("_id")), F.col(id_col) == F.col("_id"), "left_semi").select("score"))
     passes = F.col("score").isNotNull() & (F.col("threshold").isNull() | (F.col("score") >= F.col("threshold")))
     return (
         scored.withColumn("threshold", F.lit(limit).cast("double"))

@@ -3,7 +3,6 @@ import random
 import re
 import zlib
 from collections import Counter
-from statistics import mean, pstdev
 
 from oracle import binary_digits
 
@@ -70,6 +69,18 @@ def test_lines_are_told_apart_by_their_bytes(spark):
     assert {r.doc_id: r.n_dup_lines for r in got} == {0: 0, 1: 0, 2: 1}
 
 
+#: Two words that the hash of eight bytes at a time does not tell apart without a key.
+ALIKE = ("rs18bf38il5pj3jo", "srlliwch$|ea;:~+")
+
+
+def test_windows_are_told_apart_by_their_bytes(spark):
+    rest = "b c d e f g h"
+    texts = [f"{ALIKE[0]} {rest} x {ALIKE[1]} {rest}", f"{ALIKE[0]} {rest} x {ALIKE[0]} {rest}", f"{ALIKE[0]} {rest} {ALIKE[1]} {rest} {ALIKE[0]} {rest}"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_repeat_words for r in quality_filter(d, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()}
+    assert got == {i: base(t)[4] for i, t in enumerate(texts)} and got[0] == 0 and got[1] == 16
+
+
 def test_verdicts_by_brute_force(spark):
     """Words and pairs counted in dicts; no bucket holds two n-grams of so few."""
     rng = random.Random(12)
@@ -85,11 +96,7 @@ def test_verdicts_by_brute_force(spark):
     score = {i: sum(x for g in grams(t) if abs(x := ratio[g]) >= 0.3) / len(grams(t)) for i, t in docs}
     base_failed = {i: base(t)[0] < 20 or 100 * base(t)[4] > 30 * base(t)[0] for i, t in docs}
     own = sorted(math.floor(score[i] / 1e-5) for i in trusted if held(i))
-    few = [score[i] for i in trusted]
-    if len(own) * 0.01 < 1:
-        limit = round(mean(few) - max(4 * pstdev(few), 0.05), 6)
-    else:
-        limit = own[int(len(own) * 0.01)] * 1e-5
+    limit = own[int(len(own) * 0.01)] * 1e-5
     rows = {r.doc_id: r for r in quality_filter(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), labels).collect()}
     assert all(abs(rows[i].score - score[i]) < 1e-9 for i in score)
     assert {i: rows[i].kept for i in score} == {i: not base_failed[i] and score[i] >= limit for i in score}
