@@ -246,12 +246,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     return _joined(docs, items, id_col, item_id, k, window) if index is None else _scan(docs, index, id_col)
 
 
+def _digest(text):
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def keep_clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", item_id: str = "item_id", window: int = 10, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The rows that share no window with any item, with all their columns."""
     index = _index(docs, items, item_id, window, k, broadcast_bytes)
     if index is None:
-        hit = _joined(docs, items, id_col, item_id, k, window).filter("n_hit > 0").select(F.col(id_col).alias("_id")).distinct()
-        return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+        # a row goes by its own text, also where its id has another one
+        keyed = docs.select(F.struct(docs[id_col].alias("id"), _digest(docs["text"]).alias("text")).alias("_key"), docs["text"])
+        hit = _joined(keyed, items, "_key", item_id, k, window).filter("n_hit > 0").select("_key").distinct()
+        hit = hit.select(F.col("_key.id").alias("_id"), F.col("_key.text").alias("_text"))
+        return docs.join(hit, docs[id_col].eqNullSafe(hit["_id"]) & (_digest(docs["text"]) == hit["_text"]), "left_anti")
 
     def clean(block):
         found = words(block, ALNUM)

@@ -52,6 +52,18 @@ def test_against_brute_force_by_both_ways(spark):
         assert left.columns == d.columns and {r.doc_id for r in left.collect()} == {i for i, x in want.items() if not x[1]}
 
 
+def test_clashing_columns_and_an_id_with_two_texts_by_both_ways(spark):
+    docs, items = cases()
+    docs = [*docs, (7, items[0][1]), (None, items[1][1]), (None, "quite clean")]
+    want = sorted(((i, t) for i, t in docs if not next(iter(brute([(i, t)], items).values()))[1]), key=str)
+    d = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as _id", "2 as _key", "3 as _text", "4 as _doc", "5 as _gram", "6 as _item", "7 as n_hit").repartition(3)
+    it = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as _id", "2 as _text")
+    for limit in (1 << 20, 0):
+        left = keep_clean(d, it, broadcast_bytes=limit)
+        assert left.columns == d.columns and sorted((tuple(r)[:2] for r in left.collect()), key=str) == want, limit
+        assert decontaminate(d, it, broadcast_bytes=limit).count() == len(docs)
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     it = spark.createDataFrame([], "item_id long, text string")
