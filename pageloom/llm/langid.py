@@ -193,7 +193,9 @@ def predict(docs: DataFrame, decoder: Decoder, *, id_col: str = "doc_id", least_
 
 
 def keep_told(docs: DataFrame, decoder: Decoder) -> DataFrame:
-    """The rows whose language the decoder tells (neither ``und`` nor ambiguous), with their columns."""
+    """The rows whose language the decoder tells (neither ``und`` nor ambiguous), with their columns. A decoder that has learned nothing is an error if there are rows."""
+    if not decoder.langs and not docs.isEmpty():
+        raise ValueError("no language was learned: no row with a text and a language that is not held out")
     held = docs.sparkSession.sparkContext.broadcast(decoder)
     return filter_blocks(docs, lambda block: ~_answer(held.value, block, LEAST_GAP)[2])
 

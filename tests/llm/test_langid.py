@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+import pytest
+
 from pageloom.llm.langid import codewords, identify, keep_told, op5_ecoc_language_id, train
 from pageloom.llm.text import mix
 
@@ -100,4 +102,6 @@ def test_the_decoder_rejects_what_it_cannot_tell(spark):
     assert kept == set(range(200))
     one = spark.createDataFrame([r for r in docs if r[2] == "aa"] + junk, "doc_id long, text string, lang string")
     assert {r.doc_id for r in keep_told(one, train(one)).collect()} == {r[0] for r in docs if r[2] == "aa"} | {1003, 1004, 1005}
-    assert keep_told(d.limit(0), train(d.limit(0))).count() == 0 and keep_told(d, train(d.limit(0))).count() == 0
+    assert keep_told(d.limit(0), train(d.limit(0))).count() == 0
+    with pytest.raises(ValueError, match="no language"):
+        keep_told(d, train(d.limit(0)))
