@@ -4,8 +4,10 @@ Base kinds (email, ip, card, phone) are leftmost, non-overlapping matches of
 their patterns that pass their validator; they are always reported. The method
 adds three kinds that need more than a pattern: ``iban`` (mod-97 must be 1),
 ``id`` (three-two-four digit groups) and ``secret`` (long runs of letters and
-digits), which are reported if their score reaches ``THRESHOLD``. A span's score is its kind's prior, raised if a checksum held and
-if one of the kind's context words stands within ``NEAR`` characters before it.
+digits), which are reported if their score reaches ``THRESHOLD``. A span's score is
+its kind's prior, raised if a checksum held and if one of the kind's context words
+(with or without an s) stands whole within ``NEAR`` characters before or after it;
+letters on either side of it make it another word.
 
 Null and empty texts have no spans, an empty table gives no rows. Offsets are
 code points, ends exclusive. Repeated rows are searched each, texts of any length
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: How many characters before a span are searched for context words.
+#: How many characters before and after a span are searched for context words.
 NEAR = 40
 THRESHOLD = 0.7
 
@@ -101,42 +103,54 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
-_PLACED = "array<struct<h:string,near:string,start:bigint>>"
+_PLACED = "array<struct<h:string,near:string,past:string,start:bigint>>"
+#: A window holds one more character, which tells whether a word is cut there.
+_WINDOW = NEAR + 1
 #: Matches that are laid end to end at a time, so that a text with very many is not quadratic.
 _CHUNK = 256
 
 
 def _pairs(pattern: str, hint: Column) -> Column:
-    """Each match of the text with the text since the match before; hint: false where there can be none."""
-    gaps, hits = F.split(F.col("_text"), pattern), F.regexp_extract_all(F.col("_text"), F.lit(pattern), F.lit(0))
+    """Each match of the text with the text since the match before and the beginning of the text up to the next, at the end of the text a space; hint: false where there can be none."""
+    # a space behind the text makes no match longer, and ends the last word
+    gaps, hits = F.split(F.concat("_text", F.lit(" ")), pattern), F.regexp_extract_all(F.col("_text"), F.lit(pattern), F.lit(0))
     zipped = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
-    return F.when(hint, zipped).otherwise(F.array().cast("array<struct<h:string,g:string>>"))
+    zipped = F.zip_with(zipped, F.slice(gaps, F.lit(2), F.size(hits)), lambda x, g: F.struct(x["h"].alias("h"), x["g"].alias("g"), F.left(g, F.lit(_WINDOW)).alias("a")))
+    return F.when(hint, zipped).otherwise(F.array().cast("array<struct<h:string,g:string,a:string>>"))
 
 
 def _placed(pairs: str) -> Column:
-    """Chunks of matches, each as the length of its text and the matches with their starts in it and the text before them."""
-    last = lambda text: F.substring(text, -NEAR, NEAR)
+    """Chunks of matches, each as the length of its text and the matches with their starts in it and the text before and after them."""
+    last = lambda text: F.substring(text, -_WINDOW, _WINDOW)
 
     def zero(chunk: Column) -> Column:
         """Nothing placed yet; what stands before the chunk lies in so many matches at most, as each has a character."""
-        before = F.slice(pairs, F.greatest(chunk * _CHUNK - NEAR + 1, F.lit(1)), F.least(chunk * _CHUNK, F.lit(NEAR)))
-        tail = last(F.array_join(F.transform(before, lambda x: F.concat(last(x["g"]), x["h"])), ""))
+        before = F.slice(pairs, F.greatest(chunk * _CHUNK - _WINDOW + 1, F.lit(1)), F.least(chunk * _CHUNK, F.lit(_WINDOW)))
+        # the text begins after a space, so that a word at its beginning is whole
+        tail = last(F.concat(F.lit(" "), F.array_join(F.transform(before, lambda x: F.concat(last(x["g"]), x["h"])), "")))
         return F.struct(F.lit(0).cast("bigint").alias("end"), tail.alias("tail"), F.array().cast(_PLACED).alias("out"))
 
+    def after(x: Column) -> Column:
+        """What stands after a match: where the next one is near, it and what follows, each of a character at least."""
+        rest = F.transform(F.slice(pairs, x["i"] + 2, F.lit(_WINDOW)), lambda y: F.concat(F.left(y["h"], F.lit(_WINDOW)), y["a"]))
+        return F.when(F.length(x["a"]) >= _WINDOW, x["a"]).otherwise(F.left(F.concat(x["a"], F.array_join(rest, "")), F.lit(_WINDOW)))
+
     def place(acc: Column, x: Column) -> Column:
         start = acc["end"] + F.length(x["g"])
         near = last(F.concat(acc["tail"], last(x["g"])))
-        made = F.struct(x["h"].alias("h"), near.alias("near"), start.alias("start"))
+        made = F.struct(x["h"].alias("h"), near.alias("near"), after(x).alias("past"), start.alias("start"))
         return F.struct((start + F.length(x["h"])).alias("end"), last(F.concat(near, x["h"])).alias("tail"), F.concat(acc["out"], F.array(made)).alias("out"))
 
     chunks = F.filter(F.sequence(F.lit(0), F.floor(F.size(pairs) / _CHUNK).cast("int")), lambda c: c * _CHUNK < F.size(pairs))
-    return F.transform(chunks, lambda c: F.aggregate(F.slice(pairs, c * _CHUNK + 1, F.lit(_CHUNK)), zero(c), place))
+    numbered = lambda c: F.transform(F.slice(pairs, c * _CHUNK + 1, F.lit(_CHUNK)), lambda x, i: F.struct(x["h"].alias("h"), x["g"].alias("g"), x["a"].alias("a"), (c * _CHUNK + i).alias("i")))
+    return F.transform(chunks, lambda c: F.aggregate(numbered(c), zero(c), place))
 
 
 def _spans(kind: str, chunks: str) -> Column:
     """Array of (kind, start, end, score) of the confirmed matches."""
     prior, checked, context = KINDS[kind]
-    near = lambda x: x["near"].rlike(rf"(?i)(?:^|[^a-z])(?:{context})")
+    word = rf"(?<!\p{{L}})(?:{context})s?(?!\p{{L}})"
+    near = lambda x: x["near"].rlike(rf"(?is)^.+?{word}") | x["past"].rlike(rf"(?is)^.*?{word}.")
 
     def span(x: Column, base: Column) -> Column:
         start = base + x["start"]
