@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from pageloom.functions import dates, vocab
 from pageloom.functions import text as texts
 from pageloom.functions.names import bird_stem
+from pageloom.operators import scan
+from pageloom.operators.graph import settled
 
 #: Endings that an inflected vernacular name may have.
 ENDINGS = ("", "s", "e", "n", "en", "er")
@@ -66,20 +68,26 @@ def header_pattern(year_required: bool = True) -> str:
     """A whole line that begins with a date: group 1 the date, group 2 the rest."""
     month = rf"(?:{_MONTH_NAME}|{_MONTH_EN}|(?:{_MONTH_ROMAN})\.?)"
     date = rf"\d{{1,2}}\.?\s*{month}[\s.]*" + (_YEAR if year_required else f"(?:{_YEAR})?")
-    return rf"(?m)^[ \t]*(?:[-*•]\s*)?(?:<u>[ \t]*)?((?i:{date}))[ \t]*(?:</u>)?[ \t]*[.:]?([^\n]*)$"
+    # lines end at \n alone
+    return rf"(?md)^[ \t]*(?:[-*•]\s*)?(?:<u>[ \t]*)?((?i:{date}))[ \t]*(?:</u>)?[ \t]*[.:]?([^\n]*)$"
 
 
 def matches_at(text: Column, pattern: str) -> Column:
     """Array of (start, hit): all matches of a pattern and where they begin. The text between matches and the matches lie end to end."""
     gaps, hits = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
+    pairs = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
+    found = "array<struct<start:int,hit:string>>"
+    # matches are laid end to end by chunks of chunks, as each step copies the array that it adds to
+    chunk = lambda rows, n: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(rows) - 1) / n).cast("int"), F.lit(0))), lambda c: F.slice(rows, c * n + 1, F.lit(n)))
 
-    def place(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["g"])
-        return F.struct((start + F.length(x["h"])).alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), x["h"].alias("hit")))).alias("out"))
+    def lay(rows: Column, start_of, made_of, end_of, kind: str) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(rows, zero, lambda acc, x: F.struct((acc["at"] + end_of(x)).alias("at"), F.concat(acc["out"], F.array(made_of(x, acc["at"] + start_of(x)))).alias("out")))
 
-    pairs = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
-    return F.aggregate(pairs, zero, place, lambda acc: acc["out"])
+    inner = lambda rows: lay(rows, lambda x: F.length(x["g"]), lambda x, at: F.struct(at.alias("start"), x["h"].alias("hit")), lambda x: F.length(x["g"]) + F.length(x["h"]), found)
+    shifted = lambda x, at: F.transform(x["out"], lambda y: F.struct((y["start"] + at).alias("start"), y["hit"].alias("hit")))
+    whole = lay(F.transform(chunk(pairs, 256), inner), lambda x: F.lit(0), shifted, lambda x: x["at"], f"array<{found}>")
+    return F.flatten(whole["out"])
 
 
 def _strip(c: Column) -> Column:
@@ -134,14 +142,16 @@ def resegmented(pages: DataFrame, starts: DataFrame, volume: str, page: str, tex
     pages are in the order of their key, with an empty line between them; what stands before a volume's first header is of no entry. Each page is cut on its
     own, so only the pieces of an entry meet. The page of an entry is the one that its header stands on.
     """
-    cuts = starts.groupBy(page).agg(F.sort_array(F.collect_list("offset")).alias("_cuts"))
-    cut = pages.join(cuts, page, "left").withColumn("_cuts", F.concat(F.array(F.lit(-1)), F.coalesce("_cuts", F.array().cast("array<int>"))))
-    pieces = cut.select(volume, page, text, "_cuts", F.posexplode("_cuts").alias("_k", "offset"))
+    cuts = settled(starts.groupBy(page).agg(F.sort_array(F.collect_list("offset")).alias("_cuts")))
+    # how many headers stand before a page in its volume is scanned without the texts
+    n_cuts = pages.select(volume, page).join(cuts.select(page, F.size("_cuts").alias("_n")), page, "left")
+    base = scan.scanned(n_cuts, volume, [page], _base=scan.running_sum(F.col("_n"), own=False)).select(page, "_base")
+    cut = pages.join(cuts, page, "left").join(base, page).withColumn("_cuts", F.concat(F.array(F.lit(-1)), F.coalesce("_cuts", F.array().cast("array<int>"))))
+    pieces = cut.select(volume, page, text, "_base", "_cuts", F.posexplode("_cuts").alias("_k", "offset"))
     begin = F.greatest(F.col("offset"), F.lit(0))
     stop = F.coalesce(F.get("_cuts", F.col("_k") + 1), F.length(text))
-    pieces = pieces.select(volume, page, "_k", "offset", F.concat(F.when(F.col("_k") == 0, "\n\n").otherwise(""), F.substring(text, begin + 1, stop - begin)).alias("_t"))
-    w = Window.partitionBy(volume).orderBy(page, "_k").rowsBetween(Window.unboundedPreceding, 0)
-    pieces = pieces.withColumn("seq", F.sum((F.col("_k") > 0).cast("int")).over(w)).filter("seq > 0")
+    seq = F.col("_base") + F.col("_k")
+    pieces = pieces.select(volume, page, "_k", "offset", F.concat(F.when(F.col("_k") == 0, "\n\n").otherwise(""), F.substring(text, begin + 1, stop - begin)).alias("_t"), seq.alias("seq")).filter("seq > 0")
     parts = F.sort_array(F.collect_list(F.struct(F.col(page).alias("p"), "_k", "_t")))
     first = F.min(F.struct(F.col(page).alias("p"), "_k", "offset"))
     whole = pieces.groupBy(volume, "seq").agg(F.array_join(F.transform(parts, lambda x: x["_t"]), "").alias("_raw"), first.alias("_f"))

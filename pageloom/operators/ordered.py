@@ -7,63 +7,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from pageloom.functions import dates
+from pageloom.operators import scan
 
 
 def _before(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _sides(group: str, order: str) -> tuple[WindowSpec, WindowSpec]:
-    """The rows before and the rows after a row, either from the far end on: a running value is kept, where a frame that shrinks would be read anew for each row."""
-    w = Window.partitionBy(group)
-    return _before(w.orderBy(F.asc(order))), _before(w.orderBy(F.desc(order)))
-
-
-def running_offset(length: Column, w: WindowSpec, gap: int = 2) -> Column:
-    """Where a piece begins in the stream of the pieces before it, each followed by ``gap`` characters."""
-    return F.coalesce(F.sum(length + gap).over(_before(w)), F.lit(0))
-
-
-def carry_forward(value: Column, w: WindowSpec) -> Column:
-    """The last value that is not null, up to and with this row."""
-    return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-
 def segments(rows: DataFrame, group: str, order: str, header: Column, text: str) -> DataFrame:
     """group, seq, start, n_rows, n_chars, body: one row for each stretch from a header row to the next; rows before the first header are of none."""
-    w = Window.partitionBy(group).orderBy(order)
-    numbered = rows.withColumn("seq", F.sum(header.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("seq > 0")
+    marks = rows.select(group, order, header.cast("long").alias("_h"))
+    places = scan.scanned(marks, group, [order], seq=scan.running_sum(F.col("_h"))).filter("seq > 0").select(F.col(group).alias("_g"), F.col(order).alias("_o"), "seq")
+    numbered = rows.join(places, F.col(group).eqNullSafe(F.col("_g")) & (F.col(order) == F.col("_o"))).drop("_g", "_o")
     parts = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
     return numbered.groupBy(group, "seq").agg(F.min(order).alias("start"), F.count("*").alias("n_rows"), F.array_join(F.transform(parts, lambda x: x["t"]), "\n\n").alias("body")).withColumn("n_chars", F.length("body"))
 
 
 def with_valid_neighbours(rows: DataFrame, value: str, group: str, order: str, n: int = 2, to: str = "neighbours") -> DataFrame:
-    """Adds an array of up to n nearest non-null values before (nearest first), then after.
+    """Adds an array of up to n nearest non-null values before (nearest first), then after."""
+    return scan.neighbours(rows, value, group, order, n).withColumn(to, F.concat("_before", "_after")).drop("_before", "_after")
 
-    A valid row passes on the neighbours it has found itself: the k-th nearest is
-    the nearest one's (k-1)-th, so each step is one more window over the same
-    order and nothing is collected.
-    """
-    names = []
-    for side, frame in zip("pn", _sides(group, order), strict=True):
-        passed = F.col(value)
-        for k in range(n):
-            # wrapped, so that a valid row without a further neighbour still counts as the nearest one
-            nearest = F.last(F.when(F.col(value).isNotNull(), F.struct(passed.alias("v"))), ignorenulls=True).over(frame)
-            rows = rows.withColumn(f"_{side}{k}", nearest["v"])
-            names.append(f"_{side}{k}")
-            passed = F.col(f"_{side}{k}")
-    return rows.withColumn(to, F.filter(F.array(*names), lambda x: x.isNotNull())).drop(*names)
-
-
-def positional_interval(value: str, start: Column, end: Column, group: str, order: str) -> Column:
-    """(start, end): nearest valid values before and after, the span's edges where there are none, in order."""
-    before, after = _sides(group, order)
-    a = F.coalesce(F.last(value, ignorenulls=True).over(before), start)
-    b = F.coalesce(F.last(value, ignorenulls=True).over(after), end)
+
+def interval_of(before: Column, after: Column, start: Column, end: Column) -> Column:
+    """(start, end): the values before and after, the span's edges where there are none, in order."""
+    a, b = F.coalesce(before, start), F.coalesce(after, end)
     return F.struct(F.least(a, b).alias("start"), F.greatest(a, b).alias("end"))
 
 
+def with_interval(rows: DataFrame, value: str, start: Column, end: Column, group: str, order: str, to: str = "interval") -> DataFrame:
+    """Adds (start, end): the nearest valid values before and after a row, the span's edges where there are none."""
+    found = scan.scanned(rows, group, [order], _p=scan.last_value(F.col(value), own=False), _n=scan.next_value(F.col(value)))
+    return found.withColumn(to, interval_of(F.col("_p"), F.col("_n"), start, end)).drop("_p", "_n")
+
+
 def repair_years(rows: DataFrame, spans: DataFrame, tolerance: int = 1, max_digits: int = 2, kinds: tuple[str, ...] = ("field-day", "correspondence", "other", "species-digest", "retrospective")) -> DataFrame:
     """Routes dated rows outside their volume's span: repaired, excluded, positional or flagged.
 
@@ -79,7 +55,7 @@ def repair_years(rows: DataFrame, spans: DataFrame, tolerance: int = 1, max_digi
     known = F.col("start").isNotNull() & F.col("entry_date").isNotNull()
     inside = known & dates.in_span(ym, F.col("start"), F.col("end"), tolerance)
     rows = rows.withColumn("_inside", F.when(inside, F.col("entry_date")))
-    rows = with_valid_neighbours(rows, "_inside", "volume", "ord", 2, "_near")
+    rows = scan.neighbours(rows, "_inside", "volume", "ord", 2).withColumn("_near", F.concat("_before", "_after"))
     years = F.transform("_near", lambda d: F.substring(d, 1, 4))
     # the commonest year, the first seen of equals
     votes = lambda y: F.size(F.filter(years, lambda x: x == y))
@@ -95,8 +71,8 @@ def repair_years(rows: DataFrame, spans: DataFrame, tolerance: int = 1, max_digi
     fits = F.try_to_date(new, "yyyy-MM-dd").isNotNull() & dates.in_span(F.substring(new, 1, 7), F.col("start"), F.col("end"), tolerance)
     near = F.forall("_near", lambda d: dates.months_between(new, d) <= 3)
     fixed = F.col("kind").isin(*kinds) & ~record & (F.size("_near") > 0) & (F.col("_votes") >= F.least(F.lit(2), F.size("_near"))) & digits & fits & near
-    place = positional_interval("_inside", F.concat("start", F.lit("-01")), F.date_format(F.last_day(F.try_to_date(F.concat("end", F.lit("-01")), "yyyy-MM-dd")), "yyyy-MM-dd"), "volume", "ord")
-    rows = rows.withColumn("_place", place)
+    last = F.date_format(F.last_day(F.try_to_date(F.concat("end", F.lit("-01")), "yyyy-MM-dd")), "yyyy-MM-dd")
+    rows = rows.withColumn("_place", interval_of(F.get("_before", F.lit(0)), F.get("_after", F.lit(0)), F.concat("start", F.lit("-01")), last))
     reason = (
         F.when(~known | inside, F.lit(None).cast("string"))
         .when(F.coalesce(fixed, F.lit(False)), "date_year_corrected")
@@ -110,7 +86,7 @@ def repair_years(rows: DataFrame, spans: DataFrame, tolerance: int = 1, max_digi
         "*",
         F.when(F.col("reason") == "date_year_corrected", new).when(moved, F.col("_place.start")).otherwise(F.col("entry_date")).alias("new_date"),
         F.when(moved & (F.col("_place.end") != F.col("_place.start")), F.col("_place.end")).alias("new_end"),
-    ).drop("_first", "_last", "_inside", "_near", "_year", "_votes", "_place")
+    ).drop("_first", "_last", "_inside", "_near", "_before", "_after", "_year", "_votes", "_place")
 
 
 def travel_departures(legs: DataFrame, event: str = "event", order: str = "pos") -> DataFrame:

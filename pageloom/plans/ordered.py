@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pageloom.operators import ordered
+from pageloom.operators import ordered, scan
 from pageloom.plans.model import ENTRIES, entries
 from pageloom.plans.registry import query, table
 
@@ -13,10 +13,9 @@ from pageloom.plans.registry import query, table
 @query("""SELECT conv_id, turn, coalesce(sum(length(text) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off,
   max(CASE WHEN role <> 'assistant' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS header FROM conversations""")
 def stream_offsets_and_last_header(spark, sf_dir):
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    c = table(spark, sf_dir, "conversations")
-    header = ordered.carry_forward(F.when(F.col("role") != "assistant", F.col("turn")), w)
-    return c.select("conv_id", "turn", ordered.running_offset(F.length("text"), w).alias("off"), header.alias("header"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.length("text") + 2).alias("n"), F.when(F.col("role") != "assistant", F.col("turn")).alias("h"))
+    found = scan.scanned(c, "conv_id", ["turn"], off=scan.running_sum(F.col("n"), own=False), header=scan.last_value(F.col("h")))
+    return found.select("conv_id", "turn", "off", "header")
 
 
 @query("""WITH n AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS seq FROM conversations),
@@ -47,7 +46,7 @@ def nearest_valid_neighbours(spark, sf_dir):
   SELECT user_id, event_id, least(a, b) AS start, greatest(a, b) AS "end" FROM w""")
 def positional_interval(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd")).alias("d"))
-    return e.select("user_id", "event_id", ordered.positional_interval("d", F.lit("2024-01-01"), F.lit("2024-01-31"), "user_id", "event_id").alias("i")).select("user_id", "event_id", "i.start", "i.end")
+    return ordered.with_interval(e, "d", F.lit("2024-01-01"), F.lit("2024-01-31"), "user_id", "event_id", "i").select("user_id", "event_id", "i.start", "i.end")
 
 
 def repaired(spark, sf_dir):
@@ -121,6 +120,6 @@ def dominant_member(spark, sf_dir):
 
 @query(f"WITH {ENTRIES} SELECT volume, ord, 'L' || lpad(volume::VARCHAR, 2, '0') || '-e' || lpad(row_number() OVER (PARTITION BY volume ORDER BY ord)::VARCHAR, 5, '0') AS entry_id FROM entries")
 def entry_sequence(spark, sf_dir):
-    e = ordered.running_index(entries(spark, sf_dir), ["volume"], "ord", "i")
+    e = scan.scanned(entries(spark, sf_dir).select("volume", "ord"), "volume", ["ord"], i=scan.running_sum(F.lit(1), own=False))
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     return e.select("volume", "ord", F.concat(F.lit("L"), pad(F.col("volume"), 2), F.lit("-e"), pad(F.col("i") + 1, 5)).alias("entry_id"))
