@@ -36,6 +36,12 @@ def running_sum(value: Column, own: bool = True) -> Measure:
     return Measure(lambda w: F.sum(value).over(frame(w)), lambda order: F.sum(value), lambda t, w: F.sum(t).over(w), add)
 
 
+def running_max(value: Column) -> Measure:
+    """The greatest value up to and with the row."""
+    frame = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    return Measure(lambda w: F.max(value).over(frame(w)), lambda order: F.max(value), lambda t, w: F.max(t).over(w), lambda a, b: F.greatest(a, b))
+
+
 def last_value(value: Column, own: bool = True) -> Measure:
     """The last value that is not null up to the row, with or without its own."""
     frame = lambda w: w.rowsBetween(Window.unboundedPreceding, 0 if own else -1)

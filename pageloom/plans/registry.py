@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-_MODULES = ("diary", "archive", "ordered", "lookups", "documents", "scalars", "graph", "resolution", "extract", "curation", "answers")
+_MODULES = ("diary", "archive", "ordered", "lookups", "documents", "scalars", "graph", "resolution", "extract", "curation", "answers", "nearby")
 
 
 def query(sql: str | None = None):
