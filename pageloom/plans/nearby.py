@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageloom.operators import nearby, sameas, scan
+from pageloom.operators import nearby, places, sameas, scan
 from pageloom.plans.registry import query, table
 
 
@@ -70,3 +70,53 @@ def best_name_matches(spark, sf_dir):
     swapped = F.concat(F.left(name, at), F.substring(name, at + 2, F.lit(1)), F.substring(name, at + 1, F.lit(1)), F.substring(name, at + 3, F.length(name)))
     asked = p.filter(k % 7 == 3).select(F.when(k % 2 == 0, lost).otherwise(swapped).alias("name"))
     return sameas.best_matches(asked, p.select(name.alias("name"))).select("name", "match", F.round("ratio", 6).alias("ratio"))
+
+
+_HITS = ["place|village", "natural|water", "amenity|pub", "highway|track", "highway|motorway", "boundary|administrative", "leisure|park"]
+_FEATURES = ["P|PPL", "P|PPLA2", "H|LK", "A|ADM3", "S|RSTN"]
+_DISTANCE = "12742 * asin(sqrt(pow(sin((radians({b}lat) - radians({a}lat)) / 2), 2) + cos(radians({a}lat)) * cos(radians({b}lat)) * pow(sin((radians({b}lon) - radians({a}lon)) / 2), 2)))"
+
+
+@query(f"""WITH l AS (SELECT DISTINCT 'Ort' || (p_partkey % 400) AS label, CASE WHEN p_partkey % 400 % 2 = 0 THEN 'settlement' END AS kind FROM part),
+  h AS (SELECT 'Ort' || (p_partkey % 400) AS label, 'n/' || p_partkey AS id, string_split({_HITS}[p_partkey // 400 % 7 + 1], '|') AS ct, p_partkey % 3 AS v, 47 + p_partkey % 31 / 40 AS lat, 9 + p_partkey % 29 / 40 AS lon FROM part),
+  ht AS (SELECT label, id, ct[1] AS category, CASE WHEN ct[1] IN ('place', 'natural', 'boundary', 'leisure') THEN 'strong' ELSE 'weak' END AS tier, ct[1] IN ('natural', 'leisure') AS nat, lat, lon FROM h WHERE ct[2] <> 'motorway' AND v <> 2),
+  g AS (SELECT s_suppkey AS gid, 'Ort' || (s_suppkey * 7 % 400) AS label, s_suppkey % 3 AS v, string_split({_FEATURES}[s_suppkey % 5 + 1], '|') AS f, ['DE', 'AT', 'FR'][s_suppkey % 3 + 1] AS cc, s_suppkey % 2 = 0 AS bay, 47 + s_suppkey * 7 % 400 % 31 / 40 AS lat, 9 + s_suppkey % 29 / 40 AS lon, s_suppkey * 997 % 30000 AS population FROM supplier),
+  r AS (SELECT gid, label, v = 0 AS prim, CASE v WHEN 0 THEN 'primary' WHEN 1 THEN 'contains' ELSE 'alternate' END AS nt, f[1] AS fclass, f[2] AS fcode, cc, cc = 'DE' AND bay AS home, lat, lon, population FROM g SEMI JOIN l USING (label)),
+  ab AS (SELECT label, bool_or(home) AS has_home, bool_or(fclass = 'P' AND (population >= 5000 OR prim)) AS elsewhere FROM r GROUP BY label),
+  ag AS (SELECT ht.label, id, gid, fclass, fcode, cc, r.lat AS glat, r.lon AS glon, population, {_DISTANCE.format(a="ht.", b="r.")} AS d,
+    CASE WHEN nat THEN CASE fclass WHEN 'H' THEN 0 WHEN 'S' THEN 2 WHEN 'P' THEN 3 ELSE 4 END ELSE CASE fclass WHEN 'P' THEN 0 WHEN 'A' THEN 1 WHEN 'S' THEN 2 ELSE 4 END END AS pref FROM ht JOIN r USING (label) WHERE d <= 10),
+  a1 AS (SELECT * FROM ag QUALIFY row_number() OVER (PARTITION BY label, id ORDER BY pref, d, population DESC, gid) = 1),
+  c AS (SELECT ht.label, ht.id, CASE WHEN gid IS NULL THEN 'osm' ELSE 'osm+geonames' END AS source, tier, category, NULL AS nt, fclass, fcode, cc, population, coalesce(glat, lat) AS lat, coalesce(glon, lon) AS lon, false AS home FROM ht LEFT JOIN a1 ON a1.label = ht.label AND a1.id = ht.id
+    UNION ALL SELECT label, gid::VARCHAR, 'geonames', NULL, NULL, nt, fclass, fcode, cc, population, lat, lon, home FROM r ANTI JOIN a1 ON a1.label = r.label AND a1.gid = r.gid),
+  an AS (SELECT DISTINCT 'Ort' || (o_orderkey % 400) AS label, o_orderkey % 50 AS entry, 47 + o_custkey % 31 / 20 AS alat, 9 + o_custkey % 29 / 20 AS alon FROM orders WHERE o_orderkey % 3 = 0),
+  de AS (SELECT c.label, id, entry, min({_DISTANCE.format(a="c.", b="an.a")}) AS d FROM c JOIN an ON an.label = c.label GROUP BY ALL),
+  s AS (SELECT label, id, count(*) AS n, count(*) FILTER (d <= 40) / count(*) AS near, count(*) FILTER (d <= 80) / count(*) AS mid, min(d) AS km FROM de GROUP BY ALL),
+  w AS (SELECT c.*, l.kind, coalesce(has_home, false) AS has_home, coalesce(elsewhere, false) AS elsewhere, coalesce(n, 0) AS n, coalesce(near, 0) AS near, coalesce(mid, 0) AS mid, km FROM c JOIN l USING (label) LEFT JOIN ab USING (label) LEFT JOIN s ON s.label = c.label AND s.id = c.id),
+  b AS (SELECT *, CASE WHEN source = 'geonames' THEN CASE nt WHEN 'primary' THEN CASE WHEN home THEN 0.7 WHEN cc IN ('DE', 'AT', 'CH') THEN 0.6 ELSE 0.5 END WHEN 'contains' THEN 0.55 ELSE CASE WHEN fclass = 'P' AND population >= 10000 AND NOT has_home THEN 0.65 ELSE 0.4 END END
+      - CASE fclass WHEN 'S' THEN 0.05 WHEN 'A' THEN 0.1 ELSE 0 END ELSE CASE WHEN tier = 'strong' THEN CASE source WHEN 'osm' THEN 0.85 ELSE 0.95 END ELSE 0.6 END - CASE WHEN kind = 'settlement' AND category NOT IN ('place', 'boundary') THEN 0.15 ELSE 0 END END AS base,
+    coalesce((fcode IN ('PPLA2') OR population >= 20000) AND (source = 'geonames' OR (source = 'osm+geonames' AND tier = 'strong')), false) AS exempt FROM w),
+  t AS (SELECT *, CASE WHEN n = 0 THEN base WHEN near >= 0.2 OR (n <= 2 AND near > 0) THEN CASE WHEN tier = 'weak' AND elsewhere THEN base ELSE least(base + 0.3, 0.95) END WHEN exempt OR mid >= 0.2 THEN base WHEN km > 150 THEN base - 0.3 ELSE base - 0.15 END::DECIMAL(9, 4) AS score FROM b),
+  o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, CASE source WHEN 'osm+geonames' THEN 0 WHEN 'osm' THEN 1 ELSE 2 END, CASE fclass WHEN 'P' THEN 0 WHEN 'A' THEN 2 WHEN 'S' THEN 3 ELSE 1 END, coalesce(km, 0), coalesce(population, 0) DESC, id) AS k, max(score) OVER (PARTITION BY label) AS top FROM t),
+  q AS (SELECT *, (SELECT count(DISTINCT round(x.lat, 1) || ',' || round(x.lon, 1)) FROM o x WHERE x.label = o.label AND x.source <> 'osm' AND x.score = x.top) AS rivals FROM o WHERE k = 1),
+  z AS (SELECT label, id, source, round(greatest(0, least(CASE WHEN source = 'geonames' AND n = 0 AND rivals > 1 THEN least(score, 0.5) WHEN source = 'geonames' AND n = 0 AND home AND score >= 0.7 THEN greatest(score, 0.8) ELSE score END, 0.95)), 2)::DOUBLE AS confidence FROM q)
+  SELECT *, CASE WHEN confidence >= 0.8 THEN 'linked' WHEN confidence >= 0.4 THEN 'review' ELSE 'no_match' END AS status FROM z""")
+def linked_places(spark, sf_dir):
+    """From labels to links: parts as search hits, suppliers as a gazetteer, orders as the entries around a label."""
+    part, supplier, orders = (table(spark, sf_dir, t) for t in ("part", "supplier", "orders"))
+    of = lambda c, n=400: F.concat(F.lit("Ort"), (c % n).cast("string"))
+    pick = lambda values, i: F.split(F.element_at(F.array(*map(F.lit, values)), (i + 1).cast("int")), r"\|")
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    labels = part.select(of(k).alias("label"), F.when(k % 400 % 2 == 0, "settlement").alias("kind")).distinct()
+    kind = pick(_HITS, F.floor(k / 400) % 7)
+    named = F.when(k % 3 == 0, F.upper(of(k))).when(k % 3 == 1, F.concat(of(k), F.lit("er Hof am See"))).otherwise(F.concat(F.lit("Neu"), of(k)))
+    hits = part.select(of(k).alias("label"), F.concat(F.lit("n/"), k.cast("string")).alias("osm"), kind[0].alias("category"), kind[1].alias("type"), named.alias("name"), F.lit(None).cast("string").alias("name_de"), F.lit("Nirgendwo, Land").alias("display_name"), (47 + k % 31 / 40).alias("lat"), (9 + k % 29 / 40).alias("lon"))
+    own = of(s * 7)
+    named = F.when(s % 3 == 0, own).when(s % 3 == 1, F.concat(own, F.lit(" an der Isar"))).otherwise(F.concat(F.lit("Fremd"), F.lit("x")))
+    feature = pick(_FEATURES, s % 5)
+    gazetteer = supplier.select(
+        F.lower(own).alias("key"), s.cast("long").alias("id"), named.alias("name"), feature[0].alias("fclass"), feature[1].alias("fcode"), pick(["DE", "AT", "FR"], s % 3)[0].alias("cc"), F.when(s % 2 == 0, "02").otherwise("09").alias("admin1"),
+        (47 + s * 7 % 400 % 31 / 40).alias("lat"), (9 + s % 29 / 40).alias("lon"), (s * 997 % 30000).cast("long").alias("population"), (s % 3 == 0).alias("is_primary"),
+    )
+    c = F.col("o_custkey")
+    anchors = orders.filter("o_orderkey % 3 = 0").select(of(F.col("o_orderkey")).alias("label"), (F.col("o_orderkey") % 50).alias("entry"), (47 + c % 31 / 20).alias("lat"), (9 + c % 29 / 20).alias("lon"))
+    return places.link_places(places.place_candidates(labels, hits, gazetteer, anchors))
