@@ -1,4 +1,4 @@
-"""Triples (s, p, o, kind) of what the tables of answers hold: observations and their taxa, persons, places and habitats, journeys, weather.
+"""Triples (s, p, o, kind) of entries and where they stand, of extraction runs, and of what the tables of answers hold: observations and their taxa, persons, places and habitats, journeys, weather.
 
 All that a row states is one array that is exploded once. Observations, journeys
 and weather belong to their entry alone, so theirs need no shuffle; what several
@@ -38,9 +38,9 @@ def _about(s: Column, statements: list) -> Column:
 
 
 def _stated(rows: DataFrame, *parts: Column) -> DataFrame:
-    """The triples of all parts (arrays) of each row, each once for a row."""
+    """The triples of all parts (arrays) of each row. No part states a thing twice; those of lists that may are made distinct by who makes them, as telling all of a row's triples apart would compare each with each."""
     there = F.filter(F.concat(*parts), lambda t: t["o"].isNotNull())
-    return rows.select(F.explode(F.array_distinct(there)).alias("t")).select("t.*")
+    return rows.select(F.explode(there).alias("t")).select("t.*")
 
 
 def _record(entry: Column) -> list:
@@ -52,6 +52,64 @@ def _said(value: Column, then: Column | str) -> Column:
     return F.when(value.isNotNull(), then)
 
 
+def entries(rows: DataFrame, collection: str) -> DataFrame:
+    """Entries with the volume, page and region of the page that they stand in.
+
+    rows: entry, entry_id, entry_date, entry_date_end, verbatim_date, plausible,
+    note, kind, place, location_raw, text, volume, start, end (the volume's span,
+    YYYY-MM), page_uid, page_id, scan, region_uid. Several days are an interval;
+    an entry without a page is part of its volume, and a region without a page of
+    none. ``collection`` begins the volumes' labels.
+    """
+    node, number = entry_node(F.col("entry")), F.format_string("%02d", F.col("volume").cast("int"))
+    volume, page, region = F.concat(F.lit("volume_"), number), F.concat(F.lit("page_"), F.col("page_uid")), F.concat(F.lit("region_"), F.col("region_uid"))
+    several = F.col("entry_date_end").isNotNull() & (F.col("entry_date_end") != "")
+    filled = lambda c: F.nullif(F.col(c), F.lit(""))
+    where = F.coalesce("place", filled("location_raw"))
+    label = F.concat(F.lit("Tagebucheintrag "), F.coalesce(filled("verbatim_date"), filled("entry_date"), F.lit("o. D.")), F.coalesce(F.concat(F.lit(" · "), where), F.lit("")))
+    of_entry = _about(node, [
+        (TYPE, F.lit("DiaryEntry"), "iri"), ("rdfs:label", label, "@de"), ("dcterms:identifier", filled("entry_id"), "string"), ("dwc:eventDate", F.when(several, F.concat_ws("/", "entry_date", "entry_date_end")), "string"),
+        ("dwc:eventDate", F.when(~several, F.col("entry_date")), "date"), ("dwc:verbatimEventDate", filled("verbatim_date"), "string"), ("datePlausible", F.col("plausible"), "boolean"), ("skos:note", filled("note"), "@de"), ("entryKind", filled("kind"), "string"),
+        ("entryPlace", _said(F.col("place"), name_id("place", F.col("place"))), "iri"), ("dwc:fieldNotes", filled("text"), "string"), ("dcterms:isPartOf", F.coalesce(page, volume), "iri"), ("hasSourceRegion", region, "iri"),
+    ])
+    span = F.when(F.col("start").isNotNull(), F.concat_ws("/", "start", "end"))
+    of_volume = _about(volume, [(TYPE, F.lit("DiaryVolume"), "iri"), ("rdfs:label", F.concat(F.lit(f"{collection} · Band "), number), "@de"), ("dcterms:temporal", span, "string")])
+    seen = F.concat(F.lit("Vol. "), number, F.coalesce(F.concat(F.lit(" · scan "), filled("scan")), F.lit("")), F.lit(" ("), F.coalesce("page_id", F.lit("")), F.lit(")"))
+    of_page = _about(page, [(TYPE, _said(page, F.lit("DiaryPage")), "iri"), ("rdfs:label", _said(page, seen), "string"), ("dcterms:identifier", _said(page, filled("page_id")), "string"), ("dcterms:isPartOf", _said(page, volume), "iri")])
+    of_region = _about(region, [(TYPE, _said(region, F.lit("SourceRegion")), "iri"), ("rdfs:label", F.concat(F.lit("Region "), F.col("region_uid")), "string"), ("dcterms:isPartOf", _said(region, page), "iri")])
+    whole = rows.filter("entry is not null and volume is not null")
+    # an entry is one row; what many entries say of their volume, page and region is dropped but once, before it is shuffled
+    shared = whole.select("volume", "start", "end", "page_uid", "page_id", "scan", "region_uid").distinct()
+    return _stated(whole, of_entry).unionByName(_stated(shared, of_volume, of_page, of_region).dropDuplicates())
+
+
+def run_node(model: Column, prompt: Column, started: Column) -> Column:
+    return F.concat(F.lit("run_"), F.substring(F.sha1(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (model, prompt, started)])), 1, 12))
+
+
+def runs(rows: DataFrame) -> DataFrame:
+    """Extraction runs with their agent and prompt. rows: model, backend, method, started_at, prompt, prompt_sha256."""
+    model = F.coalesce(F.nullif("model", F.lit("")), F.lit("unknown"))
+    slug = F.regexp_replace(F.regexp_replace(F.lower(F.trim(model)), "[^a-z0-9._-]+", "-"), r"^[-.]+|[-.]+$", "")
+    run, agent = run_node(F.col("model"), F.col("prompt_sha256"), F.col("started_at")), F.concat(F.lit("agent_"), F.coalesce(F.nullif(slug, F.lit("")), F.lit("unknown")))
+    sha = F.nullif(F.col("prompt_sha256"), F.lit(""))
+    prompt = F.concat(F.lit("prompt_"), F.left(sha, F.lit(12)))
+    filled = lambda c: F.nullif(F.col(c), F.lit(""))
+    of_run = _about(run, [
+        (TYPE, F.lit("prov:Activity"), "iri"), ("rdfs:label", F.concat(F.lit("Extraction run · "), model), "string"), ("rdfs:comment", filled("method"), "string"), ("prov:startedAtTime", filled("started_at"), "dateTime"),
+        ("prov:wasAssociatedWith", agent, "iri"), ("prov:used", prompt, "iri"),
+    ])
+    of_agent = _about(agent, [(TYPE, F.lit("prov:SoftwareAgent"), "iri"), ("rdfs:label", model, "string"), ("backend", filled("backend"), "string")])
+    of_prompt = _about(prompt, [(TYPE, _said(sha, F.lit("prov:Entity")), "iri"), ("rdfs:label", _said(sha, F.coalesce(filled("prompt"), F.lit("prompt"))), "string"), ("dcterms:identifier", sha, "string")])
+    return _stated(rows, of_run, of_agent, of_prompt).dropDuplicates()
+
+
+def generated(records: DataFrame, run: Column) -> DataFrame:
+    """Which run made each record: the subjects of the types that come from a run. records: triples of observations, journeys and weather."""
+    made = records.filter((F.col("p") == TYPE) & F.col("o").isin("Observation", "TravelEvent", "WeatherReport"))
+    return made.select("s", F.lit("prov:wasGeneratedBy").alias("p"), run.alias("o"), F.lit("iri").alias("kind"))
+
+
 def taxa(rows: DataFrame) -> DataFrame:
     """rows: vernacular, scientific, note, rank, is_bird, method, confidence, and of a link gbif_key, match_type, iri (null without one)."""
     t = rows.filter("vernacular is not null")
@@ -120,7 +178,7 @@ def observations(rows: DataFrame, diarist: str) -> DataFrame:
 
     # calls are counted by themselves, so two of one observation stay apart
     calls = F.flatten(F.transform(F.filter("evidence", lambda e: e["kind"] == "auditory"), call))
-    return _stated(rows, said, F.array(_one(entry, "containsObservation", s, "iri")), kinds, does, calls)
+    return _stated(rows, said, F.array(_one(entry, "containsObservation", s, "iri")), F.array_distinct(kinds), F.array_distinct(does), calls)
 
 
 def journeys(legs: DataFrame) -> DataFrame:
@@ -137,7 +195,7 @@ def journeys(legs: DataFrame) -> DataFrame:
     held = F.array(_one(entry, "containsTravelEvent", event, "iri"), _one(event, "hasLeg", leg, "iri"))
     via = F.transform("via", lambda v: _one(leg, "viaPlace", place(v), "iri"))
     first = F.filter(F.concat(_about(event, of_event), held), lambda t: (F.col("leg") == 0) | (t["p"] == "hasLeg"))
-    return _stated(legs, first, of_leg, via)
+    return _stated(legs, first, of_leg, F.array_distinct(via))
 
 
 def weather(fields: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def qa_flags(entries: DataFrame, observations: DataFrame, tolerance: int = 2, le
     after the excluded observations are gone.
     """
     dated = entries.filter("entry_date is not null").select("volume", F.substring("entry_date", 1, 4).cast("int").alias("year"))
-    rows = entries.join(F.broadcast(upper_median(dated, "volume", "year")), "volume", "left")  # a row for each volume
+    rows = entries.join(upper_median(dated, "volume", "year"), "volume", "left")
     left = usable(observations, least).groupBy("entry_uid").agg(F.count("*").alias("_n"))
     rows = rows.join(left, "entry_uid", "left")
     year = F.substring("entry_date", 1, 4).cast("int")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.text import fill
 from pageloom.operators import answers, nodes
+from pageloom.plans.model import ENTRIES, entries
 from pageloom.plans.registry import query, table
 
 #: Items by l_linenumber % 6; the third and fourth name nothing.
@@ -178,3 +179,74 @@ _MENTIONS = "CASE role WHEN 'source' THEN 'mentionsSource' WHEN 'companion' THEN
 def person_triples(spark, sf_dir):
     """What the graph states of the persons in the answers, and which entries mention them how."""
     return nodes.persons(answers.persons(_parsed(spark, sf_dir)))
+
+
+_ENTRY_NODE, _VOLUME, _PAGE, _REGION = "'entry_' || ord", "'volume_' || vol", "'page_' || pg", "'region_' || rg"
+_OF_ENTRY = [
+    ("rdf:type", "'DiaryEntry'", "iri"), ("rdfs:label", "'Tagebucheintrag ' || coalesce(verbatim, entry_date, 'o. D.') || ' · ' || place", "@de"), ("dcterms:identifier", "entry_uid", "string"), ("dwc:eventDate", "CASE WHEN entry_date_end IS NOT NULL THEN entry_date || '/' || entry_date_end END", "string"),
+    ("dwc:eventDate", "CASE WHEN entry_date_end IS NULL THEN entry_date END", "date"), ("dwc:verbatimEventDate", "verbatim", "string"), ("datePlausible", "CASE WHEN ord % 4 > 0 THEN ord % 4 = 1 END", "boolean"), ("entryKind", "kind", "string"),
+    ("entryPlace", _name("place", "CASE WHEN ord % 3 > 0 THEN place END"), "iri"), ("dwc:fieldNotes", "'Text ' || ord", "string"), ("dcterms:isPartOf", f"coalesce({_PAGE}, {_VOLUME})", "iri"), ("hasSourceRegion", _REGION, "iri"),
+]
+_OF_VOLUME = [("rdf:type", "'DiaryVolume'", "iri"), ("rdfs:label", "'Tagebuch · Band ' || vol", "@de"), ("dcterms:temporal", "CASE WHEN volume % 2 = 0 THEN '1990-0' || (volume % 9 + 1) || '/1995-12' END", "string")]
+_OF_PAGE = [("rdf:type", "'DiaryPage'", "iri"), ("rdfs:label", "'Vol. ' || vol || CASE WHEN ord % 2 = 0 THEN ' · scan 0' || (volume % 10) ELSE '' END || ' (' || doc || ')'", "string"), ("dcterms:identifier", "doc", "string"), ("dcterms:isPartOf", _VOLUME, "iri")]
+_OF_REGION = [("rdf:type", "'SourceRegion'", "iri"), ("rdfs:label", "'Region ' || rg", "string"), ("dcterms:isPartOf", _PAGE, "iri")]
+
+
+@query(f"""WITH {ENTRIES}, e AS (SELECT *, lpad(volume::VARCHAR, 2, '0') AS vol, CASE WHEN ord % 5 > 0 THEN doc || '_' || volume || '_' || (ord % 2) END AS pg, CASE WHEN ord % 7 < 3 THEN (ord % 11)::VARCHAR || 'r' || (ord % 5) END AS rg, CASE WHEN ord % 6 = 0 THEN 'am ' || entry_date END AS verbatim FROM entries),
+  {_stated('a', 'e', _ENTRY_NODE, _OF_ENTRY)}, {_stated('b', 'e', _VOLUME, _OF_VOLUME)}, {_stated('c', '(FROM e WHERE pg IS NOT NULL)', _PAGE, _OF_PAGE)}, {_stated('d', '(FROM e WHERE rg IS NOT NULL)', _REGION, _OF_REGION)}
+  SELECT DISTINCT * FROM (FROM a UNION ALL FROM b UNION ALL FROM c UNION ALL FROM d) WHERE o IS NOT NULL""")
+def entry_triples(spark, sf_dir):
+    """What the graph states of entries, their volumes, pages and regions of pages; some entries have no page, some no region, some no place."""
+    e, n = entries(spark, sf_dir), F.col("ord")
+    return nodes.entries(e.select(
+        n.alias("entry"), F.col("entry_uid").alias("entry_id"), "entry_date", "entry_date_end", F.when(n % 6 == 0, F.concat(F.lit("am "), F.col("entry_date"))).alias("verbatim_date"), F.when(n % 4 > 0, n % 4 == 1).alias("plausible"), F.lit(None).cast("string").alias("note"),
+        "kind", F.when(n % 3 > 0, F.col("place")).alias("place"), F.col("place").alias("location_raw"), F.concat(F.lit("Text "), n.cast("string")).alias("text"), "volume", F.when(F.col("volume") % 2 == 0, F.concat(F.lit("1990-0"), (F.col("volume") % 9 + 1).cast("string"))).alias("start"),
+        F.lit("1995-12").alias("end"), F.when(n % 5 > 0, F.concat_ws("_", "doc", F.col("volume").cast("string"), (n % 2).cast("string"))).alias("page_uid"), F.col("doc").alias("page_id"), F.when(n % 2 == 0, F.concat(F.lit("0"), (F.col("volume") % 10).cast("string"))).alias("scan"),
+        F.when(n % 7 < 3, F.concat((n % 11).cast("string"), F.lit("r"), (n % 5).cast("string"))).alias("region_uid"),
+    ), "Tagebuch")
+
+
+_TAXON = [
+    ("rdf:type", "'Taxon'", "iri"), ("rdfs:label", "v", "@de"), ("dwc:vernacularName", "v", "@de"), ("dwc:scientificName", "sci", "string"), ("skos:note", "CASE WHEN sci IS NULL THEN coalesce(note, 'wissenschaftlicher Name nicht aufgelöst') END", "@de"), ("dwc:taxonRank", "'species'", "string"),
+    ("isBird", "k % 9 > 0", "boolean"), ("matchMethod", "method", "string"), ("gbifMatchType", "mt", "string"), ("dwc:taxonID", "CASE WHEN mt <> 'HIGHERRANK' THEN 'https://www.gbif.org/species/' || gbif END", "string"),
+]
+
+
+@query(f"""WITH x AS (SELECT *, p_partkey AS k FROM part), t AS (SELECT p_name || ' ' || k AS v, k, CASE WHEN k % 3 > 0 THEN p_brand END AS sci, CASE WHEN k % 2 = 0 THEN p_type END AS note, CASE WHEN k % 4 = 1 THEN 'llm+gbif' ELSE 'gbif' END AS method,
+    CASE WHEN k % 3 > 0 THEN ['EXACT', 'FUZZY', 'HIGHERRANK'][k % 5 % 3 + 1] END AS mt, CASE WHEN k % 3 > 0 THEN k END AS gbif FROM x), {_stated('a', 't', _name('taxon', 'v'), _TAXON)},
+  b AS (SELECT {_name('taxon', 'v')}, CASE WHEN mt = 'HIGHERRANK' THEN 'skos:broadMatch' WHEN method = 'llm+gbif' OR mt = 'FUZZY' THEN 'skos:closeMatch' ELSE 'skos:exactMatch' END, 'https://www.gbif.org/species/' || gbif, 'iri' FROM t)
+  SELECT * FROM (FROM a UNION ALL FROM b) WHERE o IS NOT NULL""")
+def taxon_triples(spark, sf_dir):
+    """What the graph states of taxa and their links: parts, a third of them not resolved."""
+    k, linked = F.col("p_partkey"), F.col("p_partkey") % 3 > 0
+    p = table(spark, sf_dir, "part")
+    return nodes.taxa(p.select(
+        F.concat_ws(" ", "p_name", k.cast("string")).alias("vernacular"), F.when(linked, F.col("p_brand")).alias("scientific"), F.when(k % 2 == 0, F.col("p_type")).alias("note"), F.lit("species").alias("rank"), (k % 9 > 0).alias("is_bird"), F.when(k % 4 == 1, "llm+gbif").otherwise("gbif").alias("method"),
+        F.lit(None).cast("double").alias("confidence"), F.when(linked, k).alias("gbif_key"), F.when(linked, F.element_at(F.array(*map(F.lit, ("EXACT", "FUZZY", "HIGHERRANK"))), (k % 5 % 3 + 1).cast("int"))).alias("match_type"), F.lit(None).cast("string").alias("iri"),
+    ))
+
+
+_PLACE = [
+    ("rdf:type", "'Place'", "iri"), ("rdfs:label", "name", "@de"), ("dwc:verbatimLocality", "upper(name)", "string"), ("placeKind", "kind", "string"), ("geo:lat", "lat", "decimal"), ("geo:long", "lon", "decimal"),
+    ("dwc:decimalLatitude", "lat", "decimal"), ("dwc:decimalLongitude", "lon", "decimal"), ("dwc:geodeticDatum", "CASE WHEN lat IS NOT NULL THEN 'WGS84' END", "string"),
+]
+
+
+@query(f"WITH p AS (SELECT s_name AS name, CASE WHEN s_suppkey % 4 > 0 THEN 'settlement' END AS kind, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 90 + 0.5::DOUBLE END AS lat, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 180 + 0.25::DOUBLE END AS lon FROM supplier), {_stated('a', 'p', _name('place', 'name'), _PLACE)} SELECT * FROM a WHERE o IS NOT NULL")
+def place_triples(spark, sf_dir):
+    """What the graph states of places: suppliers, a third of them without coordinates, each seen twice."""
+    k = F.col("s_suppkey")
+    at = lambda n, plus: F.when(k % 3 > 0, k % n + plus)
+    p = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.upper("s_name").alias("verbatim"), F.when(k % 4 > 0, "settlement").alias("kind"), at(90, 0.5).alias("lat"), at(180, 0.25).alias("lon"))
+    return nodes.places(p.union(p))
+
+
+_CONCEPT = [("rdf:type", "'skos:Concept'", "iri"), ("rdfs:label", "h", "@de"), ("skos:prefLabel", "h", "@de"), ("skos:inScheme", "'habitatScheme'", "iri"), *[(f"skos:{m}Match", f"CASE WHEN coalesce(m, 'close') = '{m}' THEN iri END", "iri") for m in ("exact", "close", "broad")]]
+
+
+@query(f"WITH p AS (SELECT p_type || ' ' || p_size AS h, CASE WHEN p_size % 4 > 0 THEN 'eunis:' || p_size END AS iri, ['exact', 'broad', NULL, 'other'][p_size % 4 + 1] AS m FROM part), {_stated('a', 'p', _name('habitat', 'h'), _CONCEPT)} SELECT DISTINCT * FROM a WHERE o IS NOT NULL")
+def habitat_triples(spark, sf_dir):
+    """What the graph states of habitats as shared concepts, with links to classes; a link of an unknown kind is left out."""
+    k = F.col("p_size")
+    kind = F.element_at(F.array(F.lit("exact"), F.lit("broad"), F.lit(None), F.lit("other")), (k % 4 + 1).cast("int"))
+    return nodes.habitats(table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_type", k.cast("string")).alias("habitat"), F.when(k % 4 > 0, F.concat(F.lit("eunis:"), k.cast("string"))).alias("class_iri"), kind.alias("match")))

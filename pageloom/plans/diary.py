@@ -35,11 +35,12 @@ def cq4_auditory(spark, sf_dir):
     return obs.filter("evidence = 'auditory'").select("obs_uid", "taxon").join(calls, "obs_uid", "left")
 
 
-@query(f"{BOTH} SELECT DISTINCT taxon || '/' || habitat AS name FROM obs o WHERE NOT EXISTS (SELECT 1 FROM obs f WHERE f.taxon = o.taxon AND f.habitat = o.habitat AND f.family IS NOT NULL)")
+@query(f"{BOTH} SELECT DISTINCT taxon || '/' || observer || '/' || count AS name FROM obs o WHERE NOT EXISTS (SELECT 1 FROM obs f WHERE f.taxon = o.taxon AND f.observer = o.observer AND f.count = o.count AND f.family IS NOT NULL)")
 def cq5_unresolved(spark, sf_dir):
     obs = observations(spark, sf_dir)
-    named = obs.filter("family is not null").select("taxon", "habitat").distinct()
-    return obs.join(named, ["taxon", "habitat"], "left_anti").select(F.concat_ws("/", "taxon", "habitat").alias("name")).distinct()
+    kind = ["taxon", "observer", "count"]
+    named = obs.filter("family is not null").select(*kind).distinct()
+    return obs.select(*kind).distinct().join(named, kind, "left_anti").select(F.concat_ws("/", *kind).alias("name"))
 
 
 @query(f"{BOTH} SELECT obs_uid, entry_date, doc AS page, volume FROM obs JOIN entries USING (entry_uid) WHERE entry_date IS NOT NULL ORDER BY obs_uid LIMIT 25")

@@ -26,7 +26,7 @@ def _texts(spark, sf_dir):
     s = F.when(n == 0, say("Am Weiher etwa ", c, " ", v, "en gehört.")).when(n == 1, say(c, " ", v, " sangen im Wald!")).when(n == 2, say("Mehrere ", v, "s beim Nest."))
     s = s.when(n == 3, say("Zwei ", v, "er erlegt?")).otherwise(say("Weit über den See ", v, "ei und ", v, "n"))
     parts = F.sort_array(F.collect_list(F.struct("n", "p", "q", "c", s.alias("s"))))
-    names = w.select("v").distinct().select(F.col("v").alias("vernacular"), F.xxhash64(F.lit(0)).alias("ord"))
+    names = w.select("v").distinct().select(F.col("v").alias("vernacular"), F.xxhash64("v").alias("ord"))
     return w.groupBy("entry").agg(F.array_join(F.transform(parts, lambda x: x["s"]), " ").alias("t")), names
 
 

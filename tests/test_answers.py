@@ -113,3 +113,25 @@ def test_shared_nodes(spark):
     persons = spark.createDataFrame([(1, "Kiel", "source"), (2, "Kiel", None), (1, "Kiel", "source")], "entry int, name string, role string")
     got = sorted((r.s, r.p) for r in nodes.persons(persons).collect() if r.s.startswith("entry"))
     assert got == [("entry_1", "mentionsPerson"), ("entry_1", "mentionsSource"), ("entry_2", "mentionsPerson")]
+
+
+def test_entry_and_run_nodes(spark):
+    schema = "entry string, entry_id string, entry_date string, entry_date_end string, verbatim_date string, plausible boolean, note string, kind string, place string, location_raw string, text string, volume int, start string, end string, page_uid string, page_id string, scan string, region_uid string"
+    rows = [
+        ("1", "L02-e1", "1919-05-01", None, "1. Mai", True, None, "field-day", "Kochel", "Kochel", "t", 2, "1919-01", "1920-02", "u1", "doc_1_L", "12", "u1-r3"),
+        ("2", "", "1919-05-02", "1919-05-04", None, None, "unsicher", None, None, "am See", "", 2, "1919-01", "1920-02", None, None, None, "r9"),
+        ("3", "L02-e3", None, None, None, None, None, None, None, None, None, 12, None, None, "u1", "doc_1_L", "", None), (None, "x", None, None, None, None, None, None, None, None, None, 1, None, None, None, None, None, None),
+    ]
+    got = {tuple(r) for r in nodes.entries(spark.createDataFrame(rows, schema), "Tagebuch").collect()}
+    say = lambda s: {(p, o) for t, p, o, _ in got if t == s}
+    assert say("entry_1") >= {("rdfs:label", "Tagebucheintrag 1. Mai · Kochel"), ("dwc:eventDate", "1919-05-01"), ("dcterms:isPartOf", "page_u1"), ("hasSourceRegion", "region_u1-r3"), ("datePlausible", "true")}
+    assert say("entry_2") == {("rdf:type", "DiaryEntry"), ("rdfs:label", "Tagebucheintrag 1919-05-02 · am See"), ("dwc:eventDate", "1919-05-02/1919-05-04"), ("skos:note", "unsicher"), ("dcterms:isPartOf", "volume_02"), ("hasSourceRegion", "region_r9")}
+    assert ("rdfs:label", "Tagebucheintrag o. D.") in say("entry_3") and say("volume_02") == {("rdf:type", "DiaryVolume"), ("rdfs:label", "Tagebuch · Band 02"), ("dcterms:temporal", "1919-01/1920-02")}
+    assert say("page_u1") >= {("rdfs:label", "Vol. 02 · scan 12 (doc_1_L)"), ("rdfs:label", "Vol. 12 (doc_1_L)")} and say("region_r9") == {("rdf:type", "SourceRegion"), ("rdfs:label", "Region r9")}
+    assert ("dcterms:isPartOf", "page_u1") in say("region_u1-r3") and not any(t[0] == "volume_01" for t in got)
+    schema = "model string, backend string, method string, started_at string, prompt string, prompt_sha256 string"
+    runs = spark.createDataFrame([("Model X/2 ", "api", "m", "1999-01-01T00:00:00", "p", "abcdef0123456789"), ("", None, None, None, None, None)], schema)
+    got = {tuple(r) for r in nodes.runs(runs).collect()}
+    assert {o for _, p, o, _ in got if p == "prov:wasAssociatedWith"} == {"agent_model-x-2", "agent_unknown"} and ("prompt_abcdef012345", "dcterms:identifier", "abcdef0123456789", "string") in got
+    made = nodes.generated(spark.createDataFrame([("o1", "rdf:type", "Observation", "iri"), ("o1", "x", "Observation", "iri"), ("p", "rdf:type", "Place", "iri")], "s string, p string, o string, kind string"), F.lit("run_1"))
+    assert [tuple(r) for r in made.collect()] == [("o1", "prov:wasGeneratedBy", "run_1", "iri")]

@@ -1,5 +1,8 @@
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from pageloom.operators import extract
 
@@ -71,3 +74,13 @@ def test_segments_over_pages(spark):
         (1, 1): (1, 6, "1. Mai 1918 Ulm\nwei-\n\nter <b>hier</b>", "1. Mai 1918 Ulm weiter hier", 6), (1, 2): (3, 0, "2. Mai 1918 Bonn\na", "2. Mai 1918 Bonn a", 5),
         (1, 3): (3, 19, "3. Mai 1918\nb", "3. Mai 1918 b", 4), (3, 1): (6, 0, "4. Mai 1918 Köln", "4. Mai 1918 Köln", 4),
     }
+
+
+def test_headers_of_long_texts_and_line_ends(spark):
+    line = "7. April 1917. München\nein Satz\n"
+    texts = [line * 30_000, "x\r7. April 1917. München\r", "x 7. April 1917. München", "x\n7. April 1917. München"]
+    d = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    began = time.time()
+    got = extract.entry_starts(d, "k", "t").groupBy("k").agg(F.count("*").alias("n"), F.max("offset").alias("last")).collect()
+    assert {r.k: (r.n, r.last) for r in got} == {0: (30_000, len(line) * 29_999), 3: (1, 2)}
+    assert time.time() - began < 60
