@@ -49,6 +49,9 @@ SHARPNESS = 4.0
 #: Weights are whole numbers of this part, so that sums are the same however rows are put together.
 UNIT = 2.0**-20
 
+#: Bytes of text that are looked at together: each takes some dozens of bytes of numbers.
+BLOCK = 1 << 19
+
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -74,7 +77,7 @@ def count_grams(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), object)
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), BLOCK):
                 own = langs[block.first : block.first + len(block)]
                 names, code = np.unique(own.astype(str), return_inverse=True)
                 at = np.repeat(code.reshape(-1), np.diff(block.offsets))
@@ -189,7 +192,7 @@ def predict(docs: DataFrame, decoder: Decoder, *, id_col: str = "doc_id", least_
         return pa.record_batch({id_col: rows.column(id_col), "lang_pred": pa.array(pred.tolist(), pa.string()), "score": score, "ambiguous": unsure})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_blocks(docs, [id_col], fn, f"{id_col} {kind}, lang_pred string, score double, ambiguous boolean")
+    return map_blocks(docs, [id_col], fn, f"{id_col} {kind}, lang_pred string, score double, ambiguous boolean", limit=BLOCK)
 
 
 def keep_told(docs: DataFrame, decoder: Decoder) -> DataFrame:
@@ -197,7 +200,7 @@ def keep_told(docs: DataFrame, decoder: Decoder) -> DataFrame:
     if not decoder.langs and not docs.isEmpty():
         raise ValueError("no language was learned: no row with a text and a language that is not held out")
     held = docs.sparkSession.sparkContext.broadcast(decoder)
-    return filter_blocks(docs, lambda block: ~_answer(held.value, block, LEAST_GAP)[2])
+    return filter_blocks(docs, lambda block: ~_answer(held.value, block, LEAST_GAP)[2], limit=BLOCK)
 
 
 def held_out(id_col: str = "doc_id"):

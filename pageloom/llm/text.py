@@ -254,8 +254,8 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return sums[first[1:]] - sums[first[:-1]]
 
 
-def map_blocks(frame, columns: list[str], fn, schema: str, text: str = "text"):
-    """Apply ``fn(block, rows)`` to blocks of whole rows of the text column and return its record batches.
+def map_blocks(frame, columns: list[str], fn, schema: str, text: str = "text", limit: int = BLOCK_BYTES):
+    """Apply ``fn(block, rows)`` to blocks of whole rows (of about ``limit`` bytes) of the text column and return its record batches.
 
     ``rows`` holds the columns asked for, of the same rows as the block. The
     columns are selected by name first, so extra ones in the frame do no harm.
@@ -263,7 +263,7 @@ def map_blocks(frame, columns: list[str], fn, schema: str, text: str = "text"):
 
     def run(batches):
         for batch in batches:
-            for block in blocks(batch.column(text)):
+            for block in blocks(batch.column(text), limit):
                 made = fn(block, batch.slice(block.first, len(block)))
                 if made is not None and made.num_rows:
                     yield made
@@ -271,13 +271,14 @@ def map_blocks(frame, columns: list[str], fn, schema: str, text: str = "text"):
     return frame.select(*dict.fromkeys([*columns, text])).mapInArrow(run, schema)
 
 
-def filter_blocks(frame, fn, text: str = "text"):
+def filter_blocks(frame, fn, text: str = "text", limit: int = BLOCK_BYTES):
     """The rows of the frame for which ``fn(block)`` is true, with all their columns and without a shuffle."""
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            for block in blocks(batch.column(at)):
+            for block in blocks(batch.column(at), limit):
                 yield batch.slice(block.first, len(block)).filter(pa.array(fn(block)))
+        pa.default_memory_pool().release_unused()  # workers live on
 
     return frame.mapInArrow(run, frame.schema)

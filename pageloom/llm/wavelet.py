@@ -199,7 +199,7 @@ def write_shards(docs: DataFrame, path: str, *, tokenizer: str, end_id: int, id_
             return made
 
         for batch in batches:
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), 1 << 20):
                 ids, sizes = _encoder(tokenizer).encode(block)
                 edge = np.cumsum(sizes)
                 ids = check_ids(np.insert(ids.astype(np.int64), edge, end_id))
