@@ -202,8 +202,34 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _base_columns() -> list[Column]:
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return [*map(count, ("email", "ip", "card", "phone")), F.sha2(_joined(F.col("base")), 256).alias("base_sha256")]
+
+
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     every = F.array_sort(F.concat("base", "extra"), _order(*KINDS))
-    return found.select("doc_id", count("email"), count("ip"), count("card"), count("phone"), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"))
+    return found.select("doc_id", *_base_columns(), _joined(every).alias("spans"))
+
+
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base spans alone, which SQL can say."""
+    return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", *_base_columns())
+
+
+_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_HITS = " UNION ALL ".join(f"SELECT r, {i} AS k, '{kind}' AS kind, regexp_extract_all(t, '{p}') AS h, string_split_regex(t, '{p}') AS g FROM d" for i, (kind, p) in enumerate(_PATTERNS.items()))
+
+BASE_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), m AS ({_HITS}),
+u AS (SELECT r, k, kind, unnest(h) AS h, unnest(g[1:len(h)]) AS g, unnest(range(len(h))) AS i FROM m WHERE len(h) > 0),
+s AS (SELECT *, regexp_replace(h, '[^0-9]', '', 'g') AS n, sum(length(g) + length(h)) OVER (PARTITION BY r, k ORDER BY i) AS stop FROM u),
+v AS (SELECT *, CASE kind WHEN 'email' THEN true WHEN 'ip' THEN list_max(list_transform(string_split(h, '.'), lambda x: coalesce(try_cast(x AS HUGEINT), 999))) <= 255 WHEN 'phone' THEN length(n) BETWEEN 9 AND 15
+  ELSE length(n) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(n) + 1), lambda j: CASE WHEN (length(n) - j) % 2 = 0 THEN n[j:j]::INT WHEN n[j:j]::INT > 4 THEN 2 * n[j:j]::INT - 9 ELSE 2 * n[j:j]::INT END)) % 10 = 0 END AS good FROM s),
+o AS (SELECT r, count(*) FILTER (k = 0) AS e, count(*) FILTER (k = 1) AS i, count(*) FILTER (k = 2) AS c, count(*) FILTER (k = 3) AS p, string_agg(kind || ':' || (stop - length(h)) || ':' || stop, ',' ORDER BY stop - length(h), k) AS spans FROM v WHERE good GROUP BY r)
+SELECT doc_id, coalesce(e, 0)::BIGINT AS n_email, coalesce(i, 0)::BIGINT AS n_ip, coalesce(c, 0)::BIGINT AS n_card, coalesce(p, 0)::BIGINT AS n_phone, sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN o USING (r)"""

@@ -210,3 +210,19 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
 def op1_hashed_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_filter(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts and the base verdict alone, which SQL can say."""
+    found = score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), np.zeros(BUCKETS))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"))
+
+
+BASE_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+g AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+h AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1), p AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM h) GROUP BY r),
+l AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+o AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(p.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN l USING (r) LEFT JOIN p USING (r))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM o"""

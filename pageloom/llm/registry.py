@@ -24,11 +24,15 @@ _OPERATORS = [
     ("topk", "op13_norm_sorted_topk"),
 ]
 
+#: Parts of an operator's result that SQL can say, each with the name of its SQL.
+_PARTS = [("quality", "quality_base_counts", "BASE_SQL"), ("pii", "pii_base_spans", "BASE_SQL")]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: getattr(import_module(f"{__package__}.{module}"), name) for module, name in _OPERATORS}
+    return {name: getattr(import_module(f"{__package__}.{module}"), name) for module, name, *_ in [*_OPERATORS, *_PARTS]}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {name: getattr(import_module(f"{__package__}.{module}"), "ORACLE_SQL", None) for module, name in _OPERATORS}
+    named = [*((module, name, "ORACLE_SQL") for module, name in _OPERATORS), *_PARTS]
+    found = {name: getattr(import_module(f"{__package__}.{module}"), sql, None) for module, name, sql in named}
     return {name: sql for name, sql in found.items() if sql}

@@ -12,7 +12,7 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where it is unset a local session gets a new temporary folder, and a cluster an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
     if not spark.sparkContext.getCheckpointDir():
