@@ -47,7 +47,7 @@ def same_as_links(spark, sf_dir):
 _LABELS = ("Adolf ", "A. ", "", "Karl ", "Dr. Karl ", "Frau ", "Prof. Dr. ", "K. ", "Dr. A. ")
 
 
-@query(f"""WITH p AS (SELECT 'c/' || c_custkey AS node, {list(_LABELS)}[(c_custkey * 7 + c_nationkey) % {len(_LABELS)} + 1] || 'Nam' || (c_custkey // 3 % 211) AS name, c_nationkey AS n FROM customer),
+@query(rf"""WITH p AS (SELECT 'c/' || c_custkey AS node, {list(_LABELS)}[(c_custkey * 7 + c_nationkey) % {len(_LABELS)} + 1] || 'Nam' || (c_custkey // 3 % 211) AS name, c_nationkey AS n FROM customer),
   l AS (SELECT *, trim(regexp_replace(name, '^(Prof\. )?(Dr\. )?', ''), ' .,') AS label FROM p), r AS (SELECT *, string_split(label, ' ') AS w FROM l QUALIFY row_number() OVER (PARTITION BY lower(label) ORDER BY n DESC, node) = 1),
   k AS (SELECT node, lower(w[-1]) AS surname, label[1:1] AS first, CASE WHEN len(w) = 1 THEN 'bare' WHEN regexp_matches(w[1], '^[A-Z]\.?$') THEN 'initial' ELSE 'full' END AS kind FROM r WHERE w[1] <> 'Frau'),
   f AS (SELECT surname, first, min(node) AS other FROM k WHERE kind = 'full' GROUP BY ALL HAVING count(*) = 1), o AS (SELECT surname, min(node) AS other FROM k WHERE kind <> 'bare' GROUP BY ALL HAVING count(*) = 1)

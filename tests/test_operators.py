@@ -156,7 +156,7 @@ def test_ranks_over_counted_values(spark):
 
 
 def test_longest_common_subsequence():
-    from pageloom.functions.similarity import _indel
+    from pageloom.functions.similarity import indel
 
     rng = random.Random(2)
     for _ in range(300):
@@ -167,7 +167,7 @@ def test_longest_common_subsequence():
             for j, y in enumerate(b, 1):
                 keep, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
                 last = keep
-        assert _indel(a, b) == (2 * row[-1] / (len(a) + len(b)) if a or b else 1.0)
+        assert indel(a, b) == (2 * row[-1] / (len(a) + len(b)) if a or b else 1.0)
 
 
 def test_components_and_chains(spark):
