@@ -100,7 +100,7 @@ def graph_rewrite(spark, sf_dir):
   UNION ALL SELECT code, ancestor // 4, distance + 1 FROM up WHERE ancestor > 0) SELECT code, ancestor, distance FROM up""")
 def code_ancestors(spark, sf_dir):
     tree = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("code"), F.when(F.col("c_custkey") > 0, F.floor(F.col("c_custkey") / 4)).alias("parent"))
-    return g.ancestors(spark, tree)
+    return g.ancestors(tree)
 
 
 def _rounds(n: int) -> str:

@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from pageloom.operators import aggregates, graph, lookup, ordered, pairs
@@ -211,3 +212,17 @@ def test_queries_have_oracles(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.oracle_sql()) > 60
     assert entry.entry(spark).limit(1).count() == 1
     assert F.lit(1) is not None
+
+
+def test_ancestors_of_more_than_a_million_rows_and_of_a_long_chain(spark):
+    n = 120_000
+    tree = spark.range(n).select(F.col("id").alias("code"), F.when(F.col("id") > 0, F.floor(F.col("id") / 2)).alias("parent"))
+    depth = lambda i: i.bit_length()
+    got = graph.ancestors(tree)
+    assert got.count() == sum(map(depth, range(n))) > 1_000_000
+    assert sorted((r.ancestor, r.distance) for r in got.filter("code = 77777").collect()) == sorted((77777 >> d, d) for d in range(1, 18))
+    chain = spark.createDataFrame([(i, i + 1 if i < 150 else None) for i in range(151)], "code long, parent long")
+    assert {tuple(r) for r in graph.ancestors(chain).collect()} == {(i, j, j - i) for i in range(151) for j in range(i + 1, 151)}
+    assert graph.ancestors(chain.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="cycle"):
+        graph.ancestors(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1)], "code long, parent long"))
