@@ -226,3 +226,20 @@ def test_ancestors_of_more_than_a_million_rows_and_of_a_long_chain(spark):
     assert graph.ancestors(chain.limit(0)).count() == 0
     with pytest.raises(ValueError, match="cycle"):
         graph.ancestors(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1)], "code long, parent long"))
+
+
+def test_equal_classes_say_what_all_pairs_say(spark):
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else i % 3, "" if i % 5 == 0 else "xy"[i % 2]) for i in range(60)], "k long, g int, h string")
+    links = {}
+    for r in pairs.equal_pairs(rows, "k", "g", "h").collect():
+        links.setdefault(r.a, {r.a}).add(r.b)
+        links.setdefault(r.b, {r.b}).add(r.a)
+    got = {r.k: (r.first, r.links) for r in pairs.equal_classes(rows, "k", "g", "h").collect()}
+    assert got == {k: (min(links.get(k, {k})), len(links.get(k, {k})) - 1) for k in range(60)}
+
+
+def test_equal_pairs_has_a_row_for_each_customer(spark):
+    from pageloom.plans.documents import equal_pairs
+
+    sf = "/root/testdata/sf0.001"
+    assert equal_pairs(spark, sf).count() == spark.read.parquet(f"{sf}/customer.parquet").count()
