@@ -30,9 +30,7 @@ def cq3_observations_at_place(spark, sf_dir):
 
 @query(f"{BOTH} SELECT obs_uid, taxon, call AS call_type FROM obs WHERE evidence = 'auditory'")
 def cq4_auditory(spark, sf_dir):
-    obs = observations(spark, sf_dir)
-    calls = obs.filter("call is not null").select("obs_uid", F.col("call").alias("call_type"))
-    return obs.filter("evidence = 'auditory'").select("obs_uid", "taxon").join(calls, "obs_uid", "left")
+    return observations(spark, sf_dir).filter("evidence = 'auditory'").select("obs_uid", "taxon", F.col("call").alias("call_type"))
 
 
 @query(f"{BOTH} SELECT DISTINCT taxon || '/' || observer || '/' || count AS name FROM obs o WHERE NOT EXISTS (SELECT 1 FROM obs f WHERE f.taxon = o.taxon AND f.observer = o.observer AND f.count = o.count AND f.family IS NOT NULL)")
