@@ -57,13 +57,16 @@ def identification_remarks(rank: Column, scientific: Column) -> Column:
 
 
 def measurements(observations: DataFrame, types: dict[str, Column]) -> DataFrame:
-    """One row for each value of each type, numbered within the observation and type. A type's column is a string or an array of strings."""
+    """One row for each value of each type, numbered within the observation and type. A type's column is a string or an array of strings.
+
+    Of observations that share an id the first by event is numbered first, so that every run numbers alike.
+    """
     parts = []
     for name, value in types.items():
         each = value if dict(observations.select(value.alias("v")).dtypes)["v"].startswith("array") else F.array(value)
         parts.append(observations.select("eventID", "occurrenceID", F.lit(name).alias("measurementType"), F.posexplode(each).alias("_pos", "measurementValue")))
     rows = reduce(DataFrame.unionByName, parts).filter("measurementValue is not null and measurementValue <> ''")
-    index = F.row_number().over(Window.partitionBy("occurrenceID", "measurementType").orderBy("_pos")) - 1
+    index = F.row_number().over(Window.partitionBy("occurrenceID", "measurementType").orderBy("_pos", "eventID", "measurementValue")) - 1
     return rows.withColumn("measurementID", F.concat_ws(":", "occurrenceID", "measurementType", index.cast("string"))).drop("_pos")
 
 
@@ -100,21 +103,27 @@ def meta_xml(core: tuple[str, list[str]], extensions: list[tuple[str, str, list[
     return f'<?xml version="1.0" encoding="UTF-8"?><archive xmlns="http://rs.tdwg.org/dwc/text/">{body}</archive>'
 
 
+def dangling(occurrences: DataFrame, events_: DataFrame) -> DataFrame:
+    """Occurrences of events that there are none of."""
+    return occurrences.join(events_.select("eventID"), "eventID", "left_anti")
+
+
+def check(name: str, frame: DataFrame) -> DataFrame:
+    """check, n: how many rows a check found; no row if none."""
+    return frame.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n").filter("n > 0")
+
+
 def problems(events_: DataFrame, occurrences: DataFrame, measured: DataFrame) -> DataFrame:
     """check, n: repeated keys, references that lead nowhere, values outside their vocabulary; only checks that found something."""
 
-    def check(name: str, frame: DataFrame) -> DataFrame:
-        return frame.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
-
     def repeated(frame: DataFrame, key: str) -> DataFrame:
         return frame.groupBy(key).agg(F.count("*").alias("k")).filter("k > 1")
 
-    ids = events_.select("eventID")
     found = [
         check("duplicate eventID", repeated(events_, "eventID")), check("duplicate occurrenceID", repeated(occurrences, "occurrenceID")),
-        check("duplicate measurementID", repeated(measured, "measurementID")), check("dangling occurrence", occurrences.join(ids, "eventID", "left_anti")),
+        check("duplicate measurementID", repeated(measured, "measurementID")), check("dangling occurrence", dangling(occurrences, events_)),
         check("dangling measurement", measured.join(occurrences.select("occurrenceID"), "occurrenceID", "left_anti")),
         check("status", occurrences.filter(~F.col("occurrenceStatus").isin("present", "absent"))),
         check("present without individuals", occurrences.filter("occurrenceStatus = 'present' and individualCount = '0'")),
     ]
-    return reduce(DataFrame.union, found).filter("n > 0")
+    return reduce(DataFrame.union, found)
