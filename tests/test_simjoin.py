@@ -67,3 +67,23 @@ def test_recall_of_the_sketch(spark):
     assert n > 200 and low > 30
     assert missed.count() <= 0.02 * n and missed.filter("jaccard < 0.55").count() <= 0.08 * low
     assert every.agg(F.min("jaccard")).first()[0] >= 0.45
+
+
+def test_sketched_pairs_over_several_lots_and_cells(spark, monkeypatch):
+    from pageloom.operators import pairs
+
+    monkeypatch.setattr(pairs, "LOT", 4)
+    monkeypatch.setattr(pairs, "BUCKET", 3)
+    base = list(range(400))
+    sets = [(i, [x for x in base if x != i] + [1000 + i]) for i in range(30)] + [(50, list(range(5000, 5300)))]
+    got = {(r.a, r.b): r.shared for r in minhash_pairs(spark.createDataFrame(sets, SETS), "k", "s", 0.75).collect()}
+    assert got == alike(sets, 0.75) and len(got) == 435
+
+
+def test_pieces_are_crc32_of_utf8():
+    from zlib import crc32
+
+    from pageloom.functions.similarity import pieces
+
+    for t in ("", "abcd", "abcde", "aäßß€漢字😀z aäßß€", "plain plain text"):
+        assert pieces(t).tolist() == sorted({crc32(t[i : i + 5].encode()) for i in range(len(t) - 4)})
