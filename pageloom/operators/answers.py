@@ -18,6 +18,7 @@ from pageloom.functions import vocab
 from pageloom.functions.dates import clock_time, iso_or_null
 from pageloom.functions.names import observer_name_of
 from pageloom.functions.text import json_value
+from pageloom.operators.graph import each
 
 # Roles of persons, labels of evidence, notes.
 ROLES = ("companion", "source", "collector", "cited-author", "other")
@@ -185,7 +186,7 @@ def _with_observers(rows: DataFrame, diarist: tuple[str, ...]) -> DataFrame:
 
 def persons(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
     """entry, pos, name, role: whom an entry names, then observers that it does not. rows: parsed, with entry."""
-    return _with_observers(rows, diarist).select("entry", F.posexplode("_o.persons").alias("pos", "_p")).select("entry", "pos", "_p.name", "_p.role")
+    return each(_with_observers(rows, diarist).select("entry", F.col("_o.persons").alias("_l")), "_l", "pos", "_p").select("entry", "pos", "_p.name", "_p.role")
 
 
 def _evidence(v: Column) -> Column:
@@ -209,14 +210,14 @@ def observations(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
     is not told follows from a citation or an observer; a zero counts only where
     the thing was absent; a range's lower end is the count that is not told.
     """
-    each = _with_observers(rows, diarist).withColumn("_d", _entry_date()).withColumn("_at", _entry_place())
-    each = each.select("entry", "text", "_d", "_at", F.posexplode(F.arrays_zip(F.col("_items").alias("i"), F.col("_o.who").alias("who"))).alias("index", "_z"))
+    whole = _with_observers(rows, diarist).withColumn("_d", _entry_date()).withColumn("_at", _entry_place())
+    told = each(whole.select("entry", "text", "_d", "_at", F.arrays_zip(F.col("_items").alias("i"), F.col("_o.who").alias("who")).alias("_l")), "_l", "index", "_z")
     i = F.col("_i")
     text = lambda name: _text(_field(i, name))
     of = lambda name, vocabulary: _of(i, name, vocabulary)
-    each = each.select("entry", "text", "_d", "_at", "index", F.col("_z.i").alias("_i"), F.col("_z.who").alias("observer")).withColumn("vernacular", text("vernacular_de")).filter("vernacular is not null")
+    told = told.select("entry", "text", "_d", "_at", "index", F.col("_z.i").alias("_i"), F.col("_z.who").alias("observer")).withColumn("vernacular", text("vernacular_de")).filter("vernacular is not null")
     # what is read more than once stands in columns of its own
-    each = each.withColumns({
+    told = told.withColumns({
         "scientific": text("scientific_name"), "citation": text("literature_citation"), "_told": _let(text("record_type"), vocab.record_type), "locality": _place(_field(i, "locality"), "locality"),
         "status": F.coalesce(of("occurrence_status", vocab.OCCURRENCE_STATUS), F.lit("present")), "_n": _int(_field(i, "individual_count")), "_a": _int(_field(i, "count_min")), "_b": _int(_field(i, "count_max")),
         "own_date": _date(text("event_date")),
@@ -229,7 +230,7 @@ def observations(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
     rank = F.coalesce(of("taxon_rank", vocab.TAXON_RANKS), F.when(_field(i, "taxon_rank").isNotNull(), "unknown"))
     behaviour = F.filter(F.transform(_list(_field(i, "behaviour")), lambda b: F.trim(F.try_variant_get(b, "$", "string"))), lambda b: b != "")
     named = F.col("scientific").isNotNull()
-    return each.select(
+    return told.select(
         "entry", "index", "vernacular", "scientific", F.when(named, "llm").alias("method"), F.when(~named, UNNAMED).alias("taxon_note"),
         _let(_number(_field(i, "confidence")), vocab.as_share).alias("confidence"), rank.alias("rank"), _bool(_field(i, "is_bird")).alias("is_bird"),
         F.coalesce(text("verbatim_notes"), F.nullif(F.col("text"), F.lit("")), F.col("vernacular")).alias("notes"), "locality", F.coalesce("locality", "_at").alias("place"),
@@ -259,17 +260,17 @@ def travel(rows: DataFrame) -> DataFrame:
             _clock(name("departure_time")).alias("leaves"), _clock(name("arrival_time")).alias("comes"), name("verbatim").alias("verbatim"),
         )
 
-    events = rows.withColumn("_at", _entry_place()["name"]).withColumn("_d", _entry_date()).select("entry", "_at", "_d", F.posexplode(_list(_field(F.col("_v"), "travel_events"))).alias("event", "_e"))
-    events = events.filter(_is(F.col("_e"), "OBJECT"))
+    events = rows.withColumn("_at", _entry_place()["name"]).withColumn("_d", _entry_date()).select("entry", "_at", "_d", _list(_field(F.col("_v"), "travel_events")).alias("_l"))
+    events = each(events, "_l", "event", "_e").filter(_is(F.col("_e"), "OBJECT"))
     told = _let(_list(_field(F.col("_e"), "legs")), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array("_e")))
     events = events.select("entry", "_at", "_d", "event", F.filter(F.transform(told, read), lambda x: x["arrival"].isNotNull()).alias("_l"))
     # once a leg has a start all behind it have one, as they leave from where it arrived
     started = F.filter("_l", lambda x, n: F.col("_at").isNotNull() | F.exists(F.slice("_l", F.lit(1), n + 1), lambda y: y["departure"].isNotNull()))
-    each = events.withColumn("_l", started).select("entry", "_at", "_d", "event", "_l", F.posexplode("_l").alias("leg", "_x"))
+    legs = each(events.select("entry", "_at", "_d", "event", started.alias("_l")), "_l", "leg", "_x")
     before = F.when(F.col("leg") > 0, F.get("_l", F.col("leg") - 1)["arrival"])
     at = lambda clock: F.when(F.col("_d").isNotNull(), F.concat(F.col("_d"), F.lit("T"), clock, F.lit(":00")))
     leaves, comes = at(F.col("_x.leaves")), at(F.col("_x.comes"))
-    return each.select(
+    return legs.select(
         "entry", "event", "leg", F.size("_l").alias("n_legs"), F.coalesce("_x.departure", before, "_at").alias("departure"), F.col("_x.arrival").alias("arrival"), F.col("_x.via").alias("via"), F.col("_x.mode").alias("mode"),
         leaves.alias("departure_time"), F.when(leaves.isNull() | (comes > leaves), comes).alias("arrival_time"), F.col("_x.verbatim").alias("verbatim"),
     )

@@ -15,6 +15,7 @@ from pageloom.functions import vocab
 from pageloom.functions.ids import name_id, observation_id
 from pageloom.operators.constraints import TYPE
 from pageloom.operators.curation import match_predicate
+from pageloom.operators.graph import each
 
 # How a person of a role is mentioned, what a habitat's match to a class is, ranks that a classification may name.
 MENTIONS = {"companion": "mentionsCompanion", "source": "mentionsSource", "collector": "mentionsCollector", "cited-author": "mentionsCitedAuthor", "other": "mentionsOther"}
@@ -40,7 +41,7 @@ def _about(s: Column, statements: list) -> Column:
 def _stated(rows: DataFrame, *parts: Column) -> DataFrame:
     """The triples of all parts (arrays) of each row. No part states a thing twice; those of lists that may are made distinct by who makes them, as telling all of a row's triples apart would compare each with each."""
     there = F.filter(F.concat(*parts), lambda t: t["o"].isNotNull())
-    return rows.select(F.explode(there).alias("t")).select("t.*")
+    return each(rows.select(there.alias("_l")), "_l", "_n", "t").select("t.*")
 
 
 def _record(entry: Column) -> list:
@@ -200,7 +201,9 @@ def journeys(legs: DataFrame) -> DataFrame:
 
 def weather(fields: DataFrame) -> DataFrame:
     """fields: as answers.entry_fields gives them; undated entries state nothing."""
-    there = fields.filter("weather is not null and entry_date is not null")
+    # taken out of an array, as a plain filter would be asked below the step that reads the answer, which then is done again
+    told = each(fields.select("entry", F.array(F.struct("entry_date", "weather")).alias("_l")), "_l", "_n", "_w").select("entry", "_w.*")
+    there = told.filter("weather is not null and entry_date is not null")
     entry, node = entry_node(F.col("entry")), F.concat(F.lit("weather_"), F.col("entry").cast("string"))
     w = lambda c, p, kind="string": (p, F.col(f"weather.{c}"), kind)
     said = _about(node, [

@@ -135,3 +135,19 @@ def test_entry_and_run_nodes(spark):
     assert {o for _, p, o, _ in got if p == "prov:wasAssociatedWith"} == {"agent_model-x-2", "agent_unknown"} and ("prompt_abcdef012345", "dcterms:identifier", "abcdef0123456789", "string") in got
     made = nodes.generated(spark.createDataFrame([("o1", "rdf:type", "Observation", "iri"), ("o1", "x", "Observation", "iri"), ("p", "rdf:type", "Place", "iri")], "s string, p string, o string, kind string"), F.lit("run_1"))
     assert [tuple(r) for r in made.collect()] == [("o1", "prov:wasGeneratedBy", "run_1", "iri")]
+
+
+def test_an_answer_is_read_once(spark):
+    """Neither an exploded array nor a filter is asked again below the step that reads the answer."""
+    from pageloom.plans import answers as plans
+
+    for query in (plans.person_triples, plans.weather_triples, plans.answer_persons, plans.answer_observations, plans.answer_travel, plans.observation_triples, plans.travel_triples):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("(?s)") == 1, query.__name__
+
+
+def test_each_numbers_items_and_drops_empty_arrays(spark):
+    from pageloom.operators.graph import each
+
+    t = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "k int, l array<string>")
+    assert sorted(each(t, "l", "n", "x").select("k", "n", "x").collect(), key=lambda r: r.n) == [(1, 0, "a"), (1, 1, None)]
