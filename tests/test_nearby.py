@@ -72,3 +72,12 @@ def test_same_as_and_labels(spark):
     assert {tuple(r) for r in sameas.same_as(keyed).collect()} == {("b", "a"), ("k", "a")}
     assert {tuple(r) for r in sameas.person_review(d).collect()} == {("c", "a", "initial-vs-full"), ("h", "i", "bare-surname-unique")}
     assert sameas.same_as(keyed.limit(0)).count() == 0 and sameas.best_matches(d.limit(0), d).count() == 0
+
+
+def test_places_are_searched_for_every_fiftieth_customer(spark):
+    from pageloom.plans.nearby import places_near_points
+
+    sf = "/root/testdata/sf0.01"
+    asked = {r.point for r in places_near_points(spark, sf).select("point").distinct().collect()}
+    assert asked and all(p % 50 == 0 for p in asked)
+    assert asked <= {r.c_custkey for r in spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey").collect()}
