@@ -113,7 +113,8 @@ def generated(records: DataFrame, run: Column) -> DataFrame:
 
 def taxa(rows: DataFrame) -> DataFrame:
     """rows: vernacular, scientific, note, rank, is_bird, method, confidence, and of a link gbif_key, match_type, iri (null without one)."""
-    t = rows.filter("vernacular is not null")
+    # what is said of a taxon meets in one task before it is stated: rows are moved once, and no task holds the triples of a whole file
+    t = rows.filter("vernacular is not null").repartition(F.lower("vernacular"))
     node, concept = name_id("taxon", F.col("vernacular")), F.concat(F.lit(SPECIES), F.col("gbif_key").cast("string"))
     link = match_predicate(F.coalesce("match_type", F.lit("")), F.coalesce("method", F.lit("")))
     return _stated(t, _about(node, [

@@ -151,3 +151,10 @@ def test_each_numbers_items_and_drops_empty_arrays(spark):
 
     t = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "k int, l array<string>")
     assert sorted(each(t, "l", "n", "x").select("k", "n", "x").collect(), key=lambda r: r.n) == [(1, 0, "a"), (1, 1, None)]
+
+
+def test_taxa_are_dealt_out_before_their_triples_are_made(spark):
+    from pageloom.plans.answers import taxon_triples
+
+    plan = taxon_triples(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RepartitionByExpression [lower(")
