@@ -178,6 +178,34 @@ def test_components_and_chains(spark):
     assert {(r.variant, r.canonical) for r in graph.chain_ends(m).collect()} == {("a", "c"), ("b", "c"), ("x", "x"), ("y", "x")}
 
 
+def test_components_move_a_few_times_their_edges(spark, monkeypatch):
+    chance = random.Random(5)
+    path = list(range(1500))
+    chance.shuffle(path)
+    pairs = list(zip(path, path[1:], strict=False)) + [(chance.randrange(2000, 3000), chance.randrange(2000, 3000)) for _ in range(600)] + [(4000, n) for n in range(4001, 4400)] + [(5000, 5000)]
+    least = {}
+
+    def top(x):
+        while least.setdefault(x, x) != x:
+            least[x] = least[least[x]]
+            x = least[x]
+        return x
+
+    for x, y in pairs:
+        one, other = sorted((top(x), top(y)))
+        least[other] = one
+    written, real = [], graph.settled
+
+    def counted(frame):
+        written.append(real(frame))
+        return written[-1]
+
+    monkeypatch.setattr(graph, "settled", counted)
+    edges = spark.createDataFrame([*pairs, *pairs[:50], (None, 1), (7777, None)], "a long, b long")
+    assert sorted(map(tuple, graph.components(edges).collect())) == sorted((n, top(n)) for n in list(least))
+    assert sum(w.count() for w in written) < 7 * len(pairs)
+
+
 def test_decisions(spark):
     rows = spark.createDataFrame([("1", "auto"), ("2", "auto"), ("3", "candidate"), ("4", "candidate")], "merge_id string, status string")
     said = spark.createDataFrame([("2", " Reject "), ("4", "YES")], "merge_id string, decision string")
