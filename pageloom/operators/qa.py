@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.operators.aggregates import upper_median
+from pageloom.operators.graph import settled
 
 
 def usable(observations: DataFrame, least: float = 0.3) -> DataFrame:
@@ -31,6 +32,9 @@ def qa_flags(entries: DataFrame, observations: DataFrame, tolerance: int = 2, le
     family, is_bird, confidence, conflict. Entries without observations are told
     after the excluded observations are gone.
     """
+    # both are read several times, and made once
+    entries = settled(entries.select("entry_uid", "volume", "entry_date", "header_date", "plausible", "place", "location_raw", "explained"))
+    observations = settled(observations.select("entry_uid", "taxon", "family", "is_bird", "confidence", "conflict"))
     dated = entries.filter("entry_date is not null").select("volume", F.substring("entry_date", 1, 4).cast("int").alias("year"))
     rows = entries.join(upper_median(dated, "volume", "year"), "volume", "left")
     left = usable(observations, least).groupBy("entry_uid").agg(F.count("*").alias("_n"))
