@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pageloom.operators import ordered, scan
+from pageloom.operators.graph import settled
 from pageloom.plans.model import ENTRIES, entries
 from pageloom.plans.registry import query, table
 
@@ -50,7 +51,7 @@ def positional_interval(spark, sf_dir):
 
 
 def repaired(spark, sf_dir):
-    e = entries(spark, sf_dir)
+    e = entries(spark, sf_dir).select("ord", "volume", "entry_date", "kind")
     # volumes run over two years each, those of the order, so that every entry has one; one entry in nine is dated a century early, one in eleven decades late
     first = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), (F.floor(F.year("o_orderdate") / 2) * 2).cast("int").alias("first"))
     e = e.join(first, "ord").withColumn("volume", F.col("first") * 100 + F.col("volume"))
@@ -59,6 +60,7 @@ def repaired(spark, sf_dir):
     e = e.withColumn("entry_date", F.concat(wrong.cast("string"), F.substring("entry_date", 5, 6)))
     e = e.withColumn("at", F.row_number().over(Window.partitionBy("volume").orderBy(F.substring("entry_date", 6, 5), "ord"))).drop("ord").withColumnRenamed("at", "ord")
     e = e.withColumn("verbatim", F.concat(F.substring("entry_date", 9, 2), F.lit(". "), F.substring("entry_date", 6, 2), F.lit(". "), F.substring("entry_date", 1, 4))).withColumn("historic", F.col("volume") % 2 == 0)
+    e = settled(e)  # read for the spans, to find the ranges and to deal them out
     spans = e.select("volume", "first").distinct().select("volume", F.concat(F.col("first").cast("string"), F.lit("-01")).alias("start"), F.concat((F.col("first") + 1).cast("string"), F.lit("-12")).alias("end"))
     e = e.drop("first")
     return ordered.repair_years(e, spans)
