@@ -18,11 +18,11 @@ from pageloom.sinks.graph import jsonld, ntriples, read_ntriples
 def _triples(spark, sf_dir) -> DataFrame:
     e = entries(spark, sf_dir)
     place = lambda name: F.concat(F.lit("place/"), F.lower(name))
-    of_entries = g.triples(e, F.concat(F.lit("entry/"), "entry_uid"), [
+    of_entries = (e, F.concat(F.lit("entry/"), "entry_uid"), [
         (c.TYPE, F.lit("Entry"), "iri"), ("volume", F.col("volume"), "integer"), ("eventDate", F.col("entry_date"), "date"), ("kind", F.col("kind"), "string"), ("entryPlace", place(F.col("place")), "iri"),
         ("endDate", F.col("entry_date_end"), "date"), ("label", F.col("person"), "@de"),
     ])
-    of_places = g.triples(e.select("place", "lat", "lon").distinct(), place(F.col("place")), [(c.TYPE, F.when(F.col("lat").isNotNull(), "Place"), "iri"), ("label", F.col("place"), "@de"), ("point", wkt_point(F.col("lat"), F.col("lon")), "wkt")])
+    of_places = (e.select("place", "lat", "lon").distinct(), place(F.col("place")), [(c.TYPE, F.when(F.col("lat").isNotNull(), "Place"), "iri"), ("label", F.col("place"), "@de"), ("point", wkt_point(F.col("lat"), F.col("lon")), "wkt")])
     return g.triple_set(of_entries, of_places)
 
 

@@ -33,14 +33,17 @@ def ntriples(graph: DataFrame) -> DataFrame:
 
 def read_ntriples(lines: DataFrame) -> DataFrame:
     """The triples of lines that ntriples wrote; other lines are left out."""
-    pattern = r'^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|(@[A-Za-z-]+))?) \.$'
+    pattern = r'^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(\^\^<[^>]*>|@[A-Za-z-]+)?) \.$'
+    # what stands behind a text is taken from the line once
+    lines = lines.filter(F.col("value").rlike(pattern)).select("value", F.explode(F.array(F.regexp_extract("value", pattern, 5))).alias("_t"))
     part = lambda i: F.regexp_extract("value", pattern, i)
     text = part(4)
     for a, b in (("\\\\", "\x00"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\x00", "\\")):
         text = F.replace(text, F.lit(a), F.lit(b))
     iri = F.col("value").rlike(r'^<[^>]*> <[^>]*> <')
-    kind = F.when(iri, "iri").when(part(6) != "", part(6)).when(part(5) != "", F.replace(part(5), F.lit(XSD), F.lit(""))).otherwise("string")
-    return lines.filter(F.col("value").rlike(pattern)).select(part(1).alias("s"), part(2).alias("p"), F.when(iri, part(3)).otherwise(text).alias("o"), kind.alias("kind"))
+    of = F.replace(F.substring("_t", F.lit(4), F.length("_t") - 4), F.lit(XSD), F.lit(""))
+    kind = F.when(iri, "iri").when(F.col("_t").startswith("@"), F.col("_t")).when(F.length("_t") > 4, of).otherwise("string")
+    return lines.select(part(1).alias("s"), part(2).alias("p"), F.when(iri, part(3)).otherwise(text).alias("o"), kind.alias("kind"))
 
 
 def jsonld(graph: DataFrame) -> DataFrame:

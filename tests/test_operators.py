@@ -218,6 +218,35 @@ def test_triples_round_trip(spark):
     assert {tuple(r) for r in read_ntriples(ntriples(t)).collect()} == {tuple(r) for r in t.collect()}
 
 
+def test_a_row_is_moved_once_for_its_triples(spark):
+    rows = spark.createDataFrame([("e1", 1, "x", None), ("e1", 1, "y", "z"), ("e2", 2, None, None), ("e1", 1, "x", None)], "id string, n int, a string, b string")
+    more = spark.createDataFrame([("e2", "w"), ("e1", "y")], "id string, a string")
+    t = graph.triple_set((rows, F.col("id"), [("n", F.col("n"), "integer"), ("a", F.col("a"), "string"), ("b", F.col("b"), "iri")]), (more, F.col("id"), [("a", F.col("a"), "string")]))
+    assert t._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(map(tuple, t.collect())) == [("e1", "a", "x", "string"), ("e1", "a", "y", "string"), ("e1", "b", "z", "iri"), ("e1", "n", "1", "integer"), ("e2", "a", "w", "string"), ("e2", "n", "2", "integer")]
+
+
+def test_lines_without_a_kind(spark):
+    lines = ['<s> <p> "a" .', '<s> <p> "a"^^<> .', '<s> <p> "a"^^<http://www.w3.org/2001/XMLSchema#date> .', '<s> <p> "a"@de-AT .', "<s> <p> <o> .", '<s> <p> "a"@ .']
+    got = read_ntriples(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [(r.o, r.kind) for r in got] == [("a", "string"), ("a", "string"), ("a", "date"), ("a", "@de-AT"), ("o", "iri")]
+
+
+def test_flags_read_their_rows_once(spark):
+    from pageloom.plans.lookups import qa_summary
+
+    assert not any("lineitem" in f or "orders" in f for f in qa_summary(spark, "/root/testdata/sf0.001").inputFiles())
+
+
+def test_year_repair_works_its_entries_out_once(spark, monkeypatch):
+    from pageloom.plans import ordered as plans
+
+    held, real = [], graph.settled
+    monkeypatch.setattr(plans, "settled", lambda frame: held.append(real(frame)) or held[-1], raising=False)
+    plans.year_repair(spark, "/root/testdata/sf0.001")
+    assert len(held) == 1 and not {"entry_uid", "person", "place"} & set(held[0].columns)
+
+
 def test_archive_bytes(spark, tmp_path):
     rows = [("e1", '1. Mai 1918, ein "Regentag"\tx'), ("e2", None)]
     archive.write_table(spark.createDataFrame(rows, "a string, b string").coalesce(1), ["a", "b"], f"{tmp_path}/t")
