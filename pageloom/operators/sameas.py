@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from pageloom.operators.graph import settled
 
 SAME_AS = "http://www.w3.org/2002/07/owl#sameAs"
 
@@ -18,8 +23,8 @@ TITLES = (
 ADDRESSES = ("Frau", "Frl", "Fräulein", "Herr")
 NOBODY = ("\\[.*\\]", "\\?+", "N\\.?N\\.?", "X", "unleserlich", "illegible")
 
-#: Groups that a name's candidates are dealt to, so that no name is one task.
-LOTS = 16
+#: Names in a lot, about.
+LOT = 1024
 
 
 def _spaced(label: Column) -> Column:
@@ -74,66 +79,71 @@ def person_review(persons: DataFrame) -> DataFrame:
     return initials.union(bares)
 
 
-def _pieces(name: Column, cutoff: float) -> Column:
-    """Pieces of which two names that reach the cutoff have one in common.
-
-    Of S characters of both names, cutoff * S / 2 lie in matching blocks, which the
-    (1 - cutoff) * S others part into no more than one block more. If that leaves
-    more than a character to a block, some pair of neighbours is shared; names so
-    short that it does not are also compared by their letters.
-    """
-    gain = 1.5 * cutoff - 1
-    brief = F.lit(True) if gain <= 0 else (F.length(name) <= F.lit(int(1 / gain)))
-    pairs = F.when(F.length(name) > 1, F.transform(F.sequence(F.lit(1), F.length(name) - 1), lambda i: F.substring(name, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    letters = F.when(brief & (F.length(name) > 0), F.split(name, "")).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(pairs, letters, F.when(name == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))))
+def _dealt(frame: DataFrame, name: str) -> DataFrame:
+    """name, _n (its length) and _lot of every name, each once: lots of about ``LOT`` names of lengths near to each other."""
+    told = settled(frame.select(F.col(name).alias("name")).filter("name is not null").distinct().withColumn("_n", F.length("name")))
+    # a row for each length
+    held = told.groupBy("_n").agg(F.count("*").alias("_c"))
+    held = held.select("_n", "_c", (F.sum("_c").over(Window.orderBy("_n")) - F.col("_c")).alias("_from"))
+    return told.join(F.broadcast(held), "_n").select("name", "_n", F.floor((F.col("_from") + F.pmod(F.xxhash64("name"), F.col("_c"))) / LOT).alias("_lot"))
+
+
+def _letters_alike(a: list[str], b: list[str]) -> np.ndarray:
+    """For each pair, twice the letters that both have, without order, over both lengths; 1 for two empty names."""
+    codes = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (*a, *b)]
+    letters, at = np.unique(np.concatenate([*codes, np.zeros(0, np.uint32)]), return_inverse=True)
+    counts = np.zeros((len(letters), len(codes)), np.int32)
+    np.add.at(counts, (at, np.repeat(np.arange(len(codes)), [len(c) for c in codes])), 1)
+    shared = np.zeros((len(a), len(b)), np.int32)
+    for row in counts:
+        shared += np.minimum.outer(row[: len(a)], row[len(a) :])
+    total = np.add.outer([len(x) for x in a], [len(x) for x in b])
+    return np.where(total > 0, 2.0 * shared / np.maximum(total, 1), 1.0)
+
+
+def _best_of(asked: list[str], names: list[str], cutoff: float) -> Iterator[tuple[str, str, float, float]]:
+    alike = _letters_alike(asked, names)
+    matcher = SequenceMatcher()
+    for one, bounds in zip(asked, alike, strict=True):
+        score, match = cutoff, None
+        fits = np.flatnonzero(bounds >= cutoff)
+        matcher.set_seq2(one)
+        for i in fits[np.argsort(-bounds[fits], kind="stable")]:
+            if bounds[i] < score:
+                break  # nor can any that follows be better
+            matcher.set_seq1(names[i])
+            ratio = matcher.ratio()
+            if ratio > score or (ratio == score and (match is None or names[i] > match)):
+                score, match = ratio, names[i]
+        if match is not None:
+            yield one, match, score, SequenceMatcher(None, one, match).ratio()
 
 
 def best_matches(asked: DataFrame, names: DataFrame, name: str = "name", cutoff: float = 0.75) -> DataFrame:
     """name, match, ratio: of each name asked for, the most similar of the names, if twice the matching characters over both lengths reaches the cutoff; of equals the greatest.
 
-    Candidates share a piece that names above the cutoff must share, and have a
-    length that allows it. They come by the most that their lengths allow, so the
-    search ends where no later one can be better; letters counted without order
-    bound the rest before the ratio itself is taken. ``ratio`` is that of the name
-    to its match. Nulls match nothing; names are told apart by their characters.
+    Names of either side are dealt in lots by their length, and the lots meet whose
+    lengths allow the cutoff, each pair of lots a task's: a name goes once to each,
+    and no pair of names is moved. Letters counted without order bound the ratio of
+    all pairs of two lots; each name takes them from the highest bound on, until no
+    later one can be better. ``ratio`` is that of the name to its match. Nulls match
+    nothing; names are told apart by their characters.
     """
     if not 0 < cutoff <= 1:
         raise ValueError("the cutoff must lie above 0 and not above 1")
-    side = lambda frame, c: frame.select(F.col(name).alias(c)).filter(F.col(c).isNotNull()).distinct().select(c, F.explode(_pieces(F.col(c), cutoff)).alias("_p"))
-    both = F.length("name") + F.length("match")
-    bound = F.when(both == 0, 1.0).otherwise(2 * F.least(F.length("name"), F.length("match")) / both)
-    met = side(asked, "name").join(side(names, "match"), "_p").filter(bound >= cutoff).select("name", "match").distinct()
-    met = met.withColumn("_bound", bound).withColumn("_lot", F.pmod(F.xxhash64("match"), F.lit(LOTS)))
-    laid = met.repartition("name", "_lot").sortWithinPartitions("name", "_lot", F.desc("_bound"))
-
-    def search(batches):
-        now, found, matcher = None, None, SequenceMatcher()
-        out: list[tuple[str, str, float, float]] = []
-
-        def ended():
-            if found and found[1] is not None:
-                out.append((now[0], found[1], found[0], SequenceMatcher(None, now[0], found[1]).ratio()))
-
-        for batch in batches:
-            for one, other, bound, lot in zip(*(batch.column(c).to_pylist() for c in ("name", "match", "_bound", "_lot")), strict=True):
-                if (one, lot) != now:
-                    ended()
-                    now, found = (one, lot), (cutoff, None)
-                    matcher.set_seq2(one)
-                if bound < found[0]:
-                    continue  # nor can any that follows
-                matcher.set_seq1(other)
-                if matcher.quick_ratio() >= found[0]:
-                    score = matcher.ratio()
-                    if score > found[0] or (score == found[0] and (found[1] is None or other > found[1])):
-                        found = (score, other)
-            yield _batch(out)
-            out = []
-        ended()
-        yield _batch(out)
-
-    found = laid.mapInArrow(search, "name string, match string, score double, ratio double")
+    one, other = settled(_dealt(asked, name)), settled(_dealt(names, name))
+    lots = lambda side, p: side.groupBy(F.col("_lot").alias(f"_{p}")).agg(F.min("_n").alias(f"_{p}0"), F.max("_n").alias(f"_{p}1"))
+    short, long = F.least("_i1", "_j1"), F.greatest("_i0", "_j0")
+    cells = lots(one, "i").join(lots(other, "j"), (short >= long) | (2 * short / (short + long) >= cutoff)).select("_i", "_j")
+    cells = settled(cells)
+    side = lambda rows, p, asks: rows.withColumnRenamed("_lot", f"_{p}").join(cells, f"_{p}").select("_i", "_j", F.lit(asks).alias("_asks"), "name")
+
+    def meet(lot: pa.Table) -> pa.Table:
+        told, asks = np.array(lot.column("name").to_pylist(), dtype=object), lot.column("_asks").to_numpy()
+        return pa.Table.from_batches([_batch(list(_best_of(list(told[asks]), list(told[~asks]), cutoff)))])
+
+    met = side(one, "i", True).union(side(other, "j", False))
+    found = met.groupBy("_i", "_j").applyInArrow(meet, "name string, match string, score double, ratio double")
     return found.groupBy("name").agg(F.max(F.struct("score", "match", "ratio")).alias("b")).select("name", "b.match", "b.ratio")
 
 

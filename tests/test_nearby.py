@@ -65,6 +65,18 @@ def test_best_match_against_every_pair(spark, cutoff):
     assert got == want and len(want) > 20
 
 
+def test_no_pair_of_names_is_moved(spark, monkeypatch):
+    monkeypatch.setattr(sameas, "LOT", 16)
+    names = [f"Meise {i}" for i in range(90)] + [f"Meise am Bach {i}" for i in range(90)] + ["", "x"]
+    asked = [n[:3] + n[4:] for n in names if n]
+    frame = lambda x: spark.createDataFrame([(n,) for n in x], "name string")
+    found = sameas.best_matches(frame(asked), frame(names))
+    want = {n: m[0] for n in set(asked) if (m := difflib.get_close_matches(n, names, n=1, cutoff=0.75))}
+    assert {r.name: r.match for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapGroupsInArrow", "")
+
+
 def test_same_as_and_labels(spark):
     rows = [("b", "Dr. Karl  Noll.", 2), ("a", "Karl Noll", 2), ("c", "K. Noll", 9), ("d", "Frau Noll", 1), ("e", "[unleserlich]", 1), ("f", "Noll", 1), ("g", "N.N.", 3), ("h", "Wüst", 1), ("i", "W. Wüst", 2), ("j", None, 1), ("k", "karl noll", 1)]
     d = spark.createDataFrame(rows, "node string, name string, n int")
