@@ -10,7 +10,7 @@ from pageloom.functions import dates, vocab
 from pageloom.functions import text as texts
 from pageloom.functions.names import bird_stem
 from pageloom.operators import scan
-from pageloom.operators.graph import settled
+from pageloom.operators.graph import each, settled
 
 #: Endings that an inflected vernacular name may have.
 ENDINGS = ("", "s", "e", "n", "en", "er")
@@ -28,9 +28,10 @@ def find_taxa(rows: DataFrame, key: str, text: str, gazetteer: DataFrame) -> Dat
 
     A sentence ends at . ! or ?, a name is a whole word with at most one of the endings. Null and empty texts mention nothing.
     """
-    sentences = rows.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(r"[^.!?]*[.!?]|[^.!?]+$"), F.lit(0))).alias("_i", "_s"))
-    words = sentences.select(key, "_i", "_s", F.posexplode(F.regexp_extract_all("_s", F.lit("[A-Za-zÄÖÜäöüß]+"), F.lit(0))).alias("_j", "verbatim"))
-    found = words.withColumn("form", bird_stem(F.col("verbatim"))).join(name_forms(gazetteer), "form")
+    sentences = each(rows.select(key, F.regexp_extract_all(text, F.lit(r"[^.!?]*[.!?]|[^.!?]+$"), F.lit(0)).alias("_ss")), "_ss", "_i", "_s").drop("_ss")
+    words = each(sentences.withColumn("_ws", F.regexp_extract_all("_s", F.lit("[A-Za-zÄÖÜäöüß]+"), F.lit(0))), "_ws", "_j", "verbatim").drop("_ws")
+    # the forms are a table of their own, whose size is known before the texts are read: if it is small, no word is moved
+    found = words.withColumn("form", bird_stem(F.col("verbatim"))).join(settled(name_forms(gazetteer)), "form")
     sentence = F.regexp_replace("_s", r"^\s+|\s+$", "")
     first = found.groupBy(key, "vernacular").agg(F.min(F.struct("_i", "_j", "verbatim", sentence.alias("sentence"))).alias("_m"))
     w = Window.partitionBy(key).orderBy("_m._i", "_m._j")

@@ -17,16 +17,17 @@ _TEXTS = """w AS (SELECT l_orderkey AS entry, l_linenumber AS n, l_partkey AS p,
 def _texts(spark, sf_dir):
     li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     v = F.element_at(F.split("p_name", " "), 2)
+    name = F.concat(F.upper(F.left(v, F.lit(1))), F.substring(v, 2, 100))
     w = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("entry"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("q"), F.col("l_quantity").cast("int").alias("c"),
-        F.concat(F.upper(F.left(v, F.lit(1))), F.substring(v, 2, 100)).alias("v"),
+        name.alias("v"),
     )
     c, v, n = F.col("c").cast("string"), F.col("v"), F.col("n") % 5
     say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
     s = F.when(n == 0, say("Am Weiher etwa ", c, " ", v, "en gehört.")).when(n == 1, say(c, " ", v, " sangen im Wald!")).when(n == 2, say("Mehrere ", v, "s beim Nest."))
     s = s.when(n == 3, say("Zwei ", v, "er erlegt?")).otherwise(say("Weit über den See ", v, "ei und ", v, "n"))
     parts = F.sort_array(F.collect_list(F.struct("n", "p", "q", "c", s.alias("s"))))
-    names = w.select("v").distinct().select(F.col("v").alias("vernacular"), F.xxhash64("v").alias("ord"))
+    names = p.join(li, F.col("l_partkey") == F.col("p_partkey"), "left_semi").select(name.alias("v")).distinct().select(F.col("v").alias("vernacular"), F.xxhash64("v").alias("ord"))
     return w.groupBy("entry").agg(F.array_join(F.transform(parts, lambda x: x["s"]), " ").alias("t")), names
 
 
