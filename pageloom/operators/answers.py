@@ -9,8 +9,6 @@ that holds no JSON gives no rows but the entry's, with what was known of it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from pageloom.functions import vocab
 from pageloom.functions.dates import clock_time, iso_or_null
 from pageloom.functions.names import observer_name_of
 from pageloom.functions.text import json_value
+from pageloom.functions.text import let as _let
 from pageloom.operators.graph import each
 
 # Roles of persons, labels of evidence, notes.
@@ -35,11 +34,6 @@ def parsed(rows: DataFrame, raw: str) -> DataFrame:
     return rows.withColumn("_v", json_value(F.col(raw)))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value) with the value worked out once, however often it is read."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _is(v: Column, kind: str) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
 

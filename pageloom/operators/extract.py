@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from pageloom.functions import dates, vocab
 from pageloom.functions import text as texts
 from pageloom.functions.names import bird_stem
+from pageloom.functions.text import let
 from pageloom.operators import scan
 from pageloom.operators.graph import each, settled
 
@@ -74,9 +75,14 @@ def header_pattern(year_required: bool = True) -> str:
 
 
 def matches_at(text: Column, pattern: str) -> Column:
-    """Array of (start, hit): all matches of a pattern and where they begin. The text between matches and the matches lie end to end."""
-    gaps, hits = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
+    """Array of (start, hit): all matches of a pattern and where they begin. The text between matches and the matches lie end to end. The pattern tells U+0001 and U+0002 not apart."""
+    # a split by a pattern compiles it anew for each text, one by a single character compiles nothing
+    gaps = F.split(F.regexp_replace(F.translate(text, "\x01", "\x02"), pattern, "\x01"), "\x01")
+    zipped = lambda hits: F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
+    return let(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), zipped), _laid)
+
+
+def _laid(pairs: Column) -> Column:
     found = "array<struct<start:int,hit:string>>"
     # matches are laid end to end by chunks of chunks, as each step copies the array that it adds to
     chunk = lambda rows, n: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(rows) - 1) / n).cast("int"), F.lit(0))), lambda c: F.slice(rows, c * n + 1, F.lit(n)))
@@ -129,7 +135,8 @@ def entry_starts(rows: DataFrame, key: str, text: str, year_required: bool = Tru
     hits = rows.select(key, F.explode(matches_at(F.col(text), pattern)).alias("_m")).select(key, F.col("_m.start").alias("offset"), F.col("_m.hit").alias("_h"))
     hits = _bound(hits, "date", F.regexp_replace(F.trim(F.regexp_extract("_h", pattern, 1)), r"\s+", " "))
     hits = with_location(hits, F.regexp_extract("_h", pattern, 2)).filter("not _l.reject")
-    hits = _bound(hits, "_d", dates.header_date(F.col("date")))
+    # a plain column, so that it goes where no part of the date is asked for
+    hits = hits.withColumn("_d", dates.header_date(F.col("date")))
     variant = F.when(F.col("_l.location") == "", "date-only").when(F.col("_r").startswith("<u>"), "underlined").otherwise("plain")
     return hits.select(
         key, "offset", (F.col("offset") + F.length("_h")).alias("end"), "date", "_l.location", variant.alias("variant"), F.col("_l.source").alias("loc_source"),
