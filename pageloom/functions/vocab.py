@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageloom.functions.text import let
+
 # Vocabularies and ordered cues; an earlier cue wins.
 TRANSPORT_MODES = ("train", "foot", "boat", "car", "carriage", "bicycle", "unknown")
 TRANSPORT_CUES = (
@@ -86,11 +88,13 @@ def enum(raw: Column, vocabulary) -> Column:
 
 def cue_fold(raw: Column, vocabulary, cues) -> Column:
     """The vocabulary's term, or that of the first cue that the text holds, or null."""
-    value = _clean(raw)
-    out = F.when(F.coalesce(raw, F.lit("")) == "", F.lit(None).cast("string")).when(value.isin(*vocabulary), value)
-    for term, words in cues:
-        out = out.when(any_of(value, words), term)
-    return out
+    def folded(value: Column) -> Column:
+        out = F.when(value.isin(*vocabulary), value)
+        for term, words in cues:
+            out = out.when(any_of(value, words), term)
+        return out
+
+    return F.when(F.coalesce(raw, F.lit("")) != "", let(_clean(raw), folded))
 
 
 def transport_mode(raw: Column) -> Column:
@@ -107,24 +111,22 @@ def sky(raw: Column) -> Column:
 
 def precipitation(raw: Column) -> Column:
     """As cue_fold, but none where a negation stands right before the word (one filler word between at most)."""
-    found = cue_fold(raw, PRECIPITATION_TYPES, PRECIPITATION_CUES)
     words = "|".join(c for term, cues in PRECIPITATION_CUES if term != "none" for c in cues)
     letter = r"[\p{L}\p{N}_]"
     negated = _clean(raw).rlike(rf"(?<!{letter})(?:{'|'.join(NEGATIONS)})(?!{letter})(?:\s+{letter}+)?\s+{letter}*(?:{words})")
-    return F.when(found.isNotNull() & ~_clean(raw).isin(*PRECIPITATION_TYPES) & negated, F.lit("none")).otherwise(found)
+    return let(cue_fold(raw, PRECIPITATION_TYPES, PRECIPITATION_CUES), lambda found: F.when(found.isNotNull() & ~_clean(raw).isin(*PRECIPITATION_TYPES) & negated, F.lit("none")).otherwise(found))
 
 
 def temperature_unit(raw: Column) -> Column:
-    v = F.lower(F.regexp_replace(F.trim(F.ltrim(F.trim(raw), F.lit("°"))), r"\.+$", ""))
-    v = F.when(v.startswith("grad "), F.ltrim(F.substring(v, 6, 100))).otherwise(v)
-    return F.when(v.rlike("^[cz]"), "C").when(v.rlike("^r"), "R").when(v.rlike("^f"), "F")
+    bare = F.lower(F.regexp_replace(F.trim(F.ltrim(F.trim(raw), F.lit("°"))), r"\.+$", ""))
+    v = let(bare, lambda x: F.when(x.startswith("grad "), F.ltrim(F.substring(x, 6, 100))).otherwise(x))
+    return let(v, lambda x: F.when(x.rlike("^[cz]"), "C").when(x.rlike("^r"), "R").when(x.rlike("^f"), "F"))
 
 
 def temperature(raw: Column, unit: Column) -> Column:
     """The first number of a text, if it lies in the range that its unit allows."""
     number = F.replace(F.regexp_extract(F.replace(raw, F.lit("−"), F.lit("-")), r"-?\d+(?:[.,]\d+)?", 0), F.lit(","), F.lit(".")).try_cast("double")
-    fits = F.when(unit == "F", number.between(-76.0, 140.0)).otherwise(number.between(-60.0, 60.0))
-    return F.when(fits, number)
+    return let(number, lambda n: F.when(F.when(unit == "F", n.between(-76.0, 140.0)).otherwise(n.between(-60.0, 60.0)), n))
 
 
 def basis_of_record(kind: Column, specimen: Column) -> Column:

@@ -64,3 +64,10 @@ def test_similarity(spark):
     got = values(spark, ["abcdefg", "äbcde", "abc", "aaaaaaa"], similarity.shingles(F.col("x")))
     want = [{zlib.crc32(t[i : i + 5].encode()) for i in range(len(t) - 4)} for t in ("abcdefg", "äbcde", "abc", "aaaaaaa")]
     assert [set(g) for g in got] == want and len(got[3]) == 1
+
+
+def test_cues_fold_a_text_once(spark):
+    d = spark.createDataFrame([(" Himmel TRÜB ",), ("",), (None,), ("  ",), ("Variable",), ("blau",)], "x string")
+    assert [r[0] for r in d.select(vocab.sky(F.col("x"))).collect()] == ["overcast", None, None, None, "variable", None]
+    plan = lambda f: f._jdf.queryExecution().analyzed().toString()
+    assert plan(d.select(vocab.sky(F.col("x")).alias("y"))).count("lower(trim(") == 1
