@@ -24,6 +24,11 @@ ROLES = ("companion", "source", "collector", "cited-author", "other")
 EVIDENCE_LABELS = {"auditory": "Lautäußerung", "visual": "Sichtbeobachtung", "nest": "Nestfund / Brutnachweis", "specimen": "Beleg / erlegtes Stück"}
 CORRECTED = "Datum vom Modell korrigiert (Kopfzeile: "
 UNNAMED = "wissenschaftlicher Name nicht angegeben"
+#: What an observation may say besides its name and observer.
+ITEM = (
+    "scientific_name", "literature_citation", "record_type", "locality", "occurrence_status", "individual_count", "count_min", "count_max", "event_date", "event_time", "taxon_rank", "behaviour", "confidence", "is_bird",
+    "verbatim_notes", "count_qualifier", "evidence", "habitat", "sex", "life_stage", "breeding_evidence", "vitality", "movement_kind", "flight_direction", "identification_qualifier",
+)
 
 def _no_strings() -> Column:
     return F.array().cast("array<string>")
@@ -206,33 +211,37 @@ def observations(rows: DataFrame, diarist: tuple[str, ...] = ()) -> DataFrame:
     """
     whole = _with_observers(rows, diarist).withColumn("_d", _entry_date()).withColumn("_at", _entry_place())
     told = each(whole.select("entry", "text", "_d", "_at", F.arrays_zip(F.col("_items").alias("i"), F.col("_o.who").alias("who")).alias("_l")), "_l", "index", "_z")
-    i = F.col("_i")
-    text = lambda name: _text(_field(i, name))
-    of = lambda name, vocabulary: _of(i, name, vocabulary)
-    told = told.select("entry", "text", "_d", "_at", "index", F.col("_z.i").alias("_i"), F.col("_z.who").alias("observer")).withColumn("vernacular", text("vernacular_de")).filter("vernacular is not null")
+    told = told.select("entry", "text", "_d", "_at", "index", F.col("_z.i").alias("_i"), F.col("_z.who").alias("observer")).withColumn("vernacular", _text(_field(F.col("_i"), "vernacular_de"))).filter("vernacular is not null")
+    # an item is taken apart once, and nothing is asked of what it does not hold
+    told = told.withColumn("_i", F.try_variant_get("_i", "$", f"struct<{', '.join(f'{name}: variant' for name in ITEM)}>"))
+    field = lambda name: F.when(~F.is_variant_null(F.col(f"_i.{name}")), F.col(f"_i.{name}"))
+    there = lambda name, read: F.when(F.col(f"_i.{name}").isNotNull(), read(field(name)))
+    text = lambda name: there(name, _text)
+    of = lambda name, vocabulary: there(name, lambda v: _let(_text(v), lambda t: vocab.enum(t, vocabulary)))
+    date = lambda name: there(name, lambda v: _date(_text(v)))
     # what is read more than once stands in columns of its own
     told = told.withColumns({
-        "scientific": text("scientific_name"), "citation": text("literature_citation"), "_told": _let(text("record_type"), vocab.record_type), "locality": _place(_field(i, "locality"), "locality"),
-        "status": F.coalesce(of("occurrence_status", vocab.OCCURRENCE_STATUS), F.lit("present")), "_n": _int(_field(i, "individual_count")), "_a": _int(_field(i, "count_min")), "_b": _int(_field(i, "count_max")),
-        "own_date": _date(text("event_date")),
+        "scientific": text("scientific_name"), "citation": text("literature_citation"), "_told": there("record_type", lambda v: _let(_text(v), vocab.record_type)), "locality": there("locality", lambda v: _place(v, "locality")),
+        "status": F.coalesce(of("occurrence_status", vocab.OCCURRENCE_STATUS), F.lit("present")), "_n": there("individual_count", _int), "_a": there("count_min", _int), "_b": there("count_max", _int),
+        "own_date": date("event_date"),
     })
     second_hand = F.col("observer").isNotNull() | F.col("citation").isNotNull()
     kind = F.coalesce("_told", F.when(F.col("citation").isNotNull(), "literature-record").when(F.col("observer").isNotNull(), "third-party-report").otherwise("field-observation"))
     swapped = F.coalesce(F.col("_b") < F.col("_a"), F.lit(False))
     low, high = F.when(swapped, F.col("_b")).otherwise(F.col("_a")), F.when(swapped, F.col("_a")).otherwise(F.col("_b"))
     counted = F.when((F.col("_n") != 0) | (F.col("status") == "absent"), F.col("_n"))
-    rank = F.coalesce(of("taxon_rank", vocab.TAXON_RANKS), F.when(_field(i, "taxon_rank").isNotNull(), "unknown"))
-    behaviour = F.filter(F.transform(_list(_field(i, "behaviour")), lambda b: F.trim(F.try_variant_get(b, "$", "string"))), lambda b: b != "")
+    rank = F.coalesce(of("taxon_rank", vocab.TAXON_RANKS), F.when(field("taxon_rank").isNotNull(), "unknown"))
+    behaviour = F.filter(F.transform(_list(field("behaviour")), lambda b: F.trim(F.try_variant_get(b, "$", "string"))), lambda b: b != "")
     named = F.col("scientific").isNotNull()
     return told.select(
         "entry", "index", "vernacular", "scientific", F.when(named, "llm").alias("method"), F.when(~named, UNNAMED).alias("taxon_note"),
-        _let(_number(_field(i, "confidence")), vocab.as_share).alias("confidence"), rank.alias("rank"), _bool(_field(i, "is_bird")).alias("is_bird"),
+        there("confidence", lambda v: _let(_number(v), vocab.as_share)).alias("confidence"), rank.alias("rank"), there("is_bird", _bool).alias("is_bird"),
         F.coalesce(text("verbatim_notes"), F.nullif(F.col("text"), F.lit("")), F.col("vernacular")).alias("notes"), "locality", F.coalesce("locality", "_at").alias("place"),
         F.coalesce(counted, low).alias("count"), low.alias("count_min"), high.alias("count_max"), of("count_qualifier", vocab.COUNT_QUALIFIERS).alias("qualifier"), "status",
-        _evidence(_field(i, "evidence")).alias("evidence"), behaviour.alias("behaviour"), text("habitat").alias("habitat"), kind.alias("record_type"), "observer", "citation",
+        _evidence(field("evidence")).alias("evidence"), behaviour.alias("behaviour"), text("habitat").alias("habitat"), kind.alias("record_type"), "observer", "citation",
         of("sex", vocab.SEXES).alias("sex"), of("life_stage", vocab.LIFE_STAGES).alias("life_stage"), of("breeding_evidence", vocab.BREEDING_EVIDENCE).alias("breeding"),
         of("vitality", vocab.VITALITY).alias("vitality"), of("movement_kind", vocab.MOVEMENT_KINDS).alias("movement"), text("flight_direction").alias("direction"),
-        text("identification_qualifier").alias("hedge"), "own_date", F.coalesce("own_date", "_d").alias("event_date"), _clock(text("event_time")).alias("event_time"),
+        text("identification_qualifier").alias("hedge"), "own_date", F.coalesce("own_date", "_d").alias("event_date"), there("event_time", lambda v: _clock(_text(v))).alias("event_time"),
         F.when((F.col("_told") == "field-observation") & second_hand, F.array(F.lit("record_type_conflict"))).otherwise(_no_strings()).alias("flags"),
     )
 
